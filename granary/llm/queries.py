@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from granary.llm import encode, neardup, split
+from granary.llm import encode, handwritten, neardup, split
 
 
 def queries():
     return {
+        "p2_found": handwritten.p2_found,
+        "p2_files": handwritten.p2_files,
         "p3_found": split.p3_found,
         "p3_pieces": split.p3_pieces,
         "p4_found": neardup.p4_found,
