@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from granary.llm import encode, handwritten, neardup, split
+from granary.llm import encode, handwritten, neardup, pairs, split
 
 
 def queries():
     return {
+        "p1_found": pairs.p1_found,
         "p2_found": handwritten.p2_found,
         "p2_files": handwritten.p2_files,
         "p3_found": split.p3_found,
