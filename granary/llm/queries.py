@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from granary.llm import encode, handwritten, neardup, pairs, split
+from granary.llm import budget, encode, handwritten, mixing, neardup, pairs, reading, split
 
 
 def queries():
@@ -14,7 +14,13 @@ def queries():
         "p3_pieces": split.p3_pieces,
         "p4_found": neardup.p4_found,
         "p4_groups": neardup.p4_groups,
+        "p5_budget": budget.p5_budget,
+        "p5_domains": budget.p5_domains,
         "p6_ids": encode.p6_ids,
+        "p7_shares": mixing.p7_shares,
+        "p7_copies": mixing.p7_copies,
+        "p8_found": reading.p8_found,
+        "p8_levels": reading.p8_levels,
     }
 
 
