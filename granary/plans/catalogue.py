@@ -1,11 +1,510 @@
-"""Registered queries of the core and their SQL."""
+"""Registered queries of the core over the test tables, each beside the same in SQL where SQL can say it."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from granary.functions import text as X
+from granary.operators import chunking, dag, dedup, infer, mix, pages, quality, records, retrieval, validate
+from granary.session import table
+from granary.sources import files, paged, seeds
+from granary.streaming import streams
+
+_QUERIES: dict = {}
+_SQL: dict[str, str] = {}
+
+SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+PAIRS = """pairs AS (
+  SELECT a.msg_id AS pos, coalesce(a.content, '') AS output, coalesce(a.metadata.layer, 'code') AS layer,
+         coalesce(a.metadata.language, 'unknown') AS language, a.metadata.source AS source, coalesce(q.content, '') AS instruction
+  FROM train a JOIN train q ON q.example_id = a.example_id AND q.turn = a.turn - 1
+  WHERE lower(a.role) IN ('gpt', 'assistant') AND lower(q.role) IN ('human', 'user'))"""
+SIZED = PAIRS + """,
+sized AS (SELECT *, greatest(1, length(instruction || ' ' || output) // 4) AS token_count FROM pairs)"""
+JUDGED = SIZED + """,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY layer, sha256(output), token_count BETWEEN 8 AND 2048 ORDER BY pos) AS rn FROM sized),
+judged AS (SELECT *, CASE WHEN token_count < 8 THEN 'too_few_tokens' WHEN token_count > 2048 THEN 'too_many_tokens' WHEN rn > 1 THEN 'duplicate'
+  WHEN length(instruction) < 5 THEN 'short_instruction' WHEN strlen(instruction) <> length(instruction) THEN 'non_ascii' ELSE 'kept' END AS reason FROM ranked)"""
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        _QUERIES[name] = f
+        if sql is not None:
+            _SQL[name] = sql
+        return f
+
+    return add
+
 
 def queries():
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(_SQL)
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace(regexp_replace({c}, '^{SPACE}+', ''), '{SPACE}+\\z', '')"
+
+
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    return records.question_pairs(table(spark, d, "train"))
+
+
+def _sized(spark: SparkSession, d: str) -> DataFrame:
+    return quality.with_tokens(_pairs(spark, d))
+
+
+# --- filter, token accounts, mixing ---
+
+
+@query("q_filter_waterfall", f"WITH {JUDGED} SELECT layer, reason, count(*) AS n, sum(token_count)::BIGINT AS tokens FROM judged GROUP BY ALL")
+def _(spark, d):
+    return quality.drop_report(quality.waterfall(_pairs(spark, d)))
+
+
+@query("q_waterfall_rows", f"WITH {JUDGED} SELECT pos, layer, token_count, reason FROM judged")
+def _(spark, d):
+    return quality.waterfall(_pairs(spark, d)).select("pos", "layer", "token_count", "reason")
+
+
+@query("q_token_count", "SELECT doc_id, greatest(1, length(coalesce(text, '')) // 4)::BIGINT AS token_count FROM documents")
+def _(spark, d):
+    return table(spark, d, "documents").select("doc_id", X.token_estimate(X.text_or_empty(F.col("text"))).alias("token_count"))
+
+
+@query("q_token_bounds", f"WITH {SIZED} SELECT CASE WHEN token_count < 8 THEN 'too_few_tokens' WHEN token_count > 2048 THEN 'too_many_tokens' ELSE 'within' END AS bound, count(*) AS n FROM sized GROUP BY ALL")
+def _(spark, d):
+    t = F.col("token_count")
+    return _sized(spark, d).groupBy(F.when(t < quality.MIN_TOKENS, "too_few_tokens").when(t > quality.MAX_TOKENS, "too_many_tokens").otherwise("within").alias("bound")).agg(F.count("*").alias("n"))
+
+
+@query("q_dedup_first_wins", "SELECT min(doc_id) AS doc_id, sha256(text) AS digest FROM documents WHERE text IS NOT NULL GROUP BY sha256(text)")
+def _(spark, d):
+    docs = table(spark, d, "documents").where("text IS NOT NULL").withColumn("digest", X.digest(F.col("text")))
+    return dedup.first_wins(docs, ["digest"], "doc_id").select("doc_id", "digest")
+
+
+@query("q_dedup_cross_source", """SELECT doc_id, source FROM (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY sha256(text) ORDER BY CASE WHEN starts_with(source, 'hf:') THEN 0 ELSE 1 END, doc_id) AS rn FROM documents WHERE text IS NOT NULL) WHERE rn = 1""")
+def _(spark, d):
+    docs = table(spark, d, "documents").where("text IS NOT NULL").withColumn("_d", X.digest(F.col("text")))
+    rank = F.when(F.startswith("source", F.lit("hf:")), 0).otherwise(1)
+    return dedup.ranked_first_wins(docs, ["_d"], rank, "doc_id").select("doc_id", "source")
+
+
+@query("q_source_cap", "SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 20")
+def _(spark, d):
+    return mix.capped(table(spark, d, "documents").select("doc_id", "source"), "source", "doc_id", 20)
+
+
+@query("q_union_layers", f"""WITH {PAIRS} SELECT layer, language, count(*) AS n FROM (
+  SELECT layer, language FROM pairs UNION ALL SELECT layer, NULL FROM documents UNION ALL SELECT 'code', language FROM code_chunks_raw) GROUP BY ALL""")
+def _(spark, d):
+    parts = (_pairs(spark, d).select("layer", "language"), table(spark, d, "documents").select("layer"), table(spark, d, "code_chunks_raw").select(F.lit("code").alias("layer"), "language"))
+    return mix.union_layers(*parts).groupBy("layer", "language").agg(F.count("*").alias("n"))
+
+
+@query("q_layer_stats", f"WITH {SIZED} SELECT layer, count(*) AS n, sum(token_count)::BIGINT AS tokens, sum(token_count)::DOUBLE / (SELECT sum(token_count) FROM sized) AS token_share FROM sized GROUP BY layer")
+def _(spark, d):
+    return mix.layer_stats(_sized(spark, d))
+
+
+@query("q_language_counts", "SELECT coalesce(metadata.language, 'unknown') AS language, count(*) AS n FROM train GROUP BY ALL")
+def _(spark, d):
+    return mix.language_counts(table(spark, d, "train").select("metadata.language"))
+
+
+@query("q_token_ratios_legacy", f"WITH {SIZED} SELECT layer, round_even(count(*)::DOUBLE / (SELECT greatest(sum(token_count), 1) FROM sized) * 100, 1) AS ratio FROM sized GROUP BY layer")
+def _(spark, d):
+    return mix.count_ratios(_sized(spark, d))
+
+
+@query("q_language_gap", "SELECT language FROM (VALUES ('python'), ('c'), ('javascript'), ('html'), ('css'), ('rust')) t(language) EXCEPT SELECT language FROM code_chunks_raw")
+def _(spark, d):
+    return mix.missing_languages(table(spark, d, "code_chunks_raw"), ["python", "c", "javascript", "html", "css", "rust"])
+
+
+@query("q_duplicate_outputs", f"WITH {PAIRS}, g AS (SELECT sha256(output) AS h, count(*) AS n FROM pairs GROUP BY 1) SELECT sum(n)::BIGINT AS n_rows, count(*) AS n_texts, sum(n - 1)::BIGINT AS duplicates FROM g")
+def _(spark, d):
+    return dedup.duplicate_count(_pairs(spark, d), "output")
+
+
+@query("q_validation_report", f"""WITH {SIZED}, t AS (SELECT sum(token_count) FILTER (layer IN ('code', 'doc', 'alignment', 'devops')) AS total FROM sized),
+s AS (SELECT l.layer, l.target, coalesce(sum(z.token_count), 0)::DOUBLE / (SELECT total FROM t) AS share FROM (VALUES ('code', 0.5), ('doc', 0.25), ('alignment', 0.15), ('devops', 0.1)) l(layer, target) LEFT JOIN sized z ON z.layer = l.layer GROUP BY ALL)
+SELECT 'lines' AS name, count(*)::DOUBLE AS value, count(*) >= 100 AS ok, true AS fatal FROM sized
+UNION ALL SELECT 'structure_errors', 0, true, true
+UNION ALL SELECT 'share_' || layer, share, abs(share - target::DOUBLE) <= 0.03, false FROM s
+UNION ALL SELECT 'missing_languages', count(*)::DOUBLE, count(*) = 0, false FROM (SELECT l FROM (VALUES ('python'), ('c'), ('javascript'), ('html'), ('css')) x(l) EXCEPT SELECT language FROM sized)
+UNION ALL SELECT 'duplicate_outputs', (count(*) - count(DISTINCT sha256(output)))::DOUBLE, count(*) = count(DISTINCT sha256(output)), false FROM sized""")
+def _(spark, d):
+    return validate.validation_report(_sized(spark, d), list(seeds.LANGUAGES))
+
+
+@query("q_shuffle_head", "SELECT doc_id, n_chars FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 50")
+def _(spark, d):
+    return mix.shuffled_head(table(spark, d, "documents").select("doc_id", "n_chars"), 50, "doc_id")
+
+
+@query("q_alignment_budget", f"""WITH {SIZED}, s AS (SELECT coalesce(sum(token_count) FILTER (layer = 'alignment'), 0)::DOUBLE AS a, coalesce(sum(token_count) FILTER (layer <> 'alignment'), 0)::DOUBLE AS o FROM sized)
+SELECT greatest(0, trunc((0.3::DOUBLE * o - a * (1 - 0.3::DOUBLE)) / (1 - 0.3::DOUBLE)))::BIGINT AS budget FROM s""")
+def _(spark, d):
+    return mix.alignment_budget(_sized(spark, d), 0.3)
+
+
+@query("q_mean_tokens", f"WITH {SIZED} SELECT (sum(token_count) // count(*))::BIGINT AS mean_tokens FROM sized")
+def _(spark, d):
+    return mix.mean_tokens(_sized(spark, d))
+
+
+@query("q_greedy_budget")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.coalesce("layer", F.lit("none")).alias("layer"), X.token_estimate(X.text_or_empty(F.col("text"))).alias("tokens"))
+    return mix.greedy_budget(docs, 20_000, "layer", "doc_id", "tokens").select("layer", F.col("id").alias("doc_id"), F.col("t").alias("tokens"))
+
+
+@query("q_stats_document")
+def _(spark, d):
+    return mix.stats_document(_sized(spark, d))
+
+
+# --- joins ---
+
+
+@query("q_seed_anti_join", f"WITH {PAIRS} SELECT pos FROM pairs WHERE sha256(output) NOT IN (SELECT sha256(text) FROM documents WHERE text IS NOT NULL)")
+def _(spark, d):
+    return dedup.without_known(_pairs(spark, d), table(spark, d, "documents").select(F.col("text").alias("output")), "output").select("pos")
+
+
+@query("q_resume_anti_join", "SELECT _idx, max_tokens FROM jobs WHERE _idx NOT IN (SELECT _idx FROM job_results WHERE _idx IS NOT NULL AND coalesce(_worker, '') <> 'lost')")
+def _(spark, d):
+    return dedup.pending(table(spark, d, "jobs"), table(spark, d, "job_results")).select("_idx", "max_tokens")
+
+
+@query("q_best_results", "SELECT result_id, _idx, _worker, _len FROM (SELECT *, row_number() OVER (PARTITION BY _idx ORDER BY result_id) AS rn FROM job_results WHERE _idx >= 0 AND coalesce(_worker, '') <> 'lost') WHERE rn = 1")
+def _(spark, d):
+    return infer.best_results(table(spark, d, "job_results"), "result_id").select("result_id", "_idx", "_worker", "_len")
+
+
+@query("q_result_left_join", "SELECT j._idx, j.max_tokens, r._text, r._worker FROM jobs j LEFT JOIN job_results r USING (_idx)")
+def _(spark, d):
+    return infer.join_results(table(spark, d, "jobs").select("_idx", "max_tokens"), table(spark, d, "job_results"))
+
+
+@query("q_positional_zip", """WITH l AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents), r AS (SELECT _len AS reply_len, row_number() OVER (ORDER BY result_id) - 1 AS pos FROM job_results)
+SELECT l.pos, l.doc_id, r.reply_len FROM l LEFT JOIN r USING (pos)""")
+def _(spark, d):
+    left, right = table(spark, d, "documents").select("doc_id"), table(spark, d, "job_results").select("result_id", F.col("_len").alias("reply_len"))
+    return infer.positional_zip(left, right, "doc_id", "result_id", "reply_len").select("pos", "doc_id", "reply_len")
+
+
+@query("q_combo_cross_join", """WITH p AS (SELECT row_number() OVER () - 1 AS i, p FROM (VALUES ('early return'), ('clear names'), ('single purpose'), ('explicit errors'), ('bounded loops'), ('no hidden state')) t(p)),
+l AS (SELECT row_number() OVER () - 1 AS k, l FROM (VALUES ('python'), ('c'), ('javascript'), ('html'), ('css')) t(l)), n AS (SELECT range AS r FROM range(16))
+SELECT (r * 30 + i * 5 + k)::BIGINT AS pos, p AS principle, l AS language FROM n, p, l""")
+def _(spark, d):
+    return mix.combinations(spark, list(seeds.PRINCIPLES), list(seeds.LANGUAGES), 200)
+
+
+@query("q_hash_pairing", """SELECT chunk_id, ['early return', 'clear names', 'single purpose', 'explicit errors', 'bounded loops', 'no hidden state'][(('0x' || substr(md5('42:' || chunk_id), 1, 8))::BIGINT % 6 + 1)::INT] AS principle FROM code_chunks_raw""")
+def _(spark, d):
+    return table(spark, d, "code_chunks_raw").select("chunk_id", mix.paired(None, list(seeds.PRINCIPLES), "chunk_id").alias("principle"))
+
+
+@query("q_hint_lookup", f"""WITH h(principle, hint) AS (VALUES {', '.join(f"('{p}', '{h}')" for p, h in seeds.PRINCIPLES.items())})
+SELECT t.msg_id, coalesce(h.hint, t.metadata.principle, 'general') AS hint FROM train t LEFT JOIN h ON h.principle = t.metadata.principle""")
+def _(spark, d):
+    rows = table(spark, d, "train").select("msg_id", F.col("metadata.principle").alias("principle"))
+    return rows.join(F.broadcast(seeds.principle_table(spark)), "principle", "left").select("msg_id", F.coalesce("hint", "principle", F.lit("general")).alias("hint"))
+
+
+@query("q_not_language", "SELECT count(*) AS n FROM code_chunks_raw WHERE language IS DISTINCT FROM 'css'")
+def _(spark, d):
+    return table(spark, d, "code_chunks_raw").where(~F.col("language").eqNullSafe("css")).agg(F.count("*").alias("n"))
+
+
+# --- mappers and text functions ---
+
+
+@query("q_map_doc", f"""SELECT * FROM (SELECT doc_id, {_strip("coalesce(topic, '')")} AS instruction, {_strip("coalesce(text, '')")} AS output, 'doc' AS layer, source, license FROM documents) WHERE instruction <> '' AND output <> ''""")
+def _(spark, d):
+    m = records.map_rows(table(spark, d, "documents"), "topic", "text", keep=("doc_id",), layer="doc", source=F.col("source"), license=F.col("license"))
+    return m.select("doc_id", "instruction", "output", "metadata.layer", "metadata.source", "metadata.license")
+
+
+@query("q_map_code", f"""SELECT * FROM (SELECT chunk_id, {_strip("coalesce(name, '')")} AS instruction, {_strip("coalesce(code, '')")} AS output, {_strip("coalesce(signature, '')")} AS input, language FROM code_chunks_raw) WHERE instruction <> '' AND output <> ''""")
+def _(spark, d):
+    m = records.map_rows(table(spark, d, "code_chunks_raw"), "name", "code", "signature", keep=("chunk_id",), layer="code", language=F.col("language"))
+    return m.select("chunk_id", "instruction", "output", "input", "metadata.language")
+
+
+@query("q_chat_pairs", f"""WITH t AS (SELECT example_id, turn, lower(role) AS role, {_strip("coalesce(content, '')")} AS c FROM train),
+g AS (SELECT example_id, arg_min(c, turn) FILTER (role IN ('human', 'user') AND c <> '') AS instruction, arg_min(c, turn) FILTER (role IN ('gpt', 'assistant') AND c <> '') AS output FROM t GROUP BY example_id)
+SELECT * FROM g WHERE instruction IS NOT NULL AND output IS NOT NULL""")
+def _(spark, d):
+    return records.chat_pairs(table(spark, d, "train"), "example_id", "turn", "role", "content")
+
+
+@query("q_chat_pairs_nested", _SQL["q_chat_pairs"])
+def _(spark, d):
+    turns = table(spark, d, "train").groupBy("example_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "content"))), lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("t"))
+    return records.chat_pairs_nested(turns.select("example_id", F.to_json("t").alias("conversations")), "conversations", ("example_id",))
+
+
+@query("q_chunk_record", "SELECT chunk_id, 'Write ' || coalesce(name, 'this code') AS instruction, code AS output, repo, name AS chunk_name FROM code_chunks_raw")
+def _(spark, d):
+    r = records.chunk_record(table(spark, d, "code_chunks_raw"), F.concat(F.lit("Write "), F.coalesce("name", F.lit("this code"))), ("chunk_id",))
+    return r.select("chunk_id", "instruction", "output", "metadata.repo", "metadata.chunk_name")
+
+
+@query("q_prompt_build", "SELECT chunk_id, 'Read this ' || coalesce(language, 'null') || ' code and state in one sentence the task it solves.' || chr(10) || chr(10) || substr(coalesce(code, 'null'), 1, 2000) || chr(10) || chr(10) || 'Task:' AS prompt FROM code_chunks_raw")
+def _(spark, d):
+    return table(spark, d, "code_chunks_raw").select("chunk_id", infer.instruction_prompt(F.coalesce("language", F.lit("null")), F.coalesce("code", F.lit("null"))).alias("prompt"))
+
+
+@query("q_instruction_validation", f"""WITH j AS (SELECT r.result_id, {_strip("coalesce(r._text, '')")} AS t, coalesce(j.prompt, '') AS code FROM job_results r JOIN jobs j USING (_idx)),
+w AS (SELECT *, list_distinct(list_filter(regexp_split_to_array(lower(code), '{SPACE}+'), lambda x: x <> '')[1:20]) AS head, list_filter(regexp_split_to_array(lower(t), '{SPACE}+'), lambda x: x <> '') AS mine FROM j)
+SELECT result_id, CASE WHEN t = '' THEN 'empty' WHEN length(t) < 5 THEN 'short' WHEN regexp_matches(lower(t), '^(i cannot|i''m unable|i am unable|sorry)') THEN 'refusal'
+ WHEN len(head) > 5 AND len(list_intersect(head, mine)) > 0.8 * len(head) THEN 'echo' END AS defect FROM w""")
+def _(spark, d):
+    j = table(spark, d, "job_results").join(table(spark, d, "jobs").select("_idx", "prompt"), "_idx")
+    return j.select("result_id", quality.instruction_defect(F.col("_text"), F.col("prompt")).alias("defect"))
+
+
+@query("q_echo_overlap", f"""WITH w AS (SELECT r.result_id, list_distinct(list_filter(regexp_split_to_array(lower(j.prompt), '{SPACE}+'), lambda x: x <> '')[1:20]) AS head, list_filter(regexp_split_to_array(lower(r._text), '{SPACE}+'), lambda x: x <> '') AS mine FROM job_results r JOIN jobs j USING (_idx) WHERE r._text IS NOT NULL AND j.prompt IS NOT NULL)
+SELECT result_id, len(list_intersect(head, mine))::INT AS common, len(head)::INT AS n_words FROM w""")
+def _(spark, d):
+    j = table(spark, d, "job_results").where("_text IS NOT NULL").join(table(spark, d, "jobs").where("prompt IS NOT NULL").select("_idx", "prompt"), "_idx")
+    common, n = quality.echo_overlap(F.col("_text"), F.col("prompt"))
+    return j.select("result_id", common.alias("common"), n.alias("n_words"))
+
+
+@query("q_safe_filename", """WITH n AS (SELECT chunk_id, coalesce(repo, '') || '/' || file_path || '#' || coalesce(signature, '') AS u FROM code_chunks_raw),
+c AS (SELECT *, regexp_replace(u, '[^a-zA-Z0-9_-]', '_', 'g') AS s FROM n)
+SELECT chunk_id, CASE WHEN length(s) <= 64 THEN s ELSE substr(s, 1, 55) || '_' || substr(sha1(u), 1, 8) END AS file_name FROM c""")
+def _(spark, d):
+    u = F.concat(F.coalesce("repo", F.lit("")), F.lit("/"), F.col("file_path"), F.lit("#"), F.coalesce("signature", F.lit("")))
+    return table(spark, d, "code_chunks_raw").select("chunk_id", X.safe_filename(u).alias("file_name"))
+
+
+@query("q_fence_strip", rf"""WITH t AS (SELECT msg_id, {_strip("content")} AS s FROM train WHERE content IS NOT NULL),
+l AS (SELECT msg_id, CASE WHEN s = '' THEN [] ELSE regexp_split_to_array(s, '\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{{85}}\x{{2028}}\x{{2029}}]') END AS l FROM t),
+h AS (SELECT msg_id, CASE WHEN len(l) > 0 AND starts_with({_strip("l[1]")}, '```') THEN l[2:] ELSE l END AS l FROM l),
+e AS (SELECT msg_id, CASE WHEN len(l) > 0 AND starts_with({_strip("l[-1]")}, '```') THEN l[:-2] ELSE l END AS l FROM h)
+SELECT msg_id, {_strip("coalesce(array_to_string(l, chr(10)), '')")} AS code FROM e""")
+def _(spark, d):
+    return table(spark, d, "train").where("content IS NOT NULL").select("msg_id", X.strip_fences(F.col("content")).alias("code"))
+
+
+@query("q_chunk_name", f"""WITH f AS (SELECT chunk_id, {_strip("string_split(code, chr(10))[1]")} AS l FROM code_chunks_raw WHERE code IS NOT NULL),
+b AS (SELECT *, list_filter(regexp_split_to_array(string_split(l, '(')[1], '{SPACE}+'), lambda x: x <> '') AS w FROM f)
+SELECT chunk_id, CASE WHEN contains(l, '(') AND len(w) > 0 THEN w[-1] ELSE substr(l, 1, 64) END AS name, substr(l, 1, 256) AS signature FROM b""")
+def _(spark, d):
+    line = X.first_line(F.col("code"))
+    return table(spark, d, "code_chunks_raw").where("code IS NOT NULL").select("chunk_id", X.chunk_name(line).alias("name"), X.chunk_signature(line).alias("signature"))
+
+
+@query("q_line_filter", """WITH f AS (SELECT chunk_id, file_path, CASE WHEN code = '' THEN 0 ELSE length(code) - length(replace(code, chr(10), '')) + CASE WHEN ends_with(code, chr(10)) THEN 0 ELSE 1 END END AS n_lines FROM code_chunks_raw WHERE code IS NOT NULL)
+SELECT chunk_id, n_lines::BIGINT AS n_lines FROM f WHERE n_lines <= 5000 AND regexp_matches(file_path, '[^/](\\.py|\\.js|\\.c|\\.h)$') AND NOT list_has_any(string_split(file_path, '/'), ['vendor', 'build_tools', '3rdparty', 'bundled'])""".replace("\\\\", "\\"))
+def _(spark, d):
+    rows = table(spark, d, "code_chunks_raw").where("code IS NOT NULL").withColumn("n_lines", X.file_lines(F.col("code")))
+    return rows.where(quality.source_file_ok(F.col("file_path"), F.col("n_lines"), [".py", ".js", ".c", ".h"], ["vendor", "build_tools", "3rdparty", "bundled"])).select("chunk_id", "n_lines")
+
+
+@query("q_config_files", r"""SELECT doc_id FROM (SELECT doc_id, CASE WHEN text = '' THEN 0 ELSE length(text) - length(replace(text, chr(10), '')) + CASE WHEN ends_with(text, chr(10)) THEN 0 ELSE 1 END END AS n, source || '/' || coalesce(topic, 'makefile') || CASE WHEN layer = 'devops' THEN '.YAML' ELSE '' END AS p FROM documents WHERE text IS NOT NULL)
+WHERE n BETWEEN 1 AND 5000 AND p IS NOT NULL AND (regexp_matches(lower(p), '(^|/)makefile(\..*)?$') OR regexp_matches(lower(p), '(^|/)dockerfile[^/]*$') OR regexp_matches(lower(p), '[^/]\.(yaml|yml)$'))""")
+def _(spark, d):
+    path = F.concat("source", F.lit("/"), F.coalesce("topic", F.lit("makefile")), F.when(F.col("layer") == "devops", ".YAML").otherwise(""))
+    rows = table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", path.alias("path"), X.file_lines(F.col("text")).alias("n"))
+    return rows.where(quality.config_file_ok(F.col("path"), F.col("n"), [".yaml", ".yml"])).select("doc_id")
+
+
+@query("q_duration", "WITH s AS (SELECT result_id, greatest(coalesce(_len, 0), 0) * 37 AS s FROM job_results) SELECT result_id, CASE WHEN s >= 3600 THEN (s // 3600)::VARCHAR || 'h ' || lpad((s % 3600 // 60)::VARCHAR, 2, '0') || 'm' WHEN s >= 60 THEN (s // 60)::VARCHAR || 'm ' || lpad((s % 60)::VARCHAR, 2, '0') || 's' ELSE s::VARCHAR || 's' END AS eta FROM s")
+def _(spark, d):
+    return table(spark, d, "job_results").select("result_id", X.duration(F.coalesce("_len", F.lit(0)) * 37).alias("eta"))
+
+
+# --- chunks ---
+
+_LINES = r"""ls AS (SELECT doc_id, CASE WHEN text = '' THEN [] ELSE regexp_split_to_array(text, '\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]') END AS l FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, CASE WHEN len(l) > 0 AND l[-1] = '' THEN l[:-2] ELSE l END AS l FROM ls)"""
+
+
+@query("q_block_chunks", f"""WITH {_LINES}, b AS (SELECT doc_id, l, unnest(range(0, (len(l) + 39) // 40)) AS block FROM lines)
+SELECT doc_id, block::INT AS block, len(l[block * 40 + 1 : block * 40 + 40])::INT AS n_lines, array_to_string(l[block * 40 + 1 : block * 40 + 40], chr(10)) AS text FROM b""")
+def _(spark, d):
+    return chunking.line_blocks(table(spark, d, "documents"), "doc_id", "text", 40).select("doc_id", "block", "n_lines", "text")
+
+
+@query("q_yaml_split", rf"""WITH {_LINES}, x AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS ln, unnest(l) AS line FROM lines),
+k AS (SELECT *, CASE WHEN regexp_matches(regexp_replace(line, '{SPACE}+\z', ''), '^[A-Za-z0-9_.][A-Za-z0-9_.\-]*:\s*(.*)$') AND NOT starts_with(line, '---') THEN 1 ELSE 0 END AS opens FROM x),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY ln) AS seg FROM k),
+b AS (SELECT *, (row_number() OVER (PARTITION BY doc_id, seg ORDER BY ln) - 1) // 200 AS blk FROM s),
+g AS (SELECT doc_id, seg, blk, count(*) AS n, list(line ORDER BY ln) AS l FROM b GROUP BY ALL),
+m AS (SELECT *, coalesce(sum((n >= 3)::INT) OVER (PARTITION BY doc_id ORDER BY seg, blk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM g)
+SELECT doc_id, chunk::INT AS chunk, sum(n)::BIGINT AS n_lines, array_to_string(flatten(list(l ORDER BY seg, blk)), chr(10)) AS text FROM m GROUP BY doc_id, chunk""")
+def _(spark, d):
+    return chunking.yaml_chunks(table(spark, d, "documents"), "doc_id", "text")
+
+
+def _config_files(spark, d):
+    kinds = F.array(*map(F.lit, ("conf/app.yaml", "stack/docker-compose.yml", "Makefile", "makefile", "dockerfile.dev", "unit/x.service", "main.tf", "etc/x.ini")))
+    return table(spark, d, "documents").select(F.concat_ws("/", "doc_id", F.element_at(kinds, (F.pmod("doc_id", F.lit(8)) + 1).cast("int"))).alias("path"), "text")
+
+
+@query("q_config_instruction", r"""WITH f AS (SELECT doc_id || '/' || ['conf/app.yaml', 'stack/docker-compose.yml', 'Makefile', 'makefile', 'dockerfile.dev', 'unit/x.service', 'main.tf', 'etc/x.ini'][doc_id % 8 + 1] AS path, text FROM documents WHERE text IS NOT NULL),
+n AS (SELECT *, string_split(path, '/')[-1] AS name, regexp_extract(text, '(?m)^kind:\s*([A-Za-z]+)', 1) AS kind, regexp_extract(text, 'metadata:\s*\n\s+name:\s*([^\s]+)', 1) AS obj, regexp_extract(text, '(?m)^  ([a-zA-Z0-9_-]+):', 1) AS svc, regexp_extract_all(text, '(?m)^([A-Za-z0-9_-]+):', 1)[1:4] AS rules FROM f)
+SELECT path, CASE WHEN regexp_matches(path, '\.ya?ml$') THEN CASE WHEN contains(path, 'compose') THEN 'Write the docker-compose service definition for `' || CASE WHEN svc = '' THEN 'app' ELSE svc END || '` as shown.'
+  WHEN kind <> '' AND obj <> '' THEN 'Write the Kubernetes ' || kind || ' manifest for `' || obj || '`.' WHEN kind <> '' THEN 'Write the Kubernetes ' || kind || ' manifest shown here.'
+  WHEN contains(text, '---') THEN 'Provide the Kubernetes configuration defined in ' || name || '.' ELSE 'Provide the YAML configuration defined in ' || name || '.' END
+ WHEN starts_with(name, 'dockerfile') THEN 'Write the ' || name || ' multi-stage build shown here.' WHEN name = 'makefile' THEN 'Write the Makefile target(s) for: ' || coalesce(array_to_string(rules, ', '), '') || '.'
+ WHEN ends_with(path, '.service') THEN 'Write the systemd service unit defined in ' || name || '.' WHEN ends_with(path, '.tf') THEN 'Write the Terraform configuration defined in ' || name || '.'
+ ELSE 'Provide the DevOps configuration defined in ' || name || '.' END AS instruction FROM n""")
+def _(spark, d):
+    return _config_files(spark, d).where("text IS NOT NULL").select("path", chunking.config_instruction(F.col("path"), F.col("text")).alias("instruction"))
+
+
+@query("q_config_chunks")
+def _(spark, d):
+    return chunking.config_chunks(_config_files(spark, d))
+
+
+@query("q_source_chunks")
+def _(spark, d):
+    return chunking.source_chunks(table(spark, d, "code_chunks_raw"), text="code")
+
+
+@query("q_html_reference")
+def _(spark, d):
+    h = F.format_string("<html><body><main><h1>%s</h1><p>%s</p><div class='syntax'><pre>%s</pre></div></main></body></html>", F.coalesce("topic", F.lit("untitled")), F.replace(X.text_or_empty(F.col("text")), F.lit("<"), F.lit("&lt;")), F.coalesce("source", F.lit("")))
+    return pages.page_records(table(spark, d, "documents").select(F.concat(F.lit("docs/"), "doc_id").alias("key"), h.alias("html")), "web", "key")
+
+
+# --- runs of completions ---
+
+
+@query("q_completions")
+def _(spark, d):
+    return infer.run_completions(table(spark, d, "jobs"), done=table(spark, d, "job_results").where("_len > 0"))
+
+
+@query("q_run_stats", """WITH f AS (SELECT _idx, max((coalesce(length(_text), 0) > 0)::INT) AS ok FROM job_results WHERE _idx IS NOT NULL GROUP BY 1), j AS (SELECT count(*) AS jobs, sum(coalesce(ok, 0))::BIGINT AS ok FROM jobs LEFT JOIN f USING (_idx))
+SELECT jobs, ok, jobs - ok AS failed, 0::BIGINT AS resumed, 600.0::DOUBLE AS elapsed_s, round_even(ok::DOUBLE / jobs * 100, 1) AS ok_pct, round_even(jobs / 600.0::DOUBLE, 3) AS jobs_per_s FROM j""")
+def _(spark, d):
+    return infer.run_stats(table(spark, d, "jobs"), table(spark, d, "job_results"), 600.0)
+
+
+@query("q_worker_rates", """WITH w AS (SELECT _worker, count(*) AS jobs, coalesce(sum(_len), 0)::BIGINT AS chars, (epoch_us(max(recorded_at)) - epoch_us(min(recorded_at))) / 1e6::DOUBLE AS seconds FROM job_results GROUP BY 1)
+SELECT *, CASE WHEN seconds > 0 THEN jobs / seconds END AS jobs_per_s, CASE WHEN seconds > 0 THEN chars / seconds END AS chars_per_s FROM w""")
+def _(spark, d):
+    return infer.worker_rates(table(spark, d, "job_results"))
+
+
+@query("q_metric_avg", "SELECT coalesce(round_even(avg(value) FILTER (event_type = 'click'), 1), 0) AS avg_gpu, coalesce(round_even(avg(value), 1), 0) AS avg_cpu FROM events")
+def _(spark, d):
+    return files.metric_averages(table(spark, d, "events").select(F.when(F.col("event_type") == "click", F.col("value")).alias("gpu_util_pct"), F.col("value").alias("cpu_pct")))
+
+
+@query("q_alignment_expansion")
+def _(spark, d):
+    return infer.expand_alignment(mix.combinations(spark, list(seeds.PRINCIPLES), list(seeds.LANGUAGES), 200), seeds.PRINCIPLES)
+
+
+@query("q_source_rows", """WITH r AS (SELECT doc_id, topic AS instruction, text AS output, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS rn FROM documents WHERE topic IS NOT NULL AND text IS NOT NULL AND source = 'runbooks') SELECT doc_id, instruction FROM r WHERE rn = 1 ORDER BY doc_id LIMIT 30""")
+def _(spark, d):
+    mapped = lambda r: r.where("topic IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("topic").alias("instruction"), F.col("text").alias("output"))
+    return paged.source_rows(table(spark, d, "documents").where("source = 'runbooks'"), mapped, "doc_id", 30).select("doc_id", "instruction")
+
+
+# --- extensions: events, retrieval, plans ---
+
+
+@query("q_tumbling_metrics", "SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, event_type, count(*) AS n, avg(value) AS mean_value, max(value) AS max_value FROM events GROUP BY ALL")
+def _(spark, d):
+    return streams.tumbling(table(spark, d, "events")).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query("q_sessions", """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL '1 hour' THEN 0 ELSE 1 END AS starts FROM events), s AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events FROM s GROUP BY user_id, k""")
+def _(spark, d):
+    return streams.sessions(table(spark, d, "events")).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+
+
+@query("q_pressure_spans", """WITH f AS (SELECT user_id, epoch(ts) AS t, value > 80 AS hot FROM events), i AS (SELECT *, sum(CASE WHEN coalesce(hot, false) THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY t) AS k FROM f)
+SELECT user_id::VARCHAR AS host, min(t) AS start_s, max(t) AS end_s, 'cpu' AS kind FROM i WHERE hot GROUP BY user_id, k HAVING max(t) - min(t) > 5""")
+def _(spark, d):
+    ev = table(spark, d, "events").select(F.col("user_id").cast("string").alias("host"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("t"), F.col("value").alias("cpu_pct"), F.lit(None).cast("bigint").alias("ram_avail_mb"))
+    return dag.pressure_spans(ev)
+
+
+_ASK = [(1, "memory limit error"), (2, "conexión base de datos"), (3, "event queue latency")]
+
+
+@query("q_bm25_topk", r"""WITH q(query_id, query) AS (VALUES (1, 'memory limit error'), (2, 'conexión base de datos'), (3, 'event queue latency')),
+a AS (SELECT DISTINCT query_id, unnest(list_filter(regexp_split_to_array(lower(query), '[^a-z0-9]+'), lambda x: x <> '')) AS term FROM q),
+d AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '') AS t FROM documents),
+c AS (SELECT count(*) AS n, avg(len(t)) AS avg_dl FROM d), p AS (SELECT id, len(t) AS dl, unnest(t) AS term FROM d),
+tf AS (SELECT id, dl, term, count(*) AS tf FROM p WHERE term IN (SELECT term FROM a) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+s AS (SELECT query_id, id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avg_dl))), 6) AS score FROM tf JOIN df USING (term) JOIN a USING (term), c GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM s) SELECT query_id, id, score, rank FROM r WHERE rank <= 10""")
+def _(spark, d):
+    return retrieval.bm25(table(spark, d, "documents"), spark.createDataFrame(_ASK, "query_id INT, query STRING"), 10)
+
+
+@query("q_cosine_topk", """WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings), q AS (SELECT * FROM v WHERE id < 5),
+s AS (SELECT q.id AS query_id, v.id, round(list_sum(list_transform(list_zip(v.e, q.e), lambda x: x[1] * x[2])) / (sqrt(list_sum(list_transform(v.e, lambda x: x * x))) * sqrt(list_sum(list_transform(q.e, lambda x: x * x)))), 6) AS score FROM v, q WHERE v.id <> q.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM s) SELECT query_id, id, score, rank FROM r WHERE rank <= 10""")
+def _(spark, d):
+    v = table(spark, d, "embeddings")
+    return retrieval.nearest(v, v.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), 10)
+
+
+@query("q_quantized_vectors", "WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e, list_max(list_transform(embedding::DOUBLE[], lambda x: abs(x))) AS m FROM embeddings) SELECT vec_id, list_transform(e, lambda x: round(x / m * 127)::TINYINT) AS q FROM v")
+def _(spark, d):
+    return table(spark, d, "embeddings").select("vec_id", retrieval.quantized(F.col("embedding").cast("array<double>")).alias("q"))
+
+
+@query("q_token_slices", f"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}+'), lambda x: x <> '') AS w FROM documents), s AS (SELECT doc_id, w, unnest(range(0, (len(w) + 255) // 256)) AS k FROM w WHERE len(w) > 0)
+SELECT doc_id, k::INT AS slice, array_to_string(w[k * 256 + 1 : k * 256 + 256], ' ') AS text FROM s""")
+def _(spark, d):
+    return retrieval.token_slices(table(spark, d, "documents"), "doc_id", "text")
+
+
+@query("q_top_sentences")
+def _(spark, d):
+    return retrieval.top_sentences(table(spark, d, "documents"))
+
+
+_PLAN = [("q1", "N01", []), ("q1", "N02", ["N01"]), ("q1", "N03", ["N01", "N02"]), ("q2", "N01", ["N02"]), ("q2", "N02", ["N02"]), ("q2", "X3", ["N09"]), ("q2", "N01", [])]
+_PLAN_SQL = "p(query_id, id, dependencies) AS (VALUES " + ", ".join(f"('{q}', '{i}', [{', '.join(repr(x) for x in deps)}]::VARCHAR[])" for q, i, deps in _PLAN) + ")"
+
+
+@query("q_dag_invalid", f"""WITH {_PLAN_SQL}, e AS (SELECT query_id, id, unnest(list_distinct(dependencies)) AS dep FROM p), i AS (SELECT DISTINCT query_id, id FROM p)
+SELECT query_id, id, 'bad_id' AS error FROM p WHERE NOT regexp_matches(id, '^N[0-9][0-9]$') UNION ALL SELECT query_id, id, 'duplicate_id' FROM p GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT query_id, id, 'self_dependency' FROM e WHERE dep = id UNION ALL SELECT query_id, id, 'missing_dependency' FROM e WHERE (query_id, dep) NOT IN (SELECT (query_id, id) FROM i)
+UNION ALL SELECT DISTINCT query_id, id, 'forward_dependency' FROM e WHERE dep > id AND (query_id, dep) IN (SELECT (query_id, id) FROM i)""")
+def _(spark, d):
+    return dag.plan_errors(spark.createDataFrame(_PLAN, "query_id STRING, id STRING, dependencies ARRAY<STRING>"))
+
+
+@query("q_ready_nodes", "SELECT 'q1' AS query_id, 'N02' AS id")
+def _(spark, d):
+    nodes = spark.createDataFrame([r for r in _PLAN if r[0] == "q1"], "query_id STRING, id STRING, dependencies ARRAY<STRING>")
+    return dag.ready_nodes(nodes, spark.createDataFrame([("q1", "N01", "DONE")], "query_id STRING, node_id STRING, status STRING"))
+
+
+@query("q_retry_decisions", """SELECT user_id::VARCHAR AS query_id, event_type AS node_id, count(*) FILTER (value < 20) AS attempts,
+ CASE WHEN count(*) FILTER (value > 95) > 0 THEN 'done' WHEN count(*) FILTER (value BETWEEN 94 AND 95) > 0 THEN 'fail' WHEN count(*) FILTER (value < 20) >= 3 THEN 'fail' ELSE 'retry' END AS decision FROM events GROUP BY 1, 2""")
+def _(spark, d):
+    v = F.col("value")
+    ev = table(spark, d, "events").select(F.col("user_id").cast("string").alias("query_id"), F.col("event_type").alias("node_id"), F.when(v < 20, "NODE_FAILED").when(v > 95, "NODE_DONE").when(v.between(94, 95), "SANDBOX_VIOLATION").alias("event_type"))
+    return dag.retry_decisions(ev)
+
+
+@query("q_fit_context", """WITH s AS (SELECT o_custkey::VARCHAR AS query_id, o_orderkey::VARCHAR AS section, o_orderkey AS priority, floor(o_totalprice / 100)::BIGINT AS tokens FROM orders),
+w AS (SELECT *, sum(tokens) OVER (PARTITION BY query_id ORDER BY priority, section ROWS UNBOUNDED PRECEDING)::BIGINT AS upto FROM s) SELECT * FROM w WHERE upto <= 3072""")
+def _(spark, d):
+    s = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("query_id"), F.col("o_orderkey").cast("string").alias("section"), F.col("o_orderkey").alias("priority"), F.floor(F.col("o_totalprice") / 100).alias("tokens"))
+    return dag.fit_context(s)
