@@ -143,6 +143,6 @@ WITH lim AS (
   LEFT JOIN chunk_limits l ON l.language = c.language AND l.language <> '*'
   CROSS JOIN (SELECT max_chars FROM chunk_limits WHERE language = '*') s)
 SELECT chunk_id,
-       CASE WHEN list_max(list_transform(string_split(code, chr(10)), x -> length(x))) > max_chars THEN 'forced' ELSE 'natural' END AS cut_kind
+       CASE WHEN list_max(list_transform(string_split(code, chr(10)), lambda x: length(x))) > max_chars THEN 'forced' ELSE 'natural' END AS cut_kind
 FROM lim WHERE length(code) > max_chars
 """
