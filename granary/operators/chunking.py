@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ast
+import bisect
 import re
 
 import pyarrow as pa
@@ -123,14 +124,23 @@ def _blank(text: str, language: str) -> str:
     return _NOISE[language].sub(lambda m: re.sub(r"[^\n]", " ", m.group(0)), text)
 
 
-def _closing(code: str, at: int) -> int:
-    """Index of the brace that closes the one at ``at``, -1 if none does."""
-    depth = 0
-    for m in re.compile(r"[{}]").finditer(code, at):
-        depth += 1 if m.group(0) == "{" else -1
-        if depth == 0:
-            return m.start()
-    return -1
+_BRACE = re.compile(r"[{}]")
+
+
+def _braces(code: str) -> dict[int, int]:
+    """Index of each opening brace to that of its closing one; unclosed ones are left out."""
+    pairs, open_ = {}, []
+    for m in _BRACE.finditer(code):
+        if m.group(0) == "{":
+            open_.append(m.start())
+        elif open_:
+            pairs[open_.pop()] = m.start()
+    return pairs
+
+
+def _line_numbers(code: str):
+    feeds = [m.start() for m in re.finditer("\n", code)]
+    return lambda i: bisect.bisect_left(feeds, i) + 1
 
 
 _C_HEAD = re.compile(r"[;{}]|\Z")
@@ -140,14 +150,14 @@ _JS_HEADS = (("func", re.compile(r"(?:\basync\s+)?\bfunction\s+\w+\s*\([^)]*\)\s
 def c_spans(text: str) -> list[tuple[str, int, int]]:
     """Function definitions and declarations at the top level of a C file, found by its braces."""
     code = re.sub(r"(?m)^[ \t]*#(?:[^\n\\]|\\\n|\\.)*", lambda m: re.sub(r"[^\n]", " ", m.group(0)), _blank(text, "c"))
-    line = lambda i: code.count("\n", 0, i) + 1
+    line, braces = _line_numbers(code), _braces(code)
     out, at = [], 0
     while at < len(code):
         m = _C_HEAD.search(code, at)
         head = code[at : m.start()]
         begin = at + len(head) - len(head.lstrip())
         if m.group(0) == "{":
-            close = _closing(code, m.start())
+            close = braces.get(m.start(), -1)
             if close < 0:
                 break
             if re.search(r"\)\s*$", head) and not re.search(r"=\s*$", head):
@@ -172,11 +182,11 @@ def c_spans(text: str) -> list[tuple[str, int, int]]:
 def javascript_spans(text: str) -> list[tuple[str, int, int]]:
     """Functions, classes, arrow functions with a body and methods, found by their heads and braces."""
     code = _blank(text, "javascript")
-    line = lambda i: code.count("\n", 0, i) + 1
+    line, braces = _line_numbers(code), _braces(code)
     out, seen = [], set()
     for kind, head in _JS_HEADS:
         for m in head.finditer(code):
-            close = _closing(code, m.end() - 1)
+            close = braces.get(m.end() - 1, -1)
             begin = m.start() + len(m.group(0)) - len(m.group(0).lstrip())
             if close >= 0 and (begin, close) not in seen:
                 seen.add((begin, close))
@@ -187,16 +197,17 @@ def javascript_spans(text: str) -> list[tuple[str, int, int]]:
 def css_spans(text: str) -> list[tuple[str, int, int]]:
     """Rules and media statements; rules within a media statement count too."""
     code = _blank(text, "css")
-    line = lambda i: code.count("\n", 0, i) + 1
-    out = []
-    for m in re.finditer(r"([^{};]+)\{", code):
-        close = _closing(code, m.end() - 1)
-        head = m.group(1)
-        if close < 0 or not head.strip():
+    line, braces = _line_numbers(code), _braces(code)
+    out, last = [], 0
+    for m in re.finditer(r"[{};]", code):
+        head, begin = code[last : m.start()], last
+        last = m.end()
+        close = braces.get(m.start(), -1)
+        if m.group(0) != "{" or close < 0 or not head.strip():
             continue
-        begin = m.start() + len(head) - len(head.lstrip())
-        at_rule = head.strip().startswith("@")
-        if not at_rule or head.strip().startswith("@media"):
+        begin += len(head) - len(head.lstrip())
+        at_rule = code[begin] == "@"
+        if not at_rule or code.startswith("@media", begin):
             out.append(("media" if at_rule else "rule", line(begin), line(close)))
     return out
 
