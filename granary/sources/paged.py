@@ -102,3 +102,8 @@ def cached_pages(addresses: DataFrame, cache: DataFrame) -> DataFrame:
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(PagedSource)
+
+
+def sample_page(offset: int, length: int) -> list:
+    """Offline pages for tests: rows of their own number."""
+    return [{"row_idx": i, "row": {"n": i}} for i in range(offset, offset + length)]
