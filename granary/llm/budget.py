@@ -11,10 +11,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from granary.llm import bpe
 from granary.llm.handwritten import repo_name
+from granary.llm.sampling import hash_sample
 from granary.llm.shingles import portions
 from granary.session import table
 
@@ -108,8 +108,7 @@ def fit(items: DataFrame, id_col: str, text_col: str, tokenizer: str | None = No
     path = tokenizer or bpe.ranks_path()
     frequent = [r[0] for r in items.groupBy("_language").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_language").limit(LANGUAGES).collect()]
     light = items.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, F.when(F.col("_language").isin(frequent), F.col("_language")).otherwise("").alias("_group"))
-    order = Window.partitionBy("_group").orderBy(F.xxhash64(id_col), id_col)
-    chosen = light.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= FIT_ROWS + HOLDOUT_ROWS).select(F.col(id_col).alias("_id"), "_group", (F.col("_k") > FIT_ROWS).alias("_held"))
+    chosen = hash_sample(light, id_col, FIT_ROWS + HOLDOUT_ROWS, "_group").select(F.col(id_col).alias("_id"), "_group", (F.col("_k") > FIT_ROWS).alias("_held"))
 
     def tokenize(batches):
         coder = bpe.Encoder(bpe.load_ranks(path))
