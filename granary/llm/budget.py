@@ -154,6 +154,11 @@ def token_budget(chunks: DataFrame, repos: DataFrame) -> DataFrame:
     return sums.join(domains, "repo", "left").select("repo", "language", F.coalesce("domain", F.lit("unknown")).alias("domain"), "n_chunks", "n_bytes", "est_tokens")
 
 
+def p5_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each chunk's estimate, with its repo and language as the sums name them."""
+    return token_estimates(table(spark, sf_dir, "code_chunks_raw"), keep={"repo": F.coalesce(repo_name(F.col("repo")), F.lit("unknown"))})
+
+
 def p5_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_budget(table(spark, sf_dir, "code_chunks_raw"), table(spark, sf_dir, "repos"))
 

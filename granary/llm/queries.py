@@ -14,6 +14,7 @@ def queries():
         "p3_pieces": split.p3_pieces,
         "p4_found": neardup.p4_found,
         "p4_groups": neardup.p4_groups,
+        "p5_chunks": budget.p5_chunks,
         "p5_budget": budget.p5_budget,
         "p5_domains": budget.p5_domains,
         "p6_ids": encode.p6_ids,
