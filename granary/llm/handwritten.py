@@ -220,7 +220,7 @@ def file_verdicts(chunks: DataFrame, repos: DataFrame | None = None, path_col: s
             "data": (F.col("chars") >= 300) & ((ratio("digits", "chars") >= 0.28) | (ratio("literal", "chars") >= 0.4)),
         }
     )
-    verdict = F.when(F.col("vendored"), "vendored").when(F.col("minified"), "minified").when(F.col("data"), "data").when(F.col("generated"), "generated").otherwise("handwritten")
+    verdict = F.when(F.col("vendored"), "vendored").when(F.col("data"), "data").when(F.col("minified"), "minified").when(F.col("generated"), "generated").otherwise("handwritten")
     return f.select("path", "repo", *COUNTS, "generated", "minified", "vendored", "data", verdict.alias("verdict"))
 
 
