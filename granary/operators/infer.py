@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 from granary.functions import text as X
 from granary.operators.dedup import first_wins, pending
 from granary.operators.quality import instruction_defect
+from granary.session import materialize
 
 # How much of a prompt fits, and defaults of a worker.
 CHARS_PER_TOKEN_LIMIT, CONTEXT_SLACK = 6, 16
@@ -140,8 +141,11 @@ def positional_zip(left: DataFrame, right: DataFrame, order_left: str, order_rig
 
 
 def numbered(rows: DataFrame, order: str) -> DataFrame:
-    """``rows`` with ``pos``, their rank (from 0) by ``order``."""
-    sorted_ = rows.orderBy(order).withColumn("_p", F.monotonically_increasing_id())
+    """``rows`` with ``pos``, their rank (from 0) by ``order``.
+
+    The sorted rows are written once, so that both the sizes and the numbers see the same ranges.
+    """
+    sorted_ = materialize(rows.orderBy(order).withColumn("_p", F.monotonically_increasing_id()), "sorted")
     split = sorted_.withColumn("_part", F.shiftright("_p", 33)).withColumn("_row", F.col("_p") - F.shiftleft(F.col("_part"), 33))
     sizes = split.groupBy("_part").agg(F.count("*").alias("_n"))
     ahead = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
