@@ -139,3 +139,8 @@ def file_suffix(path: Column) -> Column:
 def decode_text(content: Column) -> Column:
     """UTF-8 bytes as text, malformed ones replaced."""
     return F.call_function("make_valid_utf8", content.cast("string"))
+
+
+def newest(rows, name_col: str):
+    """The row whose name has the highest version (of equal ones the last name)."""
+    return rows.orderBy(F.desc(version_key(F.col(name_col))), F.desc(name_col)).limit(1)

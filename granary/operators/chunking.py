@@ -61,6 +61,7 @@ def config_instruction(path: Column, text: Column) -> Column:
     rules = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"(?m)^([A-Za-z0-9_-]+):"), 1), 1, 4), ", ")
     ends = lambda *xs: F.greatest(*(F.endswith(low, F.lit(x)).cast("int") for x in (*xs, xs[0]))) == 1
     say = F.format_string
+    # The sentences.
     yaml = (
         F.when(F.contains(name, F.lit("docker-compose")) | F.contains(low, F.lit("compose")), say("Write the docker-compose service definition for `%s` as shown.", F.when(service == "", "app").otherwise(service)))
         .when((kind != "") & (target != ""), say("Write the Kubernetes %s manifest for `%s`.", kind, target))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.functions import text as X
-from granary.operators.dedup import first_wins, pending
+from granary.operators.dedup import first_wins, pending, without_known
 from granary.operators.quality import instruction_defect
 from granary.session import materialize
 
@@ -205,3 +205,35 @@ def expand_alignment(combos: DataFrame, hints: dict[str, str], backend=EchoBacke
     good = bad.join(ask(bad, good_code_prompt(F.col("language"), F.col("hint"), F.col("bad"))).select(F.col("_idx").alias("pos"), generated_code(F.col("_text")).alias("good")), "pos").where("good IS NOT NULL")
     unique = first_wins(good.withColumn("_d", X.digest(F.col("good"))), ["_d"], "pos").drop("_d", "hint")
     return unique if target is None else unique.orderBy(X.hash_order(seed, F.col("pos")), "pos").limit(target)
+
+
+def expand_from_code(code: DataFrame, known: DataFrame, principles: dict[str, str], backend=EchoBackend, spec: WorkerSpec | None = None, most: int = 4000, seed: int = 42) -> DataFrame:
+    """Alignment records from code records (pos, language, instruction, output): a principle each, its fix by completion.
+
+    CSS is left out (a missing language isn't); at most ``most`` rows in shuffled order take part (the
+    operator's budget of completions). Fixes that are too short, repeat an earlier one (least pos) or stand in
+    ``known`` (output) are dropped. Input is the code, token_count that of code and output together.
+    """
+    usable = code.where(~F.col("language").eqNullSafe("css"))
+    chosen = usable.orderBy(X.hash_order(seed, F.col("pos")), "pos").limit(most).withColumn("principle", X.hash_pick(list(principles), seed, F.col("pos")))
+    hints = F.create_map(*[F.lit(x) for kv in principles.items() for x in kv])
+    rows = chosen.withColumn("hint", F.element_at(hints, F.col("principle")))
+    jobs = rows.select(F.col("pos").alias("_idx"), good_code_prompt(F.coalesce("language", F.lit("unknown")), F.col("hint"), F.col("output")).alias("prompt"), F.lit(None).cast("int").alias("max_tokens"), F.lit(None).cast("double").alias("temperature"), F.lit(None).cast("double").alias("top_p"), F.lit(None).cast("array<string>").alias("stop"))
+    fixed = rows.join(run_completions(jobs, backend, spec).select(F.col("_idx").alias("pos"), generated_code(F.col("_text")).alias("fix")), "pos").where("fix IS NOT NULL")
+    out = fixed.select("pos", "language", "principle", F.col("output").alias("input"), F.concat(F.format_string("Refactor this %s code to follow %s.", F.coalesce("language", F.lit("unknown")), F.col("principle"))).alias("instruction"), F.concat(F.lit("<thought>"), F.col("hint"), F.lit("</thought>\n\n"), F.col("fix")).alias("output"))
+    new = without_known(first_wins(out.withColumn("_e", X.digest(F.col("output"))), ["_e"], "pos").drop("_e"), known, "output")
+    return new.withColumn("token_count", X.token_estimate(F.col("input")) + X.token_estimate(F.col("output")))
+
+
+def progress(jobs: int, results: DataFrame, width: str = "20 seconds", time_col: str = "recorded_at") -> DataFrame:
+    """Per window of ``width`` with results: results so far, percent of ``jobs``, rate per second since the first window, time left."""
+    by = results.groupBy(F.window(F.col(time_col).cast("timestamp"), width).alias("w")).agg(F.count("*").alias("n"))
+    order = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)  # over one row a window
+    done = by.select(F.unix_micros("w.end").alias("at"), F.unix_micros("w.start").alias("from"), "n").select("at", F.sum("n").over(order).alias("done"), ((F.col("at") - F.min("from").over(order)) / 1e6).alias("seconds"))
+    rate = F.col("done") / F.col("seconds")
+    return done.select(F.timestamp_micros("at").alias("window_end"), "done", F.bround(F.least(F.col("done") / max(1, jobs) * 100, F.lit(100.0)), 1).alias("pct"), F.bround(rate, 6).alias("per_s"), X.duration(F.greatest(jobs - F.col("done"), F.lit(0)) / rate).alias("eta"))
+
+
+def best_plan(rates: DataFrame) -> DataFrame:
+    """The plan (plan, ord, rate) of highest rate, of equal ones the first by ``ord``; rates of 0 and null never win."""
+    return rates.where("rate > 0").agg(F.max_by("plan", F.struct("rate", -F.col("ord"))).alias("plan"), F.max("rate").alias("rate"))

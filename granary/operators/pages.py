@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 HIDDEN = {"script", "style", "template"}
 LONGEST_DESCRIPTION = 1000  # fixed value: characters of a description that are kept
+# The questions.
+C_QUESTION = "What is the signature and purpose of C's {}?"
+PYTHON_QUESTION = "What is the Python {} function signature and behavior?"
+WEB_QUESTION = "What is the MDN reference for {}?"
 
 
 class Node:
@@ -90,7 +94,7 @@ def c_reference(key: str, html: str) -> list[tuple[str, str, str]]:
         return []
     pre = example.find("pre") if example else None
     name = h1.text()
-    return [(f"What is the signature and purpose of C's {name}?", "\n\n".join(x for x in (signature, description, pre.text() if pre else "") if x), name)]
+    return [(C_QUESTION.format(name), "\n\n".join(x for x in (signature, description, pre.text() if pre else "") if x), name)]
 
 
 def python_reference(key: str, html: str) -> list[tuple[str, str, str]]:
@@ -107,7 +111,7 @@ def python_reference(key: str, html: str) -> list[tuple[str, str, str]]:
         dd = next((n for n in order if n.tag == "dd" and n.place > dt.place), None)
         description = dd.text(" ")[:LONGEST_DESCRIPTION] if dd else ""
         name = f"{key}.{signature.split('(')[0].strip().split('.')[-1]}"
-        out.append((f"What is the Python {name} function signature and behavior?", f"{signature}\n\n{description}" if description else signature, name))
+        out.append((PYTHON_QUESTION.format(name), f"{signature}\n\n{description}" if description else signature, name))
     return out
 
 
@@ -119,7 +123,7 @@ def web_reference(key: str, html: str) -> list[tuple[str, str, str]]:
     p = (root.find("main") or root.find("article") or root).find("p")
     syntax = root.find("div", "syntax") or root.find("pre", "syntaxbox")
     parts = [syntax.text() if syntax else "", p.text()[:LONGEST_DESCRIPTION] if p else ""]
-    return [(f"What is the MDN reference for {title}?", "\n\n".join(x for x in parts if x), title)]
+    return [(WEB_QUESTION.format(title), "\n\n".join(x for x in parts if x), title)]
 
 
 FAMILIES = {"c": c_reference, "python": python_reference, "web": web_reference}

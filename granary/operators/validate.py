@@ -20,7 +20,6 @@ def validation_report(rows: DataFrame, expected_languages: list[str], least: int
     lack instruction or output. Warnings: share of a layer off its target (a missing layer counts as code, an
     unknown one isn't counted, missing tokens are estimated); languages absent; outputs repeated.
     """
-    spark = rows.sparkSession
     whole = F.concat(X.text_or_empty(F.col("instruction")), F.lit(" "), X.text_or_empty(F.col("output")))
     t = F.coalesce("token_count", X.token_estimate(whole))
     layer = F.coalesce("layer", F.lit("code"))
@@ -44,7 +43,6 @@ def validation_report(rows: DataFrame, expected_languages: list[str], least: int
         check("missing_languages", missing, missing == 0, False),
         check("duplicate_outputs", F.col("duplicates"), F.col("duplicates") == 0, False),
     )
-    del spark
     return facts.select(F.explode(checks).alias("c")).select("c.*")
 
 
@@ -62,7 +60,7 @@ def structure_errors(lines: DataFrame, line_col: str = "value", order: str = "li
     return kept.where("reason IS NOT NULL").orderBy(order).limit(most)
 
 
-def assert_unique_not_null(rows: DataFrame, *columns: str) -> DataFrame:
+def assert_present(rows: DataFrame, *columns: str) -> DataFrame:
     """``rows``, failing at run time where one of ``columns`` is null."""
     for c in columns:
         rows = rows.withColumn(c, F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{c} is null"))).otherwise(F.col(c)))

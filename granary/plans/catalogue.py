@@ -412,6 +412,33 @@ def _(spark, d):
     return infer.expand_alignment(mix.combinations(spark, list(seeds.PRINCIPLES), list(seeds.LANGUAGES), 200), seeds.PRINCIPLES)
 
 
+@query("q_align_code")
+def _(spark, d):
+    code = table(spark, d, "code_chunks_raw").where("code IS NOT NULL").select(F.col("chunk_id").alias("pos"), "language", F.coalesce("name", F.lit("")).alias("instruction"), F.col("code").alias("output"))
+    return infer.expand_from_code(code, table(spark, d, "documents").select(F.col("text").alias("output")), seeds.PRINCIPLES, most=500)
+
+
+@query("q_progress", """WITH w AS (SELECT time_bucket(INTERVAL '1 hour', recorded_at) AS s, count(*) AS n FROM job_results GROUP BY 1), c AS (SELECT s + INTERVAL '1 hour' AS window_end, sum(n) OVER (ORDER BY s)::BIGINT AS done, epoch(s + INTERVAL '1 hour' - min(s) OVER (ORDER BY s)) AS sec FROM w WHERE s IS NOT NULL), j AS (SELECT count(*) AS jobs FROM jobs),
+e AS (SELECT *, floor(greatest(jobs - done, 0) / (done / sec))::BIGINT AS left_s FROM c, j)
+SELECT window_end, done, round_even(least(done::DOUBLE / jobs * 100, 100), 1) AS pct, round_even(done / sec, 6) AS per_s,
+ CASE WHEN left_s >= 3600 THEN (left_s // 3600)::VARCHAR || 'h ' || lpad((left_s % 3600 // 60)::VARCHAR, 2, '0') || 'm' WHEN left_s >= 60 THEN (left_s // 60)::VARCHAR || 'm ' || lpad((left_s % 60)::VARCHAR, 2, '0') || 's' ELSE left_s::VARCHAR || 's' END AS eta FROM e""")
+def _(spark, d):
+    p = infer.progress(table(spark, d, "jobs").count(), table(spark, d, "job_results").where("recorded_at IS NOT NULL"), "1 hour")
+    return p.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
+@query("q_best_plan", "WITH r AS (SELECT _worker AS plan, rank() OVER (ORDER BY _worker) AS ord, count(*) AS rate FROM job_results WHERE _worker IS NOT NULL GROUP BY 1) SELECT plan, rate FROM r WHERE rate > 0 ORDER BY rate DESC, ord LIMIT 1")
+def _(spark, d):
+    by = table(spark, d, "job_results").where("_worker IS NOT NULL").groupBy(F.col("_worker").alias("plan")).agg(F.count("*").alias("rate"))
+    names = [r["plan"] for r in by.select("plan").orderBy("plan").collect()]  # one row a worker
+    return infer.best_plan(by.withColumn("ord", F.array_position(F.array(*map(F.lit, names or [""])), F.col("plan"))))
+
+
+@query("q_newest_version", "SELECT 'tool-1.10.2' AS name")
+def _(spark, d):
+    return X.newest(spark.createDataFrame([("tool-1.9.9",), ("tool-1.10.2",), ("tool",), ("tool-1.10",)], "name STRING"), "name")
+
+
 @query("q_source_rows", """WITH r AS (SELECT doc_id, topic AS instruction, text AS output, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS rn FROM documents WHERE topic IS NOT NULL AND text IS NOT NULL AND source = 'runbooks') SELECT doc_id, instruction FROM r WHERE rn = 1 ORDER BY doc_id LIMIT 30""")
 def _(spark, d):
     mapped = lambda r: r.where("topic IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("topic").alias("instruction"), F.col("text").alias("output"))
@@ -503,6 +530,16 @@ def _(spark, d):
     return dag.retry_decisions(ev)
 
 
+@query("q_last_summaries", "SELECT o_custkey AS query_id, o_orderdate AS at, o_orderkey::VARCHAR AS summary FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey::VARCHAR) AS rn FROM orders) WHERE rn <= 2")
+def _(spark, d):
+    return dag.last_summaries(table(spark, d, "orders").select(F.col("o_custkey").alias("query_id"), F.col("o_orderdate").alias("at"), F.col("o_orderkey").cast("string").alias("summary")))
+
+
+@query("q_event_metrics", "SELECT user_id AS query_id, event_type, count(*) AS n FROM events GROUP BY ALL")
+def _(spark, d):
+    return dag.event_metrics(table(spark, d, "events").select(F.col("user_id").alias("query_id"), "event_type"))
+
+
 @query("q_fit_context", """WITH s AS (SELECT o_custkey::VARCHAR AS query_id, o_orderkey::VARCHAR AS section, o_orderkey AS priority, floor(o_totalprice / 100)::BIGINT AS tokens FROM orders),
 w AS (SELECT *, sum(tokens) OVER (PARTITION BY query_id ORDER BY priority, section ROWS UNBOUNDED PRECEDING)::BIGINT AS upto FROM s) SELECT * FROM w WHERE upto <= 3072""")
 def _(spark, d):

@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import text as X
-from granary.operators import chunking, infer, mix, quality, records, validate
+from granary.operators import chunking, dedup, infer, mix, pages, quality, records, validate
 from granary.sources import files, seeds
 
 log = logging.getLogger("granary")
 EXTENSIONS = {"python": [".py"], "c": [".c", ".h"], "javascript": [".js"], "html": [".html", ".htm"], "css": [".css"]}
 EXCLUDED = [".git", "node_modules", "build", "dist", "vendor", "third_party", "__pycache__", "test", "tests"]
 CONFIG_EXTENSIONS = [".yaml", ".yml", ".tf", ".tfvars", ".service", ".timer"]
-LEAST = {"chunk": 50, "instruct": 50, "align": 1, "devops": 1, "mix": 100}
+#: Rows that an output needs for its phase to be skipped by --resume.
+LEAST = {"chunk": ("chunks/code_raw", 50), "instruct": ("layers/code", 50), "docs": ("layers/doc", 50), "align": ("layers/alignment", 1), "align-code": ("layers/alignment_code", 100), "devops": ("layers/devops", 1), "mix": ("train", 100)}
 
 
 def _flat(rows: DataFrame) -> DataFrame:
@@ -63,11 +64,50 @@ def phase_devops(spark: SparkSession, data: str, options) -> None:
     files.write_jsonl(mix.union_layers(*parts), f"{data}/layers/devops")
 
 
+def phase_docs(spark: SparkSession, data: str, options) -> None:
+    """Cached reference pages (key, html) below pages/FAMILY to doc records."""
+    found = [f for f in pages.FAMILIES if files.exists(spark, f"{data}/pages/{f}")]
+    parts = [pages.page_records(spark.read.schema("key STRING, html STRING").json(f"{data}/pages/{f}"), f, "key").select(*records.record(F.col("instruction"), F.col("output"), layer="doc", source=f"{f}_reference", topic=F.col("topic"))) for f in found]
+    if parts:
+        files.write_jsonl(mix.union_layers(*parts), f"{data}/layers/doc")
+
+
+def phase_hub(spark: SparkSession, data: str, options) -> None:
+    """Instruction rows below hub/rows and chats below hub/chats to records that go before the doc and devops layers."""
+    if files.exists(spark, f"{data}/hub/rows"):
+        rows = spark.read.schema("instruction STRING, input STRING, output STRING, category STRING").json(f"{data}/hub/rows")
+        files.write_jsonl(_once(records.map_rows(rows, "instruction", "output", "input", layer="doc", language="unknown", source="hub:rows", category=F.col("category"))), f"{data}/layers/doc_hub")
+    if files.exists(spark, f"{data}/hub/chats"):
+        chats = spark.read.schema("conversations STRING").json(f"{data}/hub/chats")
+        got = records.chat_pairs_nested(chats, "conversations").select(*records.record(F.col("instruction"), F.col("output"), layer="devops", language="unknown", source="hub:chats"))
+        files.write_jsonl(_once(got), f"{data}/layers/devops_hub")
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """One row of each output: that of least instruction."""
+    keyed = rows.withColumn("_d", X.digest(F.col("output"))).withColumn("_o", F.struct("instruction", "input", "_d"))
+    return dedup.first_wins(keyed.dropDuplicates(["_o"]), ["_d"], "_o").drop("_d", "_o")
+
+
+def phase_align_code(spark: SparkSession, data: str, options) -> None:
+    """Refactoring records from code records; they go before the seeds."""
+    code = files.read_jsonl(spark, f"{data}/layers/code").select("instruction", "output", "metadata.language")
+    keyed = infer.numbered(code.withColumn("_o", X.digest(F.concat_ws("\x1f", "instruction", "output"))), "_o").drop("_o")
+    seen = files.read_jsonl(spark, f"{data}/layers/alignment").select("output")
+    made = infer.expand_from_code(keyed, seen, seeds.PRINCIPLES, most=options.limit or 4000, seed=options.seed)
+    files.write_jsonl(made.select(*records.record(F.col("instruction"), F.col("output"), F.col("input"), layer="alignment", language=F.col("language"), principle=F.col("principle"), source="code-expansion")), f"{data}/layers/alignment_code")
+
+
+#: Where rows of each layer come from, in the order in which first copies win.
+SOURCES = {"code": ("code",), "doc": ("doc_hub", "doc"), "alignment": ("alignment_code", "alignment"), "devops": ("devops_hub", "devops")}
+
+
 def phase_filter(spark: SparkSession, data: str, options) -> None:
     """The waterfall over all layers that exist; the report goes to the log."""
-    present = [x for x in mix.LAYERS if files.exists(spark, f"{data}/layers/{x}")]
-    whole = mix.union_layers(*(_flat(files.read_jsonl(spark, f"{data}/layers/{x}")).withColumn("layer", F.lit(x)) for x in present))
-    judged = quality.waterfall(infer.numbered(whole.withColumn("_o", X.digest(F.concat_ws("\x1f", "layer", "instruction", "output"))), "_o").drop("_o"))
+    present = [(layer, k, x) for layer in mix.LAYERS for k, x in enumerate(SOURCES[layer]) if files.exists(spark, f"{data}/layers/{x}")]
+    whole = mix.union_layers(*(_flat(files.read_jsonl(spark, f"{data}/layers/{x}")).withColumns({"layer": F.lit(layer), "_k": F.lit(k)}) for layer, k, x in present))
+    order = F.struct("_k", X.digest(F.concat_ws("\x1f", "layer", "instruction", "output")).alias("d"))
+    judged = quality.waterfall(infer.numbered(whole.withColumn("_o", order), "_o").drop("_o", "_k"))
     files.write_layers(judged.where(F.col("reason") == quality.KEPT), f"{data}/filtered")
     for r in quality.drop_report(judged).orderBy("layer", F.desc("n")).collect():
         log.info("%s %s: %d rows, %d tokens", r["layer"], r["reason"], r["n"], r["tokens"])
@@ -86,7 +126,7 @@ def phase_validate(spark: SparkSession, data: str, options) -> bool:
     return validate.passes(report)
 
 
-PHASES: dict[str, Callable] = {"chunk": phase_chunk, "instruct": phase_instruct, "align": phase_align, "devops": phase_devops, "filter": phase_filter, "mix": phase_mix, "validate": phase_validate}
+PHASES: dict[str, Callable] = {"chunk": phase_chunk, "instruct": phase_instruct, "docs": phase_docs, "hub": phase_hub, "align": phase_align, "align-code": phase_align_code, "devops": phase_devops, "filter": phase_filter, "mix": phase_mix, "validate": phase_validate}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -97,14 +137,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--limit", type=int, default=0)
     p.add_argument("--seed", type=int, default=mix.SEED)
     p.add_argument("--least", type=int, default=validate.MIN_LINES)
+    p.add_argument("--resume", action="store_true", help="skip phases whose output is there with enough rows")
     options = p.parse_args(argv)
-    names = list(PHASES) if options.phase == "all" else [x.strip() for x in options.phase.split(",") if x.strip()]
+    names = [x for x in PHASES if x != "align-code"] if options.phase == "all" else [x.strip() for x in options.phase.split(",") if x.strip()]
     unknown = [x for x in names if x not in PHASES]
     if unknown:
         log.error("unknown phase %s; known: %s", unknown[0], ", ".join(PHASES))
         return 1
     spark = spark or SparkSession.builder.appName("granary").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     for x in names:
+        if options.resume and x in LEAST and files.finished(spark, f"{options.data}/{LEAST[x][0]}", LEAST[x][1]):
+            log.info("%s is there already", x)
+            continue
         PHASES[x](spark, options.data.rstrip("/"), options)
     return 0
 

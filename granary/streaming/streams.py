@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from granary.functions import text as X
 
@@ -54,3 +54,20 @@ def resumable_results(spark: SparkSession, jobs_dir: str, jobs_schema, out_dir:
 def drain(stream: DataFrame, out_dir: str, checkpoint: str, mode: str = "append") -> None:
     """Write all that a stream has now as Parquet and return when it is done."""
     stream.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
+
+
+class Progress(StreamingQueryListener):
+    """Keeps rows in and rate of each batch of the session's streams."""
+
+    def __init__(self) -> None:
+        self.batches: list[tuple[str, int, float]] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.batches.append((str(p.id), int(p.numInputRows), float(p.processedRowsPerSecond)))
+
+    def onQueryTerminated(self, event) -> None:
+        pass

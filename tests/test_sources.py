@@ -116,7 +116,15 @@ def test_pipeline(spark, tmp_path):
     config = tmp_path / "config/demo/k8s"
     config.mkdir(parents=True)
     (config / "web.yaml").write_text("kind: Pod\nmetadata:\n  name: web\nspec:\n  containers: []\n  restartPolicy: Always\n")
+    (tmp_path / "pages/web").mkdir(parents=True)
+    (tmp_path / "pages/web/p.json").write_text(json.dumps({"key": "css/gap", "html": "<main><h1>gap</h1><p>The gap property sets the space between rows and columns.</p></main>"}) + "\n")
+    (tmp_path / "hub/chats").mkdir(parents=True)
+    (tmp_path / "hub/chats/c.json").write_text(json.dumps({"conversations": json.dumps([{"from": "human", "value": "How do I list services?"}, {"from": "gpt", "value": "Use the command systemctl list-units and read its table."}])}) + "\n")
     assert pipeline.main(["--data", str(tmp_path), "--phase", "nope"], spark) == 1
     assert pipeline.main(["--data", str(tmp_path)], spark) == 0
+    assert pipeline.main(["--data", str(tmp_path), "--phase", "align-code,filter,mix,validate"], spark) == 0
+    assert files.read_jsonl(spark, str(tmp_path / "layers/alignment_code")).count() > 100
+    assert pipeline.main(["--data", str(tmp_path), "--phase", "chunk,mix", "--resume"], spark) == 0
     stats = json.loads((tmp_path / "stats.json").read_text())
-    assert stats["total_examples"] == files.read_jsonl(spark, str(tmp_path / "train")).count() >= 100 and stats["layer_counts"]["code"] == 120
+    assert stats["total_examples"] == files.read_jsonl(spark, str(tmp_path / "train")).count() >= 100 and stats["layer_counts"]["code"] == 120 and stats["layer_counts"]["doc"] == 1
+    assert {"hub:chats", "web_reference"} <= {r["s"] for r in files.read_jsonl(spark, str(tmp_path / "train")).select("metadata.source").withColumnRenamed("source", "s").distinct().collect()}
