@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm.shingles import _KIND, _OTHER, _B1, _running, _spans, mix, portions
-from granary.session import table
+from granary.session import materialize, table
 
 #: Phrases of generation notices, lower case, as tools write them. Each must stand in a leading comment.
 NOTICES = (
@@ -199,6 +199,7 @@ def file_verdicts(chunks: DataFrame, repos: DataFrame | None = None, path_col: s
     """
     e = chunk_evidence(chunks, path_col, code_col, repo_col)
     files = e.groupBy("path").agg(F.min("repo").alias("repo"), F.max("notice").alias("notice"), F.array_distinct(F.flatten(F.collect_set("owners"))).alias("owners"), *(F.sum(c).alias(c) for c in COUNTS))
+    files = materialize(files, "files")  # read three times below; the code only once
     files = files.withColumn("own", F.coalesce("repo", F.lower(F.element_at(F.split("path", "/"), 1))))
     parts = F.split(F.lower("path"), "/")
     inside = F.transform(F.filter(F.arrays_zip(F.slice(parts, 1, F.greatest(F.size(parts) - 2, F.lit(0))).alias("dir"), F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))).alias("sub")), lambda x: x["dir"].isin(*VENDOR_DIRS)), lambda x: x["sub"])
