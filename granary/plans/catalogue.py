@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import text as X
 from granary.operators import chunking, dag, dedup, infer, mix, pages, quality, records, retrieval, validate
-from granary.session import table
+from granary.session import fresh_path, table
 from granary.sources import files, paged, seeds
 from granary.streaming import streams
 
@@ -445,6 +445,39 @@ def _(spark, d):
     return paged.source_rows(table(spark, d, "documents").where("source = 'runbooks'"), mapped, "doc_id", 30).select("doc_id", "instruction")
 
 
+# --- sinks and streams: written to the shared folder and read back ---
+
+
+@query("q_jsonl_roundtrip", "SELECT doc_id, text, lang, n_chars FROM documents")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "n_chars")
+    path = fresh_path(spark, "jsonl")
+    files.write_jsonl(docs, path)
+    return files.read_jsonl(spark, path, docs.schema)
+
+
+@query("q_layer_files", f"WITH {SIZED} SELECT pos, token_count FROM sized WHERE layer = 'devops'")
+def _(spark, d):
+    path = fresh_path(spark, "layers")
+    files.write_layers(_sized(spark, d).select("pos", "token_count", "layer"), path)
+    return spark.read.parquet(path).where("layer = 'devops'").select("pos", "token_count")
+
+
+@query("q_stream_metrics", """WITH w AS (SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, event_type, count(*) AS n, max(value) AS max_value FROM events GROUP BY ALL)
+SELECT * FROM w WHERE window_start + INTERVAL '1 day' <= (SELECT max(ts) - INTERVAL '1 hour' FROM events)""")
+def _(spark, d):
+    out = fresh_path(spark, "windows")
+    streams.drain(streams.tumbling(files.stream_table(spark, d, "events")), out, fresh_path(spark, "progress"))
+    return spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "max_value")
+
+
+@query("q_stream_once", "SELECT sha256(coalesce(content, '')) AS digest FROM train GROUP BY 1")
+def _(spark, d):
+    out = fresh_path(spark, "once")
+    streams.drain(streams.arrivals_once(files.stream_table(spark, d, "train"), "content"), out, fresh_path(spark, "progress"))
+    return spark.read.parquet(out).select(X.digest(X.text_or_empty(F.col("content"))).alias("digest"))
+
+
 # --- extensions: events, retrieval, plans ---
 
 

@@ -98,6 +98,16 @@ def read_tree(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     return files.select(F.substring(local, len(base if base.startswith("/") else base.replace("file://", "")) + 1, 1 << 20).alias("path"), "length", text.alias("text"), X.file_lines(text).alias("n_lines"))
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The Parquet table ``name`` as a stream of files; a table of one file is met in its folder."""
+    path = f"{sf_dir}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    fs, p = _fs(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        return spark.readStream.schema(schema).parquet(path)
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 METRICS = T.StructType(
     [T.StructField("t", T.DoubleType()), T.StructField("cpu_pct", T.DoubleType()), *(T.StructField(k, T.LongType()) for k in ("cpu_logical", "ram_used_mb", "ram_avail_mb")), *(T.StructField(k, T.DoubleType()) for k in ("gpu_util_pct", "gpu_vram_used_mb", "gpu_vram_free_mb", "gpu_power_w", "gpu_temp_c"))]
 )
