@@ -35,11 +35,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/granary/{label}-{uuid.uuid4().hex}"
 
 
-def local_mount(uri: str) -> str | None:
-    """The path of a ``file:`` URI, which every machine has mounted; None for other file systems."""
-    if uri.startswith("file:"):
-        return "/" + uri[len("file:") :].lstrip("/")
-    return uri if uri.startswith("/") else None
+def local_mount(spark: SparkSession, path: str) -> str | None:
+    """The local path of a place in the shared folder that every machine has mounted; None on other file systems.
+
+    A path without a scheme belongs to Spark's default file system, which needn't be the local one.
+    """
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = str(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toUri())
+    return "/" + uri[len("file:") :].lstrip("/") if uri.startswith("file:") else None
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.operators import infer, records
 from granary.plans import pipeline
-from granary.session import fresh_path, materialize, shared_dir
+from granary.session import fresh_path, local_mount, materialize, shared_dir
 from granary.sources import files, paged, seeds
 from granary.streaming import streams
 
@@ -81,6 +81,10 @@ def test_materialize(spark):
     assert df.count() == 5 and shared_dir(spark) in df.inputFiles()[0].replace("file:///", "file:///") and fresh_path(spark, "a") != fresh_path(spark, "a")
 
 
+def test_local_mount(spark):
+    assert local_mount(spark, "file:///a/b") == "/a/b" and local_mount(spark, "/a/b") in ("/a/b", None)
+
+
 def test_stream_equals_batch(spark, data, tmp_path):
     schema = spark.read.parquet(f"{data}/events.parquet").schema
     src = tmp_path / "events"
