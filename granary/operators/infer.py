@@ -1,6 +1,7 @@
 """Batch text generation: jobs in, results out, by a pluggable completion backend.
 
-A backend is built once per Python worker and completes batches. Failed requests are tried again up to
+A backend is built once per Python worker and completes batches. Prompts are shortened to the spec's context,
+or to the backend's own ``context`` if it has one (None: no limit, prompts stay whole). Failed requests are tried again up to
 ``attempts`` times and then give a null text. Results are keyed by ``_idx``; finished ones are skipped
 by an anti-join, so a run resumes where the last one ended.
 """
@@ -51,6 +52,7 @@ class EchoBackend:
     """Offline backend: a text that depends on the prompt alone. Prompts with ``FAIL`` fail."""
 
     name = "echo0"
+    context = None
 
     def complete(self, requests: list[dict]) -> list[str | None]:
         out: list[str | None] = []
@@ -105,10 +107,13 @@ def run_completions(jobs: DataFrame, backend: Callable[[], object] = EchoBackend
     def run(batches):
         worker = backend()
         name = getattr(worker, "name", spec.name)
+        context = getattr(worker, "context", spec.ctx_per_seq)
         for batch in batches:
             requests = batch.to_pylist()
             for r in requests:
-                r["prompt"] = fit_prompt(r["prompt"] or "", spec.ctx_per_seq, r["max_tokens"])
+                r["prompt"] = r["prompt"] or ""
+                if context is not None:
+                    r["prompt"] = fit_prompt(r["prompt"], context, r["max_tokens"])
                 r["top_p"] = spec.top_p if r["top_p"] is None else r["top_p"]
             texts = complete_with_retries(worker, requests, spec.attempts, max(1, spec.n_parallel))
             texts = [t if t is None else cut_at_stop(t, r["stop"] or spec.stop) for t, r in zip(texts, requests)]
@@ -162,7 +167,8 @@ def bad_code_prompt(language: Column, hint: Column) -> Column:
 
 
 def good_code_prompt(language: Column, hint: Column, bad: Column) -> Column:
-    return F.format_string("Rewrite this %s code so that it keeps the rule: %s. Code only.\n\n%s", language, hint, F.substring(bad, 1, PROMPT_CODE_CHARS))
+    """A prompt that asks for better code; it has the whole code, and the request last, where :func:`fit_prompt` keeps it."""
+    return F.format_string("Here is %s code:\n\n%s\n\nRewrite it so that it keeps the rule: %s. Code only.", language, bad, hint)
 
 
 def generated_code(text: Column) -> Column:

@@ -296,6 +296,18 @@ def test_alignment_expansion(spark):
     assert combos.count() == 24 and len(got) == 3 and all(r["good"] and r["bad"] for r in got)
 
 
+def test_fixes_are_made_from_the_whole_code(spark):
+    """Long codes that differ only behind 2,000 characters, in their last or in their first line get fixes of their own."""
+    body = "x = 1\n" * 3000
+    codes = [body + "a()", body + "b()", "c()\n" + body + "a()", body[:3000] + "d()\n" + body[3000:] + "a()"]
+    code = spark.createDataFrame([(i, "python", "", c) for i, c in enumerate(codes)], "pos BIGINT, language STRING, instruction STRING, output STRING")
+    known = spark.range(0).select(F.lit("").alias("output"))
+    got = infer.expand_from_code(code, known, {"p1": "hint"}).collect()
+    assert {r["input"] for r in got} == set(codes) and len({r["output"] for r in got}) == 4
+    prompt = code.select(infer.good_code_prompt(F.col("language"), F.lit("hint"), F.col("output"))).first()[0]
+    assert codes[0] in prompt and "keeps the rule: hint" in infer.fit_prompt(prompt, 1536, 128)
+
+
 @pytest.mark.parametrize("path,ok", [("a/b.py", True), ("a/b.PY", False), ("vendor/b.py", False), ("a/.py", False)])
 def test_source_file_rule(spark, path, ok):
     df = spark.createDataFrame([(path, 10)], "p STRING, n INT")
