@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.functions import text as X
+from granary.session import materialize, shuffle_partitions
 
 K1, B = 1.2, 0.75
+QUERY_BLOCK, ROW_BLOCK = 128, 500  # queries and rows that meet in one cell of a search
 
 
 def terms(c: Column) -> Column:
@@ -62,14 +67,75 @@ def quantized(v: Column) -> Column:
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The ``k`` vectors of highest cosine for each query vector: query_id, id, score, rank.
 
-    ``queries`` is a stated set (query_id, query): it is broadcast in one array and met with all vectors in a
-    single pass, each partition keeping its best before the shuffle.
+    Any number of ``queries`` (query_id, query), in blocks: each block meets each block of vectors in one cell,
+    which keeps its best, so no task holds all queries or all vectors. A query doesn't find itself; vectors with
+    nulls and those of length 0 have no cosine.
     """
-    q = queries.agg(F.collect_list(F.struct("query_id", "query")).alias("_q"))
-    met = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("_v")).join(F.broadcast(q), on=F.lit(True)).select("id", "_v", F.explode("_q").alias("q"))
-    scored = met.select("q.query_id", "id", F.round(cosine(F.col("_v"), F.col("q.query")), 6).alias("score")).where("score IS NOT NULL AND id <> query_id")
+
+    def cells(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                at = {c: batch.column(c)[r] for c in batch.schema.names}
+                if at["dim"].as_py() != at["q_dim"].as_py():
+                    continue
+                ids, q_ids, dim = at["ids"].values, at["q_ids"].values, at["dim"].as_py()
+                v, q = (np.frombuffer(at[c].as_py()).reshape(-1, dim) for c in ("v", "q_v"))
+                score = q @ v.T / (np.sqrt((v * v).sum(1))[None, :] * np.sqrt((q * q).sum(1))[:, None])
+                score[q_ids.to_numpy(zero_copy_only=False)[:, None] == ids.to_numpy(zero_copy_only=False)[None, :]] = -np.inf
+                yield _best(q_ids, ids, score, k)
+
+    v = _vector_packs(vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v")), ROW_BLOCK, shuffle_partitions(vectors.sparkSession), "vectors")
+    q = _vector_packs(queries.select(F.col("query_id").alias("id"), F.col("query").alias("v")), QUERY_BLOCK, _blocks(queries), "queries")
+    return _ranked(_met(v, q), cells, queries.schema["query_id"].dataType, vectors.schema[id_col].dataType, k)
+
+
+def _blocks(queries: DataFrame) -> int:
+    return max(1, -(-queries.count() // QUERY_BLOCK))
+
+
+def _met(rows: DataFrame, queries: DataFrame) -> DataFrame:
+    """Each pack of rows beside each pack of queries (its columns named q_...)."""
+    return rows.crossJoin(queries.select([F.col(c).alias(f"q_{c}") for c in queries.columns]).hint("shuffle_replicate_nl"))
+
+
+def _vector_packs(vectors: DataFrame, size: int, partitions: int, label: str) -> DataFrame:
+    """Vectors (id, v) in packs of up to ``size`` of one dimension, written once: ids, dim, v (doubles)."""
+    usable = vectors.select("id", F.col("v").cast("array<double>").alias("v")).where("size(v) > 0 AND NOT exists(v, x -> x IS NULL) AND exists(v, x -> x <> 0)")
+
+    def pack(batches):
+        for batch in batches:
+            dims = pc.list_value_length(batch.column(1)).to_numpy()
+            for dim in np.unique(dims):
+                one = batch.filter(pa.array(dims == dim))
+                for at in range(0, one.num_rows, size):
+                    part = one.slice(at, size)
+                    yield pa.RecordBatch.from_arrays([_listed(part.column(0)), pa.array([int(dim)], pa.int32()), pa.array([part.column(1).flatten().to_numpy().tobytes()], pa.binary())], names=["ids", "dim", "v"])
+
+    ids = vectors.schema["id"].dataType.simpleString()
+    return materialize(usable.repartition(partitions).mapInArrow(pack, f"ids ARRAY<{ids}>, dim INT, v BINARY"), label)
+
+
+def _listed(values: pa.Array) -> pa.Array:
+    """One row that holds ``values`` as a list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _best(q_ids: pa.Array, ids: pa.Array, score: np.ndarray, k: int) -> pa.RecordBatch:
+    """The ``k`` best of each query (a row of ``score``), by rounded score, of equal ones by id; -inf is no hit."""
+    score = np.round(score, 6)
+    least = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] > k else np.full(len(score), -np.inf)
+    q, v = np.nonzero((score >= least[:, None]) & np.isfinite(score))
+    order = np.lexsort((ids.to_numpy(zero_copy_only=False)[v], -score[q, v], q))
+    q, v = q[order], v[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    q, v = q[keep], v[keep]
+    return pa.RecordBatch.from_arrays([q_ids.take(pa.array(q)), ids.take(pa.array(v)), pa.array(score[q, v])], names=["query_id", "id", "score"])
+
+
+def _ranked(met: DataFrame, cells, query_type, id_type, k: int) -> DataFrame:
+    found = met.mapInArrow(cells, f"query_id {query_type.simpleString()}, id {id_type.simpleString()}, score DOUBLE")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def top_sentences(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -521,6 +521,14 @@ def _(spark, d):
     return retrieval.nearest(v, v.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), 10)
 
 
+@query("q_cosine_search", """WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings), q AS (SELECT * FROM v WHERE id % 100 = 0),
+s AS (SELECT q.id AS query_id, v.id, round(list_sum(list_transform(list_zip(v.e, q.e), lambda x: x[1] * x[2])) / (sqrt(list_sum(list_transform(v.e, lambda x: x * x))) * sqrt(list_sum(list_transform(q.e, lambda x: x * x)))), 6) AS score FROM v, q WHERE v.id <> q.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM s) SELECT query_id, id, score, rank FROM r WHERE rank <= 10""")
+def _(spark, d):
+    v = table(spark, d, "embeddings")
+    return retrieval.nearest(v, v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), 10)
+
+
 @query("q_quantized_vectors", "WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e, list_max(list_transform(embedding::DOUBLE[], lambda x: abs(x))) AS m FROM embeddings) SELECT vec_id, list_transform(e, lambda x: round(x / m * 127)::TINYINT) AS q FROM v")
 def _(spark, d):
     return table(spark, d, "embeddings").select("vec_id", retrieval.quantized(F.col("embedding").cast("array<double>")).alias("q"))

@@ -282,6 +282,27 @@ def test_retrieval_bits(spark):
     assert {r["claim_id"]: r["grounded"] for r in retrieval.grounded(claims, e).collect()} == {7: True, 8: False}
 
 
+def test_nearest_equals_brute_force(spark, monkeypatch):
+    """More queries than a block holds, ties, and vectors without a cosine."""
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(retrieval, "ROW_BLOCK", 7)
+    rng = random.Random(5)
+    rows = [(i, [float(rng.randint(-2, 2)) for _ in range(3)]) for i in range(60)] + [(60, [0.0] * 3), (61, None), (62, [1.0, None, 1.0]), (63, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    got = retrieval.nearest(df, df.where("vec_id % 5 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), 4)
+    usable = {i: v for i, v in rows[:60] if any(v)}
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    want = {(q, i, k + 1) for q in usable if q % 5 == 0 for k, (_, i) in enumerate(sorted((-round(dot(usable[q], v) / (dot(v, v) ** 0.5 * dot(usable[q], usable[q]) ** 0.5), 6), i) for i, v in usable.items() if i != q)[:4])}
+    assert {(r["query_id"], r["id"], r["rank"]) for r in got.collect()} == want
+
+
+def test_cosine_search_takes_every_stated_query(spark, data):
+    from granary.plans import catalogue
+
+    got = {r["query_id"] for r in catalogue.queries()["q_cosine_search"](spark, data).collect()}
+    assert got == {0, 100, 200, 300, 400}
+
+
 def test_stats_and_budget(spark):
     df = spark.createDataFrame([("code", "c", 100), ("alignment", None, 10)], "layer STRING, language STRING, token_count BIGINT")
     row = mix.stats_document(df).first()
