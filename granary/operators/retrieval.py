@@ -37,20 +37,82 @@ def postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def bm25(docs: DataFrame, queries: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The ``k`` best documents of each query (``query_id``, ``query``): query_id, id, score, rank.
 
-    Only postings of query terms are built: each document's terms are met with the (small, broadcast if small
-    enough) set of query terms before they are counted. Lengths and document counts cover all documents.
+    Any number of queries of any length, in blocks: each block meets each block of documents in one cell, where
+    scores are a product of two matrices, and which keeps its best. Documents are read once, as counted terms;
+    only those counts are written and met. Lengths and document counts cover all documents, a document that is a
+    query itself included.
     """
-    asked = queries.select("query_id", F.explode(F.array_distinct(terms(F.col("query")))).alias("term"))
-    all_docs = docs.select(F.col(id_col).alias("id"), terms(F.col(text_col)).alias("_t"))
-    corpus = all_docs.agg(F.count("*").alias("n"), F.avg(F.size("_t")).alias("avg_dl"))
-    words_ = all_docs.withColumn("dl", F.size("_t").cast("bigint")).select("id", "dl", F.explode("_t").alias("term"))
-    post = words_.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term", "id", "dl").agg(F.count("*").alias("tf"))
-    df = post.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avg_dl")))
-    scored = post.join(df, "term").join(asked, "term").join(corpus, on=F.lit(True)).groupBy("query_id", "id").agg(F.round(F.sum(part), 6).alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    packs = _term_packs(docs.select(F.col(id_col).alias("id"), terms(F.col(text_col)).alias("t")), ROW_BLOCK, shuffle_partitions(docs.sparkSession))
+    n, length = packs.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    df = packs.select(F.explode(F.arrays_zip("words", "df")).alias("w")).groupBy(F.col("w.words").alias("term")).agg(F.sum("w.df").alias("df"))
+    idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    asked = queries.select("query_id", F.explode(F.array_distinct(terms(F.col("query")))).alias("term")).join(df, "term").groupBy("query_id").agg(F.collect_list(F.struct("term", idf.alias("idf"))).alias("a"))
+    q = _query_packs(asked.select("query_id", "a.term", "a.idf"), QUERY_BLOCK, _blocks(queries))
+    mean = length / max(1, n)
+
+    def cells(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                at = {c: batch.column(c)[r].values for c in batch.schema.names if c != "length"}
+                number = lambda c: at[c].to_numpy(zero_copy_only=False)
+                place = pc.fill_null(pc.index_in(at["words"], value_set=at["q_words"]), -1).to_numpy(zero_copy_only=False)
+                shared = np.flatnonzero(place >= 0)  # words of these documents that these queries have
+                if not len(shared):
+                    continue
+                column = np.full(len(place), -1)
+                column[shared] = np.arange(len(shared))
+                q_column = np.full(len(at["q_words"]), -1)
+                q_column[place[shared]] = np.arange(len(shared))
+                doc, word, tf = number("doc"), column[number("word")], number("tf")
+                there = word >= 0
+                doc, word, tf = doc[there], word[there], tf[there]
+                d = np.zeros((len(at["ids"]), len(shared)))
+                d[doc, word] = tf * (K1 + 1) / (tf + K1 * (1 - B + B * number("dl")[doc] / mean))
+                query, q_word, weight = number("q_query"), q_column[number("q_word")], number("q_idf")
+                there = q_word >= 0
+                m = np.zeros((len(at["q_ids"]), len(shared)))
+                m[query[there], q_word[there]] = weight[there]
+                score = m @ d.T
+                score[score <= 0] = -np.inf
+                yield _best(at["q_ids"], at["ids"], score, k)
+
+    return _ranked(_met(packs, q), cells, queries.schema["query_id"].dataType, docs.schema[id_col].dataType, k)
+
+
+def _term_packs(docs: DataFrame, size: int, partitions: int) -> DataFrame:
+    """Documents (id, t) in packs of up to ``size``, written once: ids, dl, and length, their sum; words, and df, in how
+    many of the pack's documents each is; doc, word, tf: how often a document (its place) has a word (its place)."""
+
+    def pack(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, size):
+                part = batch.slice(at, size)
+                dl = pc.list_value_length(part.column(1)).to_numpy().astype(np.int64)
+                coded = part.column(1).flatten().dictionary_encode()
+                n = max(1, len(coded.dictionary))
+                each, tf = np.unique(np.repeat(np.arange(len(dl)), dl) * n + coded.indices.to_numpy(), return_counts=True)
+                word = each % n
+                row = [part.column(0), pa.array(dl), coded.dictionary, *(pa.array(x.astype(np.int32)) for x in (np.bincount(word, minlength=len(coded.dictionary)), each // n, word, tf))]
+                yield pa.RecordBatch.from_arrays([*map(_listed, row), pa.array([int(dl.sum())])], names=["ids", "dl", "words", "df", "doc", "word", "tf", "length"])
+
+    ids = docs.schema["id"].dataType.simpleString()
+    packed = docs.mapInArrow(pack, f"ids ARRAY<{ids}>, dl ARRAY<BIGINT>, words ARRAY<STRING>, df ARRAY<INT>, doc ARRAY<INT>, word ARRAY<INT>, tf ARRAY<INT>, length BIGINT")
+    return materialize(packed.repartition(partitions), "terms")
+
+
+def _query_packs(asked: DataFrame, size: int, partitions: int) -> DataFrame:
+    """Queries (query_id, term, idf: arrays) in packs of up to ``size``, written once: ids, words; query, word, idf by place."""
+
+    def pack(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, size):
+                part = batch.slice(at, size)
+                coded = part.column(1).flatten().dictionary_encode()
+                query = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column(1)).to_numpy()).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*map(_listed, (part.column(0), coded.dictionary, pa.array(query), coded.indices, part.column(2).flatten()))], names=["ids", "words", "query", "word", "idf"])
+
+    ids = asked.schema["query_id"].dataType.simpleString()
+    return materialize(asked.repartition(partitions).mapInArrow(pack, f"ids ARRAY<{ids}>, words ARRAY<STRING>, query ARRAY<INT>, word ARRAY<INT>, idf ARRAY<DOUBLE>"), "queries")
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -513,6 +513,18 @@ def _(spark, d):
     return retrieval.bm25(table(spark, d, "documents"), spark.createDataFrame(_ASK, "query_id INT, query STRING"), 10)
 
 
+@query("q_bm25_search", r"""WITH q AS (SELECT doc_id AS query_id, coalesce(text, '') AS query FROM documents WHERE doc_id % 100 = 0),
+a AS (SELECT DISTINCT query_id, unnest(list_filter(regexp_split_to_array(lower(query), '[^a-z0-9]+'), lambda x: x <> '')) AS term FROM q),
+d AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '') AS t FROM documents),
+c AS (SELECT count(*) AS n, avg(len(t)) AS avg_dl FROM d), p AS (SELECT id, len(t) AS dl, unnest(t) AS term FROM d),
+tf AS (SELECT id, dl, term, count(*) AS tf FROM p WHERE term IN (SELECT term FROM a) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+s AS (SELECT query_id, id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avg_dl))), 6) AS score FROM tf JOIN df USING (term) JOIN a USING (term), c GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM s) SELECT query_id, id, score, rank FROM r WHERE rank <= 10""")
+def _(spark, d):
+    docs = table(spark, d, "documents")
+    return retrieval.bm25(docs, docs.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query")), 10)
+
+
 @query("q_cosine_topk", """WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings), q AS (SELECT * FROM v WHERE id < 5),
 s AS (SELECT q.id AS query_id, v.id, round(list_sum(list_transform(list_zip(v.e, q.e), lambda x: x[1] * x[2])) / (sqrt(list_sum(list_transform(v.e, lambda x: x * x))) * sqrt(list_sum(list_transform(q.e, lambda x: x * x)))), 6) AS score FROM v, q WHERE v.id <> q.id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM s) SELECT query_id, id, score, rank FROM r WHERE rank <= 10""")

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 
 import pytest
@@ -296,6 +297,33 @@ def test_nearest_equals_brute_force(spark, monkeypatch):
     assert {(r["query_id"], r["id"], r["rank"]) for r in got.collect()} == want
 
 
+def test_bm25_equals_brute_force(spark, monkeypatch):
+    """More queries than a block holds, whole documents as queries, a term in all of them, and texts without terms."""
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(retrieval, "ROW_BLOCK", 7)
+    rng = random.Random(3)
+    texts = {i: " ".join(["the", *(f"w{int(rng.paretovariate(0.7)) % 50}" for _ in range(rng.randint(1, 30)))]) for i in range(60)} | {60: "", 61: None, 62: "é ñ"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    got = retrieval.bm25(df, df.where("doc_id % 5 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query")), 4)
+    split = {i: (t or "").split() if i < 60 else [] for i, t in texts.items()}
+    mean = sum(map(len, split.values())) / len(split)
+    n_with = {w: sum(w in t for t in split.values()) for t in split.values() for w in t}
+    want = set()
+    for q in range(0, 60, 5):
+        part = lambda w, t: math.log(1 + (len(split) - n_with[w] + 0.5) / (n_with[w] + 0.5)) * t.count(w) * 2.2 / (t.count(w) + 1.2 * (0.25 + 0.75 * len(t) / mean))
+        best = sorted((-round(sum(part(w, t) for w in set(split[q]) & set(t)), 6), i) for i, t in split.items() if set(split[q]) & set(t))[:4]
+        want |= {(q, i, round(-s, 5), k + 1) for k, (s, i) in enumerate(best)}
+    assert {(r["query_id"], r["id"], round(r["score"], 5), r["rank"]) for r in got.collect()} == want
+
+
+def test_bm25_search_takes_every_stated_query(spark, tmp_path):
+    from granary.plans import catalogue
+
+    spark.range(500).select(F.col("id").alias("doc_id"), F.format_string("common word%d", F.col("id") % 7).alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["query_id"], r["rank"]) for r in catalogue.queries()["q_bm25_search"](spark, str(tmp_path)).collect()}
+    assert got == {(q, k) for q in range(0, 500, 100) for k in range(1, 11)}
+
+
 def test_cosine_search_takes_every_stated_query(spark, data):
     from granary.plans import catalogue
 
