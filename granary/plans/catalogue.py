@@ -415,7 +415,7 @@ def _(spark, d):
 @query("q_align_code")
 def _(spark, d):
     code = table(spark, d, "code_chunks_raw").where("code IS NOT NULL").select(F.col("chunk_id").alias("pos"), "language", F.coalesce("name", F.lit("")).alias("instruction"), F.col("code").alias("output"))
-    return infer.expand_from_code(code, table(spark, d, "documents").select(F.col("text").alias("output")), seeds.PRINCIPLES, most=500)
+    return infer.expand_from_code(code, table(spark, d, "documents").select(F.col("text").alias("output")), seeds.PRINCIPLES)
 
 
 @query("q_progress", """WITH w AS (SELECT time_bucket(INTERVAL '1 hour', recorded_at) AS s, count(*) AS n FROM job_results GROUP BY 1), c AS (SELECT s + INTERVAL '1 hour' AS window_end, sum(n) OVER (ORDER BY s)::BIGINT AS done, epoch(s + INTERVAL '1 hour' - min(s) OVER (ORDER BY s)) AS sec FROM w WHERE s IS NOT NULL), j AS (SELECT count(*) AS jobs FROM jobs),

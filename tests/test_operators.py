@@ -357,6 +357,14 @@ def test_fixes_are_made_from_the_whole_code(spark):
     assert codes[0] in prompt and "keeps the rule: hint" in infer.fit_prompt(prompt, 1536, 128)
 
 
+def test_align_code_takes_the_whole_budget(spark, tmp_path):
+    from granary.plans import catalogue
+
+    spark.range(5000).select(F.col("id").alias("chunk_id"), F.lit("python").alias("language"), F.lit("f").alias("name"), F.format_string("def f%d(): pass", F.col("id")).alias("code")).write.parquet(f"{tmp_path}/code_chunks_raw.parquet")
+    spark.createDataFrame([("a text",)], "text STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    assert catalogue.queries()["q_align_code"](spark, str(tmp_path)).count() == 4000
+
+
 @pytest.mark.parametrize("path,ok", [("a/b.py", True), ("a/b.PY", False), ("vendor/b.py", False), ("a/.py", False)])
 def test_source_file_rule(spark, path, ok):
     df = spark.createDataFrame([(path, 10)], "p STRING, n INT")
