@@ -445,6 +445,12 @@ def _(spark, d):
     return paged.source_rows(table(spark, d, "documents").where("source = 'runbooks'"), mapped, "doc_id", 30).select("doc_id", "instruction")
 
 
+@query("q_source_rows_all", """WITH r AS (SELECT doc_id, source, topic AS instruction, row_number() OVER (PARTITION BY source, sha256(text) ORDER BY doc_id) AS rn FROM documents WHERE topic IS NOT NULL AND text IS NOT NULL) SELECT doc_id, source, instruction FROM r WHERE rn = 1""")
+def _(spark, d):
+    mapped = lambda r: r.where("topic IS NOT NULL AND text IS NOT NULL").select("doc_id", "source", F.col("topic").alias("instruction"), F.col("text").alias("output"))
+    return paged.source_rows(table(spark, d, "documents"), mapped, "doc_id", source="source").select("doc_id", "source", "instruction")
+
+
 # --- sinks and streams: written to the shared folder and read back ---
 
 

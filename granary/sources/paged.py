@@ -12,6 +12,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from granary.functions import text as X
 from granary.operators.dedup import first_wins
+from granary.operators.mix import capped
 
 PAGE = 100
 ATTEMPTS = 4  # of a page; waits of 5 s times the attempt where the server asks for patience, else of 2 s
@@ -79,13 +80,16 @@ class _PageReader(DataSourceReader):
                 yield (int(row.get("row_idx", partition.offset + k)), json.dumps(row["row"]))
 
 
-def source_rows(rows: DataFrame, mapped: Callable[[DataFrame], DataFrame], order: str, cap: int = 0) -> DataFrame:
+def source_rows(rows: DataFrame, mapped: Callable[[DataFrame], DataFrame], order: str, cap: int = 0, source: str | None = None) -> DataFrame:
     """Records of a source: mapped, each output once (least ``order``), at most ``cap`` (0: all) in that order.
 
-    ``mapped`` keeps ``order``, which is unique.
+    ``mapped`` keeps ``order``, which is unique. Rows of several sources are told apart by their column
+    ``source``, which ``mapped`` keeps too; each output counts once, and the cap holds, in each of them.
     """
     records = mapped(rows)
-    once = first_wins(records.withColumn("_d", X.digest(F.col("output"))), ["_d"], order).drop("_d")
+    once = first_wins(records.withColumn("_d", X.digest(F.col("output"))), ["_d"] if source is None else [source, "_d"], order).drop("_d")
+    if source is not None:
+        return capped(once, source, order, cap) if cap else once
     return once.orderBy(order).limit(cap) if cap else once
 
 

@@ -69,6 +69,21 @@ def test_source_rows(spark):
     assert sorted(r["k"] for r in got) == [0, 1, 2, 3]
 
 
+def test_source_rows_of_several_sources(spark):
+    df = spark.createDataFrame([(i, ["a", "b", None][i % 3], f"t{i // 3 % 4}") for i in range(30)], "k INT, s STRING, t STRING")
+    mapped = lambda d: d.select("k", "s", F.col("t").alias("output"))
+    assert sorted(r["k"] for r in paged.source_rows(df, mapped, "k", source="s").collect()) == list(range(12))
+    assert sorted(r["k"] for r in paged.source_rows(df, mapped, "k", 2, "s").collect()) == list(range(6))
+
+
+def test_every_source_gives_rows(spark, data):
+    from granary.plans import catalogue
+
+    docs = spark.read.parquet(f"{data}/documents.parquet").where("topic IS NOT NULL AND text IS NOT NULL")
+    got = catalogue.queries()["q_source_rows_all"](spark, data)
+    assert {r["source"] for r in got.collect()} == {r["source"] for r in docs.select("source").distinct().collect()}
+
+
 def test_page_cache(spark):
     a = spark.createDataFrame([("https://x.example/a",), ("https://x.example/b",)], "url STRING")
     cache = spark.createDataFrame([("https___x_example_a", "<html>A</html>"), ("https___x_example_b", "oops")], "name STRING, html STRING")
