@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -17,13 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """URI of the folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Where the session names none (tests, a single machine), a folder is made and set.
+    Where the session names none, a folder is made and set, but on a single machine only: elsewhere executors
+    couldn't see it.
     """
     uri = spark.conf.get("spark.checkpoint.dir", None)
     if uri:
         return uri.rstrip("/")
     known = getattr(spark, "_granary_shared", None)
     if not known:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="granary-")
         spark.sparkContext.setCheckpointDir(known)
         spark._granary_shared = known
@@ -31,8 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/granary/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder, below a folder of this application, that nothing else uses."""
+    return f"{shared_dir(spark)}/granary/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def local_mount(spark: SparkSession, path: str) -> str | None:
@@ -48,18 +50,28 @@ def local_mount(spark: SparkSession, path: str) -> str | None:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later plans start from durable files.
 
-    Unlike a cache this survives the loss of executors and cuts the lineage.
+    Unlike a cache this survives the loss of executors and cuts the lineage. :func:`discard` removes the files.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._granary_path = path
+    return back
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Remove a folder made by :func:`fresh_path`."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table made by :func:`materialize`, once nothing reads it any more."""
+    _remove(df.sparkSession, df._granary_path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove all tables that this application has left in the shared folder."""
+    _remove(spark, f"{shared_dir(spark)}/granary/{spark.sparkContext.applicationId}")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
@@ -71,8 +83,3 @@ def input_bytes(df: DataFrame) -> int:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def ensure_dir(path: str) -> str:
-    os.makedirs(path, exist_ok=True)
-    return path
