@@ -26,4 +26,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"p3_found": split.P3_FOUND_SQL}
+    return {"p3_found": split.P3_FOUND_SQL, "p4_found": neardup.P4_FOUND_SQL}
