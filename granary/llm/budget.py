@@ -16,11 +16,14 @@ from granary.llm import bpe
 from granary.llm.handwritten import repo_name
 from granary.llm.sampling import hash_sample
 from granary.llm.shingles import portions
-from granary.session import table
+from granary.session import materialize, table
 
 FIT_ROWS = 400  # tokenized rows per language that the regression is fitted on, chosen by a hash of the id
 HOLDOUT_ROWS = 400  # further rows per language that correct its bias
-LANGUAGES = 200  # most frequent languages with a regression of their own; the others share one
+TEST_ROWS = 400  # and further ones that only measure its error
+LEAST_ROWS = 40  # a language with fewer rows to fit on has no regression of its own
+SHARED = "(all)"  # name of the regression that other languages share
+BROADCAST_SLICES = 200_000  # slices (repo, language) that are broadcast to their chunks, about 100 bytes each
 FEATURES = ("bytes", "words", "word_chars", "long_words", "digits", "number_runs", "punctuation", "spaces", "space_runs", "line_feeds", "capitals", "underscores", "latin", "cyrillic_greek", "cjk", "other_scripts", "texts")
 #: Other names of languages, lower case.
 ALIASES = {"py": "python", "python3": "python", "py3": "python", "js": "javascript", "jsx": "javascript", "mjs": "javascript", "node": "javascript", "ecmascript": "javascript", "c99": "c", "c11": "c", "ansi c": "c", "h": "c", "htm": "html", "html5": "html", "xhtml": "html", "css3": "css", "scss": "css"}
@@ -71,17 +74,22 @@ def language_name(language: Column) -> Column:
 
 
 class TokenModel:
-    """Ridge regressions by language, '' for all others, each with the correction of its bias."""
+    """Ridge regressions by language, ``SHARED`` for all others, each with the correction of its bias.
 
-    def __init__(self, sample: list[tuple[str, bool, int, list[float]]]) -> None:
+    ``sample``: (language, rank in its language from 1, tokens, features). Ranks to ``FIT_ROWS`` fit, the next
+    ``HOLDOUT_ROWS`` correct, the rest measure: ``errors`` has, by language, tested rows, their tokens, the
+    estimate, and the sum of the rows' absolute errors.
+    """
+
+    def __init__(self, sample: list[tuple[str, int, int, list[float]]]) -> None:
         self.weights: dict[str, np.ndarray] = {}
-        self.error: dict[str, float] = {}
-        groups: dict[str, list] = {"": sample}
+        self.errors: dict[str, tuple[int, int, int, int]] = {}
+        groups: dict[str, list] = {SHARED: sample}
         for row in sample:
             groups.setdefault(row[0], []).append(row)
         for language, rows in groups.items():
-            fit = [r for r in rows if not r[1]] or rows
-            if language and len(fit) < 40:
+            fit = [r for r in rows if r[1] <= FIT_ROWS]
+            if language != SHARED and len(fit) < LEAST_ROWS:
                 continue
             x, y = np.array([r[3] for r in fit], float), np.array([r[2] for r in fit], float)
             if not len(x):
@@ -90,47 +98,55 @@ class TokenModel:
             scale = np.maximum(x.max(axis=0), 1)
             a = x / scale * weight[:, None]
             beta = np.linalg.solve(a.T @ a + 1e-4 * np.eye(a.shape[1]), a.T @ (y * weight)) / scale
-            held = [r for r in rows if r[1]] or rows
+            held = [r for r in rows if FIT_ROWS < r[1] <= FIT_ROWS + HOLDOUT_ROWS] or rows
             guess = np.maximum(np.array([r[3] for r in held], float).reshape(-1, len(FEATURES)) @ beta, 0)
             true = float(sum(r[2] for r in held))
-            correction = true / guess.sum() if guess.sum() > 0 and true > 0 else 1.0
-            self.weights[language] = beta * correction
-            self.error[language] = float(np.abs(guess * correction - np.array([r[2] for r in held])).sum() / max(true, 1))
+            self.weights[language] = beta * (true / guess.sum() if guess.sum() > 0 and true > 0 else 1.0)
+        for language, rows in groups.items():
+            tested = [r for r in rows if r[1] > FIT_ROWS + HOLDOUT_ROWS]
+            if language != SHARED and tested:
+                guess = self.estimate([language] * len(tested), np.array([r[3] for r in tested], float))
+                true_n = np.array([r[2] for r in tested])
+                self.errors[language] = (len(tested), int(true_n.sum()), int(guess.sum()), int(np.abs(guess - true_n).sum()))
+
+    def name(self, language: str) -> str:
+        return language if language in self.weights else SHARED
 
     def estimate(self, languages: list[str], features: np.ndarray) -> np.ndarray:
-        beta = np.stack([self.weights.get(x, self.weights[""]) for x in languages]) if languages else np.zeros((0, len(FEATURES)))
+        beta = np.stack([self.weights[self.name(x)] for x in languages]) if languages else np.zeros((0, len(FEATURES)))
         guess = np.maximum(np.einsum("nk,nk->n", features, beta), features[:, 0] > 0)
         return np.where(features[:, 0] > 0, np.maximum(np.rint(guess), 1), 0).astype(np.int64)
 
 
 def fit(items: DataFrame, id_col: str, text_col: str, tokenizer: str | None = None) -> TokenModel:
-    """Fit on at most ``FIT_ROWS`` + ``HOLDOUT_ROWS`` rows a language of ``items`` (with column ``_language``)."""
+    """Fit on at most ``FIT_ROWS`` + ``HOLDOUT_ROWS`` + ``TEST_ROWS`` rows a language of ``items`` (with column ``_language``).
+
+    Two reads: one counts the languages, the other passes on the sample, whole texts with it.
+    """
     path = tokenizer or bpe.ranks_path()
-    frequent = [r[0] for r in items.groupBy("_language").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_language").limit(LANGUAGES).collect()]
-    light = items.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, F.when(F.col("_language").isin(frequent), F.col("_language")).otherwise("").alias("_group"))
-    chosen = hash_sample(light, id_col, FIT_ROWS + HOLDOUT_ROWS, "_group").select(F.col(id_col).alias("_id"), "_group", (F.col("_k") > FIT_ROWS).alias("_held"))
+    light = items.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), "_language", F.col(text_col).alias("_text"))
+    chosen = hash_sample(light, "_id", FIT_ROWS + HOLDOUT_ROWS + TEST_ROWS, "_language").select("_language", "_k", "_text")
 
     def tokenize(batches):
         coder = bpe.Encoder(bpe.load_ranks(path))
         for batch in batches:
             texts = batch.column(2).to_pylist()
             x = np.concatenate([measure(texts[p]) for p in portions(texts)]) if texts else np.zeros((0, len(FEATURES)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([coder.count(t) for t in texts], pa.int64()), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["language", "held", "n", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([coder.count(t) for t in texts], pa.int64()), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["language", "k", "n", "x"])
 
-    sample = items.where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select("_group", "_held", text_col)
-    rows = sample.mapInArrow(tokenize, "language STRING, held BOOLEAN, n BIGINT, x ARRAY<DOUBLE>").collect()
-    return TokenModel(sorted((r["language"], r["held"], r["n"], list(r["x"])) for r in rows))
+    rows = chosen.mapInArrow(tokenize, "language STRING, k INT, n BIGINT, x ARRAY<DOUBLE>").collect()
+    return TokenModel(sorted((r["language"], r["k"], r["n"], list(r["x"])) for r in rows))
 
 
-def token_estimates(items: DataFrame, id_col: str = "chunk_id", text_col: str = "code", language_col: str = "language", keep: dict[str, Column] | None = None, tokenizer: str | None = None) -> DataFrame:
-    """Every row's ``id_col``, ``language`` (unified), columns ``keep``, n_bytes and est_tokens.
+def token_estimates(items: DataFrame, id_col: str = "chunk_id", text_col: str = "code", language_col: str = "language", keep: dict[str, Column] | None = None, tokenizer: str | None = None, model: TokenModel | None = None) -> DataFrame:
+    """Every row's ``id_col``, ``language`` (unified), columns ``keep``, n_bytes, est_tokens and the ``model`` (language) used.
 
     Null and empty texts have 0 tokens, any other text at least 1. Rows without a language count under
-    'unknown'; languages beyond the ``LANGUAGES`` most frequent share one regression. Repeated rows stay
+    'unknown'; languages with too few rows to fit on share the regression ``SHARED``. Repeated rows stay
     repeated. No shuffle but the choice of the bounded sample.
     """
     rows = items.withColumn("_language", language_name(F.col(language_col)))
-    model = fit(rows, id_col, text_col, tokenizer)
+    model = model or fit(rows, id_col, text_col, tokenizer)
     extra = list((keep or {}).items())
     names = [k for k, _ in extra]
 
@@ -138,29 +154,62 @@ def token_estimates(items: DataFrame, id_col: str = "chunk_id", text_col: str =
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
             x = np.concatenate([measure(texts[p]) for p in portions(texts)]) if texts else np.zeros((0, len(FEATURES)))
-            n = model.estimate(batch.column(1).to_pylist(), x)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(batch.column(3 + k) for k in range(len(names))), pa.array(x[:, 0].astype(np.int64)), pa.array(n)], names=[id_col, "language", *names, "n_bytes", "est_tokens"])
+            languages = batch.column(1).to_pylist()
+            n = model.estimate(languages, x)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(batch.column(3 + k) for k in range(len(names))), pa.array(x[:, 0].astype(np.int64)), pa.array(n), pa.array([model.name(v) for v in languages], pa.string())], names=[id_col, "language", *names, "n_bytes", "est_tokens", "model"])
 
     few = rows.select(id_col, "_language", text_col, *(c.alias(k) for k, c in extra))
     kinds = {f.name: f.dataType.simpleString() for f in few.schema}
-    return few.mapInArrow(run, f"`{id_col}` {kinds[id_col]}, language STRING, " + "".join(f"`{k}` {kinds[k]}, " for k, _ in extra) + "n_bytes BIGINT, est_tokens BIGINT")
+    return few.mapInArrow(run, f"`{id_col}` {kinds[id_col]}, language STRING, " + "".join(f"`{k}` {kinds[k]}, " for k, _ in extra) + "n_bytes BIGINT, est_tokens BIGINT, model STRING")
+
 
+def token_budget(chunks: DataFrame, repos: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, sums): each chunk's estimate with the totals of its slice, and n_chunks, n_bytes, est_tokens by slice.
 
-def token_budget(chunks: DataFrame, repos: DataFrame) -> DataFrame:
-    """n_chunks, n_bytes and est_tokens by repo, language and domain (spellings unified, 'unknown' where null or not listed)."""
-    estimates = token_estimates(chunks, keep={"repo": F.coalesce(repo_name(F.col("repo")), F.lit("unknown"))})
+    A slice is a repo, language and domain (spellings unified, 'unknown' where null or not listed). Estimates are
+    written once; sums are combined before their shuffle, so a repo of any size weighs as one row a task.
+    """
+    estimates = materialize(token_estimates(chunks, keep={"repo": F.coalesce(repo_name(F.col("repo")), F.lit("unknown"))}), "estimates")
     sums = estimates.groupBy("repo", "language").agg(F.count("*").alias("n_chunks"), F.sum("n_bytes").alias("n_bytes"), F.sum("est_tokens").alias("est_tokens"))
     domains = repos.select(repo_name(F.col("repo")).alias("repo"), F.col("domain")).where("repo IS NOT NULL").groupBy("repo").agg(F.min("domain").alias("domain"))
-    return sums.join(domains, "repo", "left").select("repo", "language", F.coalesce("domain", F.lit("unknown")).alias("domain"), "n_chunks", "n_bytes", "est_tokens")
+    sums = materialize(sums.join(domains, "repo", "left").select("repo", "language", F.coalesce("domain", F.lit("unknown")).alias("domain"), "n_chunks", "n_bytes", "est_tokens"), "slices")
+    slices = sums.select("repo", "language", "domain", F.col("n_chunks").alias("slice_chunks"), F.col("n_bytes").alias("slice_bytes"), F.col("est_tokens").alias("slice_tokens"))
+    rows = estimates.join(F.broadcast(slices) if sums.count() <= BROADCAST_SLICES else slices, ["repo", "language"])
+    return rows.select("chunk_id", "repo", "language", "domain", "n_bytes", "est_tokens", "model", "slice_chunks", "slice_bytes", "slice_tokens"), sums
+
+
+def _budget(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return token_budget(table(spark, sf_dir, "code_chunks_raw"), table(spark, sf_dir, "repos"))
 
 
 def p5_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each chunk's estimate, with its repo and language as the sums name them."""
-    return token_estimates(table(spark, sf_dir, "code_chunks_raw"), keep={"repo": F.coalesce(repo_name(F.col("repo")), F.lit("unknown"))})
+    """The budget: each chunk's estimate beside the sums of its repo, language and domain."""
+    return _budget(spark, sf_dir)[0]
 
 
 def p5_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_budget(table(spark, sf_dir, "code_chunks_raw"), table(spark, sf_dir, "repos"))
+    """The sums alone: n_chunks, n_bytes and est_tokens by repo, language and domain."""
+    return _budget(spark, sf_dir)[1]
+
+
+_SPELT = ", ".join(f"('{a}', '{b}')" for a, b in ALIASES.items())
+P5_COUNTS_SQL = rf"""WITH a(alias, name) AS (VALUES {_SPELT}),
+c AS (SELECT coalesce(nullif(regexp_extract(lower(trim(repo)), '([^/]+?)(?:\.git)?/*$', 1), ''), 'unknown') AS repo, coalesce(a.name, nullif(lower(trim(language)), ''), 'unknown') AS language, strlen(coalesce(code, '')) AS n FROM code_chunks_raw LEFT JOIN a ON a.alias = lower(trim(language))),
+r AS (SELECT nullif(regexp_extract(lower(trim(repo)), '([^/]+?)(?:\.git)?/*$', 1), '') AS repo, min(domain) AS domain FROM repos GROUP BY 1)
+SELECT repo, language, coalesce(r.domain, 'unknown') AS domain, count(*) AS n_chunks, sum(n)::BIGINT AS n_bytes FROM c LEFT JOIN r USING (repo) GROUP BY ALL"""
+
+
+def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the sums SQL can say: chunks and bytes of each slice."""
+    return p5_budget(spark, sf_dir).drop("est_tokens")
+
+
+def p5_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By language, on tokenized rows that neither fitted nor corrected: rows, tokens, estimate, its error as a share, and the rows' mean error."""
+    rows = table(spark, sf_dir, "code_chunks_raw").withColumn("_language", language_name(F.col("language")))
+    errors = fit(rows, "chunk_id", "code").errors
+    out = [(k, n, t, g, abs(g - t) / max(1, t), e / max(1, t)) for k, (n, t, g, e) in sorted(errors.items())]
+    return spark.createDataFrame(out, "language STRING, n_rows BIGINT, tokens BIGINT, est_tokens BIGINT, error DOUBLE, row_error DOUBLE")
 
 
 def p5_domains(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,15 +71,16 @@ def solve(groups: DataFrame, goals: dict[tuple[str, str], tuple[float, int, floa
     return {k: v[0] for k, v in state.items()}
 
 
-def mix_sources(documents: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", total_tokens: int | None = None, tokenizer: str | None = None) -> tuple[DataFrame, DataFrame]:
+def mix_sources(documents: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", total_tokens: int | str | None = None, tokenizer: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(copies, shares) of each mix.
 
     copies: mix_id, source (as targets write it), ``id_col``, n_tokens, copies (1 and more). shares: mix_id,
     source, target_share, max_repeats, n_docs (available), available_tokens, goal_tokens, tokens,
-    actual_share, limited (its repeat limit keeps it below its share).
+    actual_share, limited (its repeat limit keeps it below its share), exact_total (the largest size of the mix at
+    which no source that has documents is limited, so that all of them get their shares exactly).
 
-    The size of a mix is ``total_tokens``, or the tokens that its sources of share above 0 have; a source's goal is its share of that, or its
-    tokens times its limit if that is less. Null, empty and other texts without tokens, and rows without
+    The size of a mix is ``total_tokens`` (a number, or 'exact' for each mix's exact_total), or the tokens that its sources
+    of share above 0 have; a source's goal is its share of that, or its tokens times its limit if that is less. Null, empty and other texts without tokens, and rows without
     a source, are never taken; repeated rows count each. A source without documents and one of
     share 0 give none. Targets with null in share or limit count as 0 and 1.
     """
@@ -94,8 +95,13 @@ def mix_sources(documents: DataFrame, targets: DataFrame, id_col: str = "doc_id"
     size: dict[str, int] = {}
     for r in wanted:
         size[r["mix_id"]] = size.get(r["mix_id"], 0) + (have.get(r["source"], (0, 0))[1] if r["share"] > 0 else 0)
+    exact: dict[str, int] = {}
+    for r in wanted:
+        tokens = have.get(r["source"], (0, 0))[1]
+        if r["share"] > 0 and tokens:
+            exact[r["mix_id"]] = min(exact.get(r["mix_id"], 1 << 62), int(r["most"] * tokens / r["share"]))
     if total_tokens is not None:
-        size = dict.fromkeys(size, total_tokens)
+        size = {m: exact.get(m, 0) if total_tokens == "exact" else total_tokens for m in size}
     goals, plan = {}, []
     for r in wanted:
         d, n = have.get(r["source"], (0, 0))
@@ -119,11 +125,11 @@ def mix_sources(documents: DataFrame, targets: DataFrame, id_col: str = "doc_id"
     upto = F.col("ahead") + F.sum("rate").over(place.rowsBetween(Window.unboundedPreceding, 0)) + 0.5
     rounded = rated.join(ahead, ["mix_id", "name", "b"]).withColumn("upto", upto).withColumn("copies", (F.floor(F.col("upto") + 1e-9) - F.floor(F.col("upto") - F.col("rate") + 1e-9)).cast("int"))
     copies = rounded.where("copies > 0").select("mix_id", F.col("name").alias("source"), F.col("id").alias(id_col), "n_tokens", "copies")
-    goal_rows = spark.createDataFrame([(p[0], p[1], float(p[3]), int(p[4]), int(p[5]), int(p[6]), float(p[7]), bool(p[8])) for p in plan], "mix_id STRING, source STRING, target_share DOUBLE, max_repeats INT, n_docs BIGINT, available_tokens BIGINT, goal_tokens DOUBLE, limited BOOLEAN")
+    goal_rows = spark.createDataFrame([(p[0], p[1], float(p[3]), int(p[4]), int(p[5]), int(p[6]), float(p[7]), bool(p[8]), exact.get(p[0], 0)) for p in plan], "mix_id STRING, source STRING, target_share DOUBLE, max_repeats INT, n_docs BIGINT, available_tokens BIGINT, goal_tokens DOUBLE, limited BOOLEAN, exact_total BIGINT")
     got = copies.groupBy("mix_id", "source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"))
     joined = goal_rows.join(got, ["mix_id", "source"], "left").withColumn("tokens", F.coalesce("tokens", F.lit(0)))
     total = F.sum("tokens").over(Window.partitionBy("mix_id"))
-    shares = joined.withColumn("actual_share", F.when(total > 0, F.col("tokens") / total)).select("mix_id", "source", "target_share", "max_repeats", "n_docs", "available_tokens", "goal_tokens", "tokens", "actual_share", "limited")
+    shares = joined.withColumn("actual_share", F.when(total > 0, F.col("tokens") / total)).select("mix_id", "source", "target_share", "max_repeats", "n_docs", "available_tokens", "goal_tokens", "tokens", "actual_share", "limited", "exact_total")
     return copies, shares
 
 
@@ -133,3 +139,16 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p7_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source is off its target: at the usual size, and at the size at which no source is limited.
+
+    ``possible_share``: the target, of a mix of only those sources that have documents (null for the others).
+    """
+    documents, targets = table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")
+    usual, exact = mix_sources(documents, targets)[1], mix_sources(documents, targets, total_tokens="exact")[1]
+    there = F.sum(F.when(F.col("n_docs") > 0, F.col("target_share"))).over(Window.partitionBy("mix_id"))
+    gaps = exact.withColumn("possible_share", F.when(F.col("n_docs") > 0, F.col("target_share") / there))
+    gaps = gaps.select("mix_id", "source", "possible_share", "exact_total", F.col("actual_share").alias("exact_share"), F.abs(F.col("actual_share") - F.col("possible_share")).alias("exact_gap"))
+    return usual.select("mix_id", "source", "target_share", "limited", "actual_share", F.abs(F.col("actual_share") - F.col("target_share")).alias("gap")).join(gaps, ["mix_id", "source"])

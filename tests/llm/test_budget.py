@@ -32,10 +32,19 @@ def test_estimates(spark):
     by = {r["chunk_id"]: r["est_tokens"] for r in got}
     assert by[1000] == by[1001] == 0 and by[1002] >= 1
     repos = spark.createDataFrame([("r", None), ("r/", "web"), (None, "x")], "repo STRING, domain STRING")
-    sums = budget.token_budget(df, repos).collect()
+    chunks, slices = budget.token_budget(df, repos)
+    sums = slices.collect()
+    total = {(r["repo"], r["language"]): r["est_tokens"] for r in sums}
+    met = chunks.collect()
+    assert len(met) == len(rows) and all(r["slice_tokens"] == total[r["repo"], r["language"]] for r in met)
     assert sum(r["n_chunks"] for r in sums) == len(rows) and {(r["repo"], r["domain"]) for r in sums} == {("r", "web"), ("unknown", "unknown")}
 
 
 def test_empty(spark):
     df = spark.createDataFrame([], "chunk_id BIGINT, language STRING, repo STRING, code STRING")
-    assert budget.token_budget(df, spark.createDataFrame([], "repo STRING, domain STRING")).count() == 0
+    assert [x.count() for x in budget.token_budget(df, spark.createDataFrame([], "repo STRING, domain STRING"))] == [0, 0]
+
+
+def test_error_of_rows_never_seen(spark, data):
+    for r in budget.p5_errors(spark, data.replace("sf0.001", "sf0.01")).collect():
+        assert r["error"] <= 0.04, r

@@ -41,6 +41,15 @@ def test_mix(spark):
     again = mixing.mix_sources(docs.repartition(5), targets)[0].collect()
     assert sorted(map(tuple, c)) == sorted(map(tuple, again))
     assert sum(r["tokens"] for r in mixing.mix_sources(docs, targets.where("mix_id = 'm'"), total_tokens=1000)[1].collect()) <= 1000
+    exact = {(r["mix_id"], r["source"]): r for r in mixing.mix_sources(docs, targets, total_tokens="exact")[1].collect()}
+    assert not any(r["limited"] for r in exact.values() if r["n_docs"])
+    assert abs(exact["m", "big one"]["actual_share"] - 0.5 / 0.9) < 0.02 and abs(exact["m", "small"]["actual_share"] - 0.4 / 0.9) < 0.02
+    assert exact["m", "small"]["exact_total"] == int(3 * exact["m", "small"]["available_tokens"] / 0.4)
+
+
+def test_gaps(spark, data):
+    for r in mixing.p7_gaps(spark, data.replace("sf0.001", "sf0.1")).collect():
+        assert r["exact_gap"] is None or r["exact_gap"] < 0.01, r
 
 
 def test_empty(spark):
