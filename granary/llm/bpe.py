@@ -12,6 +12,7 @@ import base64
 import functools
 import heapq
 import mmap
+import re
 import struct
 
 import numpy as np
@@ -20,6 +21,8 @@ import regex
 TOKENIZER_DIR = "/opt/tokenizers"
 #: The public pre-tokenisation pattern of this byte-level vocabulary.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The same over ASCII, where the letters, digits and white space that it can meet are few.
+ASCII_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+"""
 MAX_LEXICON_WORD = 64  # bytes; longer words are merged, so the lexicon's size has a bound
 MAGIC = b"MADT0001"
 
@@ -165,7 +168,10 @@ class LexiconBuilder:
 
 
 class Lexicon:
-    """Read-only view of the flat file; ``source`` is its bytes or a path to map."""
+    """Read-only view of the flat file; ``source`` is its bytes or a path to map.
+
+    Nothing is copied: a look-up finds each byte among a state's labels within the mapped file.
+    """
 
     def __init__(self, source: bytes | str) -> None:
         if isinstance(source, str):
@@ -174,23 +180,25 @@ class Lexicon:
         if source[:8] != MAGIC:
             raise ValueError("not a lexicon file")
         sizes, at, parts = struct.unpack("<7q", source[8:64]), 64, []
-        for n, kind in zip(sizes, [np.int32] * 5 + [np.uint8] * 2):
-            parts.append(np.frombuffer(source, kind, n, at))
-            at += n * np.dtype(kind).itemsize
-        self.first, self.target, self.output, self.offsets, self.flat, self.label, self.final = parts
+        view = memoryview(source)
+        for n, code in zip(sizes, "iiiiiBB"):
+            size = n * struct.calcsize(code)
+            parts.append((at, view[at : at + size].cast(code)))
+            at += size
+        self.first, self.target, self.output, self.offsets, self.flat, _, self.final = (v for _, v in parts)
+        self.labels_at, self.find = parts[5][0], source.find
         self.n_words = len(self.offsets) - 1
 
     def index(self, word: bytes) -> int:
         """Number of ``word`` in byte order, -1 if it isn't there: the outputs along its path."""
         state = total = 0
-        first, label = self.first, self.label
-        for byte in word:
-            lo, hi = int(first[state]), int(first[state + 1])
-            k = lo + int(label[lo:hi].searchsorted(byte))
-            if k >= hi or label[k] != byte:
+        first, target, output, at, find = self.first, self.target, self.output, self.labels_at, self.find
+        for i in range(len(word)):
+            k = find(word[i : i + 1], at + first[state], at + first[state + 1]) - at
+            if k < 0:
                 return -1
-            total += int(self.output[k])
-            state = int(self.target[k])
+            total += output[k]
+            state = target[k]
         return total if self.final[state] else -1
 
     def ids(self, word: bytes) -> list[int] | None:
@@ -207,6 +215,12 @@ def build_lexicon(words: list[bytes], ranks: dict[bytes, int]) -> bytes:
     return builder.finish([merge_word(w, ranks) for w in kept])
 
 
+def cutter():
+    """The function that cuts a text into its words."""
+    ascii_, whole = re.compile(ASCII_PATTERN).findall, regex.compile(WORD_PATTERN).findall
+    return lambda text: ascii_(text) if text.isascii() else whole(text)
+
+
 class Encoder:
     """Text to ids: cut into words, look each up in the lexicon, merge what it lacks.
 
@@ -218,7 +232,7 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], lexicon: Lexicon | None = None) -> None:
         self.ranks, self.lexicon = ranks, lexicon
-        self.cut = regex.compile(WORD_PATTERN).findall
+        self.cut = cutter()
         self.memo: dict[str, list[int]] = {}
 
     def word(self, w: str) -> list[int]:
@@ -232,12 +246,12 @@ class Encoder:
             self.memo[w] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+    def encode(self, text: str, out: list[int] | None = None) -> list[int]:
+        """Ids of ``text``, behind those of ``out`` where given."""
+        out = [] if out is None else out
         get, word, extend = self.memo.get, self.word, out.extend
         for w in self.cut(text):
-            ids = get(w)
-            extend(word(w) if ids is None else ids)
+            extend(get(w) or word(w))
         return out
 
     def count(self, text: str) -> int:
