@@ -1,48 +1,35 @@
 """Problem 1: broken prompt and response pairs, each with the type of its defect.
 
 Languages come from a naive Bayes model of character n-grams, fitted on labelled documents; whether a
-text breaks off comes from an interpolated n-gram model of how sentences end, fitted on
-answers. Both are fitted on bounded samples chosen by a hash of the id, and applied to every pair.
+text breaks off comes from an interpolated n-gram model of how sentences end, and whether it declines from
+n-gram models of refusals and answers, both fitted on answers. Samples are bounded and chosen by a hash of the id;
+the models are applied to every pair.
 """
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 from collections import Counter, defaultdict
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.llm.refusals import RefusalModel
 from granary.llm.sampling import hash_sample
 from granary.session import table
 
 LANGUAGE_SAMPLE = 300  # documents per language that the language model is fitted on
-ENDING_SAMPLE = 10_000  # answers that the model of sentence ends is fitted on
+ANSWER_SAMPLE = 10_000  # answers that the models of sentence ends and of refusals are fitted on
 GRAM = 4  # longest character n-gram
 LEAST_LETTERS = 25  # prose of fewer letters is never called another language
 LANGUAGE_MARGIN = 3.0  # log posterior odds by which another language must win
 END_FLOOR = 0.03  # a text without a final mark whose end is less likely than this breaks off
 
 PLACEHOLDERS = ("", "null", "none", "nil", "nan", "na", "n a", "todo", "tbd", "empty", "no answer", "no response", "no output", "answer", "response", "request", "placeholder")
-#: Cores of refusals, lower case with straight apostrophes.
-REFUSALS = re.compile(
-    r"\bi (?:cannot|can't|can not|could not|won't be able to|will not be able to|am not able to|am unable to|must decline|have to decline|have to refuse|must refuse|refuse to|decline to|do not feel comfortable|don't feel comfortable|lack the permission|have to pass|must pass|would rather not|will not) ?(?:help|assist|answer|provide|do that|do this|discuss|write (?:this|that|any|about)|respond|comply|fulfil|produce|answering|to discuss|on this one|this request|that request|,|\.|;|$|since|because|as it|to answer|with)"
-    r"|\bi(?:'m| am) (?:unable|not able) to (?:assist|help|answer|provide|produce|do|write|respond|discuss|comply|fulfil)"
-    r"|\bi(?:'d| would) rather not (?:respond|answer|help|say|discuss|do|write)"
-    r"|\bi can(?:'t|not) (?:write anything|do (?:that|this)|discuss|help|assist|answer)"
-    r"|\bi won't be able to (?:write|help|assist|answer|do|provide|respond)"
-    r"|\bi (?:must|have to) (?:decline|refuse|pass)|\bi must decline|\bi lack the permission|\bi do not feel comfortable"
-    r"|something i (?:can't|cannot|can not) (?:discuss|help|do|answer)|not something i can (?:help|do|discuss|answer)|is not something i can do"
-    r"|beyond what i (?:may|can|am allowed)|against my guidelines|no answer can be given|not be appropriate for me"
-    r"|the policy i follow forbids|outside of what i am allowed|\bas an ai(?: language)? model|\bas a language model"
-    r"|\bje (?:ne peux pas|ne suis pas en mesure|dois (?:malheureusement )?(?:refuser|décliner)|refuse de|préfère ne pas)|m'est impossible de (?:vous )?(?:aider|répondre)|en tant que modèle de langue|en tant qu'ia"
-    r"|muss ich (?:leider )?(?:ablehnen|passen)|kann ich (?:leider )?nicht (?:helfen|beantworten)|darf ich (?:leider )?nicht (?:beantworten|helfen)|als (?:ki-)?sprachmodell|ich kann (?:ihnen |dir )?(?:dabei |damit |das )?(?:leider )?nicht (?:helfen|beantworten)|möchte ich (?:lieber )?nicht (?:beantworten|antworten)"
-    r"|no puedo (?:ayudar|responder|contestar)|no me es posible (?:responder|ayudar)|debo (?:rechazar|declinar)|como modelo de lenguaje|prefiero no responder|no estoy autorizad"
-)
-LONGEST_REFUSAL = 320  # characters of prose; a longer answer says something besides
 #: Words by which a question asks for a language: name of the language in several languages.
 ASKED = {
     "en": r"english|anglais|englisch|inglés",
@@ -64,15 +51,15 @@ _FINAL = re.compile(r"[.!?…。:;)\]}>][\"'”’*`_)\]]*$")
 
 def prose(text: str) -> str:
     """``text`` without code blocks and inline code."""
-    return _TICKED.sub(" ", _FENCED.sub(" ", text))
+    return _TICKED.sub(" ", _FENCED.sub(" ", text)) if "`" in text else text
 
 
-_NAME = re.compile(r"[_\d/\\@=<>{}]|\w\.\w")
+_NAME = re.compile(r"(?<!\S)\S*(?:[_\d/\\@=<>{}]|\w\.\w)\S*")
 
 
-def plain(text: str) -> str:
-    """Words of the prose of ``text``, without names, numbers and paths."""
-    return " ".join(w for w in prose(text).split() if not _NAME.search(w))
+def plain(text: str) -> list[str]:
+    """Words of prose in lower case, without names, numbers and paths."""
+    return _WORD.findall(_NAME.sub(" ", text).lower())
 
 
 _CODE_LINE = re.compile(r"\s+\S|[<.@#/*})\]]|.*[;{}>]\s*$|\s*(?:async |static |export )*(?:def|class|function|return|import|from|const|let|var|struct)\b.*[(:={;]")
@@ -80,18 +67,21 @@ _CODE_LINE = re.compile(r"\s+\S|[<.@#/*})\]]|.*[;{}>]\s*$|\s*(?:async |static |e
 
 def asking(question: str) -> str:
     """The prose of a question: without code blocks, and without lines that look like code outside of them."""
-    lines = prose(question).split("\n")
+    text = prose(question)
+    lines = text.split("\n")
     kept = [x for x in lines if not _CODE_LINE.match(x)]
-    return "\n".join(kept) if any(x.strip() for x in kept) else "\n".join(lines)
+    return "\n".join(kept) if any(x.strip() for x in kept) else text
 
 
 class LanguageModel:
-    """Naive Bayes over the character n-grams of words."""
+    """Naive Bayes over the character n-grams of words. A word's log likelihoods are found once and kept in a table."""
+
+    MOST_WORDS = 100_000
 
     def __init__(self, labelled) -> None:
         counts: dict[str, Counter] = defaultdict(Counter)
         for lang, text in labelled:
-            for w, n in Counter(_WORD.findall(plain(text).lower())).items():
+            for w, n in Counter(plain(prose(text))).items():
                 for g in self.grams(w):
                     counts[lang][g] += n
         self.languages = sorted(counts)
@@ -99,32 +89,52 @@ class LanguageModel:
         totals = {x: sum(c.values()) + 0.5 * len(vocabulary) + 1 for x, c in counts.items()}
         self.unknown = [math.log(0.5 / totals[x]) for x in self.languages]
         self.weights = {g: [math.log((counts[x][g] + 0.5) / totals[x]) for x in self.languages] for g in vocabulary}
-        self.words: dict[str, list[float]] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.table = np.zeros((1024, len(self.languages)))
 
     def __getstate__(self):
-        return {**self.__dict__, "words": {}}
+        return {**self.__dict__, "place": {}, "table": self.table[:1024] * 0}
 
     @staticmethod
     def grams(word: str) -> list[str]:
         w = f" {word} "
         return [w[i : i + n] for n in range(2, GRAM + 1) for i in range(len(w) - n + 1)]
 
-    def word(self, w: str) -> list[float]:
-        if len(self.words) > 100_000:
-            self.words.clear()
+    def _add(self, w: str) -> int:
+        k = len(self.place)
+        if k == len(self.table):
+            self.table = np.concatenate([self.table, self.table * 0])
         rows = [self.weights.get(g, self.unknown) for g in self.grams(w)]
         # n-grams of a word depend on each other: each word counts as about two independent ones
-        s = self.words[w] = [2 * sum(r[k] for r in rows) / len(rows) for k in range(len(self.languages))]
-        return s
+        self.table[k] = [2 * sum(r[i] for r in rows) / len(rows) for i in range(len(self.languages))]
+        self.place[w] = k
+        return k
 
-    def scores(self, text: str) -> dict[str, float]:
+    def scores(self, words: list[str]) -> np.ndarray:
         """Log likelihoods by language."""
-        total = [0.0] * len(self.languages)
-        known = self.words
-        for w in _WORD.findall(text.lower()):
-            s = known.get(w) or self.word(w)
-            total = [a + b for a, b in zip(total, s)]
-        return dict(zip(self.languages, total))
+        if len(self.place) > self.MOST_WORDS:
+            self._clear()
+        get, add = self.place.get, self._add
+        at = [k if (k := get(w)) is not None else add(w) for w in words]
+        return self.table[at].sum(axis=0)
+
+    def differs(self, answer: list[str], question: list[str], asked_in: str | None = None) -> str | None:
+        """The language of ``answer`` if both posteriors say that it isn't the question's (or ``asked_in``), else None."""
+        mine = self.scores(answer)
+        best = int(mine.argmax())
+        if asked_in is not None:
+            wanted = self.languages.index(asked_in) if asked_in in self.languages else -1
+            sure = wanted != best
+        else:
+            theirs = self.scores(question)
+            wanted = int(theirs.argmax())
+            sure = theirs[wanted] - theirs[best] > LANGUAGE_MARGIN
+        if sure and (wanted < 0 or mine[best] - mine[wanted] > LANGUAGE_MARGIN):
+            return self.languages[best]
+        return None
 
 
 def kind(token: str) -> str:
@@ -197,28 +207,27 @@ def sentences(text: str):
                 yield tokens
 
 
-def breaks_off(text: str, model: EndingModel) -> bool:
+def breaks_off(text: str, model: EndingModel) -> str | None:
+    """'mark' or 'model' if ``text`` breaks off: by an open block or bracket at its end, or as the model finds its end unlikely."""
     t = text.rstrip()
     if t.count("```") % 2:
-        return True
+        return "mark"
     if t.endswith("```") or not t:
-        return False
-    tail = re.split(r"```", t)[-1]
+        return None
+    tail = t.rsplit("```", 1)[-1]
     line = tail.rsplit("\n", 1)[-1]
-    if line.count("`") % 2:
-        return True
-    if t[-1] in ",(-[{" or t.endswith(("&&", "||", " =", " +")):
-        return True
+    if line.count("`") % 2 or t[-1] in ",(-[{" or t.endswith(("&&", "||", " =", " +")):
+        return "mark"
     if _FINAL.search(t):
-        return False
+        return None
     item = _BULLET.match(line)
     parts = _SENTENCE_END.split(re.sub(r"[\"'”’*_]+$", "", line[item.end() :] if item else line))
     tokens = _TOKEN.findall(parts[-1])
     if not tokens:
-        return False
+        return None
     if not item and len(parts) == 1 and "\n" not in t and len(parts[0].split()) < 5:
-        return False  # a short value, not a sentence
-    return model.likelihood(tokens) < END_FLOOR
+        return None  # a short value, not a sentence
+    return "model" if model.likelihood(tokens) < END_FLOOR else None
 
 
 def squeezed(text: str) -> str:
@@ -237,44 +246,54 @@ def copies(answer: str, question: str) -> bool:
         return a.strip(".!?\"' ") == q.strip(".!?\"' ") and bool(a)
     # a fence's language name stands before the code without being part of it
     windows = [" ".join(words[i : i + 4]) for i in range(0, len(words) - 3, 4)] + [" ".join(words[-5:-1])]
-    found = sum(w in q for w in windows)
-    return found >= max(1, math.ceil(0.75 * len(windows)))
+    spare = len(windows) - max(1, math.ceil(0.75 * len(windows)))
+    for w in windows:
+        if w not in q:
+            spare -= 1
+            if spare < 0:
+                return False
+    return True
 
 
-def defect(question: str | None, answer: str | None, languages: LanguageModel, endings: EndingModel, asked_in: str | None = None) -> str | None:
-    """The defect of a pair, None if it is sound."""
+@dataclass
+class Models:
+    languages: LanguageModel
+    endings: EndingModel
+    refusals: RefusalModel
+
+
+def judged(question: str | None, answer: str | None, models: Models, asked_in: str | None = None) -> tuple[str, str] | None:
+    """The defect of a pair and what told it, None if it is sound."""
     if answer is None:
-        return "empty"
-    bare = re.sub(r"[^\w]+", " ", answer.replace("​", "")).strip().lower()
+        return "empty", "null"
+    bare = re.sub(r"[^\w]+", " ", answer.replace("\u200b", "")).strip().lower()
     if bare in PLACEHOLDERS:
-        return "empty"
+        return "empty", "placeholder"
     question = question or ""
     if copies(answer, question):
-        return "copy"
+        return "copy", "windows"
     text = prose(answer)
-    said = " ".join(text.replace("’", "'").lower().split())
-    if len(said) <= LONGEST_REFUSAL and REFUSALS.search(said) and "```" not in answer:
-        return "refusal"
-    spoken = plain(answer)
-    letters = sum(map(len, _WORD.findall(spoken)))
-    if letters >= LEAST_LETTERS and languages.languages:
-        mine = languages.scores(spoken)
-        best = max(mine, key=mine.get)
-        wanted = asked_in
-        if wanted is None:
-            theirs = languages.scores(plain(asking(question)))
-            wanted = max(theirs, key=theirs.get)
-        if best != wanted and mine[best] - mine.get(wanted, -math.inf) > LANGUAGE_MARGIN and not (best in _ASK and _ASK[best].search(question)):
-            return "wrong_language"
-    if breaks_off(answer, endings):
-        return "truncated"
-    return None
-
-
-def fit(documents: DataFrame, answers: DataFrame) -> tuple[LanguageModel, EndingModel]:
+    if models.refusals.declines(text, answer.count("```") // 2):
+        return "refusal", "model"
+    spoken = plain(text)
+    if models.languages.languages and sum(map(len, spoken)) >= LEAST_LETTERS:
+        other = models.languages.differs(spoken, plain(asking(question)) if asked_in is None else [], asked_in)
+        if other and not (other in _ASK and _ASK[other].search(question)):
+            return "wrong_language", "model"
+    end = breaks_off(answer, models.endings)
+    return ("truncated", end) if end else None
+
+
+def defect(question: str | None, answer: str | None, models: Models, asked_in: str | None = None) -> str | None:
+    """The defect of a pair, None if it is sound."""
+    found = judged(question, answer, models, asked_in)
+    return found and found[0]
+
+
+def fit(documents: DataFrame, answers: DataFrame) -> Models:
     """Models from ``documents`` (doc_id, text, lang) and ``answers`` (id, text).
 
-    Of documents, at most ``LANGUAGE_SAMPLE`` a language, of answers ``ENDING_SAMPLE``, in the order of a
+    Of documents, at most ``LANGUAGE_SAMPLE`` a language, of answers ``ANSWER_SAMPLE``, in the order of a
     hash of the id. Labels are brought to two letters; a language of fewer than five documents is left out.
     """
     lang = F.regexp_extract(F.lower(F.trim("lang")), r"^([a-z]{2})(?:[-_].*)?$", 1)
@@ -282,26 +301,25 @@ def fit(documents: DataFrame, answers: DataFrame) -> tuple[LanguageModel, Ending
     rows = hash_sample(labelled, "doc_id", LANGUAGE_SAMPLE, "lang").select("lang", "text").collect()
     many = Counter(r["lang"] for r in rows)
     languages = LanguageModel((r["lang"], r["text"]) for r in sorted(rows) if many[r["lang"]] >= 5)
-    texts = hash_sample(answers.where("text IS NOT NULL AND char_length(text) BETWEEN 20 AND 20000"), "id", ENDING_SAMPLE).orderBy("id", "text").collect()
-    return languages, EndingModel(r["text"] for r in texts)
+    texts = [r["text"] for r in hash_sample(answers.where("text IS NOT NULL AND char_length(text) BETWEEN 20 AND 20000"), "id", ANSWER_SAMPLE).orderBy("id", "text").collect()]
+    return Models(languages, EndingModel(texts), RefusalModel(map(prose, texts)))
 
 
-def judge(pairs: DataFrame, models: tuple[LanguageModel, EndingModel]) -> DataFrame:
-    """``src``, ``answer_id`` and ``defect`` of the defective rows of ``pairs`` (src, answer_id, question, answer).
+def judge(pairs: DataFrame, models: Models) -> DataFrame:
+    """``src``, ``answer_id``, ``defect`` and its ``evidence`` of the defective rows of ``pairs`` (src, answer_id, question, answer).
 
     A null question counts as empty. No shuffle.
     """
-    languages, endings = models
 
     def run(batches):
-        known = functools.lru_cache(maxsize=65_536)(lambda q, a: defect(q, a, languages, endings))
         for batch in batches:
             src, ids, q, a = (batch.column(i) for i in range(4))
-            found = [known(x, y) for x, y in zip(q.to_pylist(), a.to_pylist())]
+            found = [judged(x, y, models) for x, y in zip(q.to_pylist(), a.to_pylist())]
             keep = pa.array([i for i, d in enumerate(found) if d], pa.int64())
-            yield pa.RecordBatch.from_arrays([src.take(keep), ids.take(keep), pa.array([d for d in found if d], pa.string())], names=["src", "answer_id", "defect"])
+            what = [pa.array([d[k] for d in found if d], pa.string()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([src.take(keep), ids.take(keep), *what], names=["src", "answer_id", "defect", "evidence"])
 
-    return pairs.select("src", "answer_id", "question", "answer").mapInArrow(run, "src STRING, answer_id BIGINT, defect STRING")
+    return pairs.select("src", "answer_id", "question", "answer").mapInArrow(run, "src STRING, answer_id BIGINT, defect STRING, evidence STRING")
 
 
 def result_pairs(results: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -320,17 +338,22 @@ def turn_pairs(train: DataFrame) -> DataFrame:
 
 
 def broken_pairs(jobs: DataFrame, results: DataFrame, train: DataFrame, documents: DataFrame) -> DataFrame:
-    """One row (src, answer_id, defect) per defective pair of results with jobs and of training turns.
+    """One row (src, answer_id, defect, evidence) per defective pair of results with jobs and of training turns.
 
-    The first defect that holds is given, in the order empty, copy, refusal, wrong_language, truncated.
-    Null, empty and blank answers are 'empty'; rows whose join keys are null form no pair; a repeated
+    The first defect that holds is given, in the order empty, copy, refusal, wrong_language, truncated;
+    ``evidence`` is what told it: null, placeholder, windows (found in the question), mark (an open block or bracket at the end)
+    or model. Null, empty and blank answers are 'empty'; rows whose join keys are null form no pair; a repeated
     row is judged again; empty tables give no rows (without labelled documents no pair is of another
     language). Extra columns play no role.
     """
-    answers = results.select(F.col("result_id").alias("id"), F.col("_text").alias("text")).union(train.where(F.lower("role").isin("assistant", "gpt")).select("msg_id", "content"))
+    answers = results.select(F.col("result_id").alias("id"), F.col("_text").alias("text")).union(train.where(F.lower(F.trim("role")).isin("assistant", "gpt")).select("msg_id", "content"))
     models = fit(documents, answers)
     return judge(result_pairs(results, jobs).union(turn_pairs(train)), models)
 
 
-def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p1_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return broken_pairs(*(table(spark, sf_dir, t) for t in ("jobs", "job_results", "train", "documents")))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_pairs(spark, sf_dir).drop("evidence")

@@ -8,6 +8,7 @@ from granary.llm import budget, encode, handwritten, mixing, neardup, pairs, rea
 def queries():
     return {
         "p1_found": pairs.p1_found,
+        "p1_pairs": pairs.p1_pairs,
         "p2_found": handwritten.p2_found,
         "p2_files": handwritten.p2_files,
         "p3_found": split.p3_found,
