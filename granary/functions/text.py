@@ -5,6 +5,8 @@ White space is that of Unicode, as ``str.strip`` and ``str.split`` of Python see
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,8 +44,7 @@ def words(c: Column) -> Column:
 
 def split_lines(c: Column) -> Column:
     """Lines as ``str.splitlines`` gives them: any line mark ends one, a last empty one doesn't count."""
-    parts = F.split(c, LINE_RE)
-    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts))
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(c, rf"(?:{LINE_RE})\z", ""), LINE_RE))
 
 
 def file_lines(c: Column) -> Column:
@@ -83,6 +84,12 @@ def safe_filename(c: Column) -> Column:
     return F.when(F.char_length(clean) <= FILENAME_LIMIT, clean).otherwise(F.concat(F.substring(clean, 1, FILENAME_KEEP), F.lit("_"), F.substring(F.sha1(c.cast("binary")), 1, 8)))
 
 
+def safe_filename_of(name: str) -> str:
+    """The same for one name, outside of Spark."""
+    clean = "".join(ch if ch.isascii() and (ch.isalnum() or ch in "_-") else "_" for ch in name)
+    return clean if len(clean) <= FILENAME_LIMIT else f"{clean[:FILENAME_KEEP]}_{hashlib.sha1(name.encode('utf-8', 'replace')).hexdigest()[:8]}"
+
+
 def strip_fences(c: Column) -> Column:
     """Code without the ``` lines a model may put before and after it."""
     lines = split_lines(strip(c))
@@ -114,6 +121,11 @@ def yaml_key(line: Column) -> Column:
     return F.when(plain & s.rlike(YAML_KEY_RE), F.regexp_extract(s, YAML_KEY_RE, 1))
 
 
+def opens_yaml(line: Column) -> Column:
+    """Whether :func:`yaml_key` finds a key. One look: what a key begins with is neither white space nor '#' nor '-'."""
+    return line.rlike(r"^[A-Za-z0-9_.][A-Za-z0-9_.\-]*:")
+
+
 def duration(seconds: Column) -> Column:
     """'1h 02m', '2m 03s' or '5s'."""
     s = F.greatest(seconds.cast("bigint"), F.lit(0))

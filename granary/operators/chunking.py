@@ -9,7 +9,6 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from granary.functions import text as X
 
@@ -34,19 +33,20 @@ def yaml_chunks(files: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     A top-level key starts a segment; segments over ``MAX_LINES`` lines are cut into blocks; blocks under
     ``MIN_LINES`` join the next larger one, those after the last larger one form a chunk of their own (which may
-    stay small). A document mark '---' starts nothing. Null and empty texts give no row. Window functions
-    over a file's lines alone, so only one file needs to fit into a task.
+    stay small). A document mark '---' starts nothing. Null and empty texts give no row; a repeated id is cut
+    again. Chunks are ranges of a text's lines, so each row is cut where it lies: no shuffle.
     """
-    lines = files.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.posexplode(X.split_lines(F.col(text_col))).alias("ln", "line"))
-    file = Window.partitionBy("_id").orderBy("ln")
-    opened = lines.withColumn("segment", F.sum(F.when(X.yaml_key(F.col("line")).isNotNull(), 1).otherwise(0)).over(file))
-    within = Window.partitionBy("_id", "segment").orderBy("ln")
-    blocked = opened.withColumn("block", F.floor((F.row_number().over(within) - 1) / MAX_LINES))
-    blocks = blocked.groupBy("_id", "segment", "block").agg(F.count("*").alias("n"), F.min("ln").alias("ln"), F.array_sort(F.collect_list(F.struct("ln", "line"))).alias("l"))
-    order = Window.partitionBy("_id").orderBy("segment", "block")
-    grouped = blocks.withColumn("chunk", F.coalesce(F.sum(F.when(F.col("n") >= MIN_LINES, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    merged = grouped.groupBy("_id", "chunk").agg(F.sum("n").alias("n_lines"), F.array_sort(F.flatten(F.collect_list("l"))).alias("l"))
-    return merged.select(F.col("_id").alias(id_col), F.col("chunk").cast("int"), F.col("n_lines").cast("bigint"), F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("text"))
+    after = lambda xs, i: F.coalesce(F.get(xs, i + 1), F.col("_n"))
+    rows = files.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), X.split_lines(F.col(text_col)).alias("_l")).withColumn("_n", F.size("_l")).where("_n > 0")
+    keys = F.array_compact(F.transform("_l", lambda line, i: F.when((i > 0) & X.opens_yaml(line), i)))
+    opened = rows.withColumn("_s", F.concat(F.array(F.lit(0)), keys))
+    blocked = opened.withColumn("_b", F.flatten(F.transform("_s", lambda a, i: F.sequence(a, after(F.col("_s"), i) - 1, F.lit(MAX_LINES)))))
+    ends = F.array_compact(F.transform("_b", lambda a, i: F.when(after(F.col("_b"), i) - a >= MIN_LINES, after(F.col("_b"), i))))
+    ended = blocked.withColumn("_e", F.array_distinct(F.concat(ends, F.array("_n"))))
+    begun = F.transform("_e", lambda e, i: F.struct(F.when(i == 0, 0).otherwise(F.get(F.col("_e"), i - 1)).alias("a"), e.alias("b")))
+    out = ended.select("_id", "_l", F.posexplode(begun).alias("chunk", "at"))
+    n = F.col("at.b") - F.col("at.a")
+    return out.select(F.col("_id").alias(id_col), "chunk", n.cast("bigint").alias("n_lines"), F.array_join(F.slice("_l", F.col("at.a") + 1, n), "\n").alias("text"))
 
 
 def config_instruction(path: Column, text: Column) -> Column:
@@ -55,13 +55,13 @@ def config_instruction(path: Column, text: Column) -> Column:
     Names are compared as written: 'Dockerfile' and 'Makefile' in capitals get the general sentence.
     """
     low, name = F.lower(path), X.file_name(path)
+    # What is looked for, and the sentences.
     kind = F.regexp_extract(text, r"(?m)^kind:\s*([A-Za-z]+)", 1)
     target = F.regexp_extract(text, r"metadata:\s*\n\s+name:\s*([^\s]+)", 1)
     service = F.regexp_extract(text, r"(?m)^  ([a-zA-Z0-9_-]+):", 1)
     rules = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"(?m)^([A-Za-z0-9_-]+):"), 1), 1, 4), ", ")
     ends = lambda *xs: F.greatest(*(F.endswith(low, F.lit(x)).cast("int") for x in (*xs, xs[0]))) == 1
     say = F.format_string
-    # The sentences.
     yaml = (
         F.when(F.contains(name, F.lit("docker-compose")) | F.contains(low, F.lit("compose")), say("Write the docker-compose service definition for `%s` as shown.", F.when(service == "", "app").otherwise(service)))
         .when((kind != "") & (target != ""), say("Write the Kubernetes %s manifest for `%s`.", kind, target))
@@ -95,10 +95,12 @@ def config_chunks(files: DataFrame, path_col: str = "path", text_col: str = "tex
     return parts.select("path", "chunk", "part", config_instruction(F.col("path"), F.col("text")).alias("instruction"), F.col("text").alias("output"))
 
 
-# --- source files: one function per language gives (kind, first line, last line), lines from 1 ---
+# --- source files: one function per language gives (kind, first line, last line, first and last place), lines from 1 ---
 
+Span = tuple[str, int, int, object, object]
 
-def python_spans(text: str) -> list[tuple[str, int, int]]:
+
+def python_spans(text: str) -> list[Span]:
     """Functions, classes and decorated definitions; a decorated one also counts without its decorators."""
     try:
         tree = ast.parse(text)
@@ -108,8 +110,9 @@ def python_spans(text: str) -> list[tuple[str, int, int]]:
     for node in ast.walk(tree):
         if isinstance(node, (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)):
             if node.decorator_list:
-                out.append(("decorated", min(d.lineno for d in node.decorator_list), node.end_lineno))
-            out.append(("class" if isinstance(node, ast.ClassDef) else "func", node.lineno, node.end_lineno))
+                first = min((d.lineno, d.col_offset) for d in node.decorator_list)
+                out.append(("decorated", first[0], node.end_lineno, first, (node.end_lineno, node.end_col_offset)))
+            out.append(("class" if isinstance(node, ast.ClassDef) else "func", node.lineno, node.end_lineno, (node.lineno, node.col_offset), (node.end_lineno, node.end_col_offset)))
     return sorted(out, key=lambda s: (s[1], -s[2]))
 
 
@@ -148,7 +151,7 @@ _C_HEAD = re.compile(r"[;{}]|\Z")
 _JS_HEADS = (("func", re.compile(r"(?:\basync\s+)?\bfunction\s+\w+\s*\([^)]*\)\s*\{")), ("class", re.compile(r"\bclass\s+\w+[^{;()]*\{")), ("arrow", re.compile(r"(?:\basync\s+)?(?:\([^()]*\)|\b\w+)\s*=>\s*\{")), ("method", re.compile(r"(?m)^[ \t]+(?:static\s+|async\s+|get\s+|set\s+|\*)*(?!(?:if|for|while|switch|catch|function|return|with)\b)[\w$#]+\s*\([^()]*\)\s*\{")))
 
 
-def c_spans(text: str) -> list[tuple[str, int, int]]:
+def c_spans(text: str) -> list[Span]:
     """Function definitions and declarations at the top level of a C file, found by its braces."""
     code = re.sub(r"(?m)^[ \t]*#(?:[^\n\\]|\\\n|\\.)*", lambda m: re.sub(r"[^\n]", " ", m.group(0)), _blank(text, "c"))
     line, braces = _line_numbers(code), _braces(code)
@@ -162,25 +165,25 @@ def c_spans(text: str) -> list[tuple[str, int, int]]:
             if close < 0:
                 break
             if re.search(r"\)\s*$", head) and not re.search(r"=\s*$", head):
-                out.append(("func", line(begin), line(close)))
+                out.append(("func", line(begin), line(close), begin, close))
                 at = close + 1
                 continue
             end = code.find(";", close)
             if end < 0:
                 break
             if head.strip():
-                out.append(("decl", line(begin), line(end)))
+                out.append(("decl", line(begin), line(end), begin, end))
             at = end + 1
         elif m.group(0) == ";":
             if head.strip():
-                out.append(("decl", line(begin), line(m.start())))
+                out.append(("decl", line(begin), line(m.start()), begin, m.start()))
             at = m.end()
         else:
             at = m.end() if m.group(0) else len(code)
     return out
 
 
-def javascript_spans(text: str) -> list[tuple[str, int, int]]:
+def javascript_spans(text: str) -> list[Span]:
     """Functions, classes, arrow functions with a body and methods, found by their heads and braces."""
     code = _blank(text, "javascript")
     line, braces = _line_numbers(code), _braces(code)
@@ -191,11 +194,11 @@ def javascript_spans(text: str) -> list[tuple[str, int, int]]:
             begin = m.start() + len(m.group(0)) - len(m.group(0).lstrip())
             if close >= 0 and (begin, close) not in seen:
                 seen.add((begin, close))
-                out.append((kind, line(begin), line(close)))
+                out.append((kind, line(begin), line(close), begin, close))
     return sorted(out, key=lambda s: (s[1], -s[2]))
 
 
-def css_spans(text: str) -> list[tuple[str, int, int]]:
+def css_spans(text: str) -> list[Span]:
     """Rules and media statements; rules within a media statement count too."""
     code = _blank(text, "css")
     line, braces = _line_numbers(code), _braces(code)
@@ -209,27 +212,27 @@ def css_spans(text: str) -> list[tuple[str, int, int]]:
         begin += len(head) - len(head.lstrip())
         at_rule = code[begin] == "@"
         if not at_rule or code.startswith("@media", begin):
-            out.append(("media" if at_rule else "rule", line(begin), line(close)))
+            out.append(("media" if at_rule else "rule", line(begin), line(close), begin, close))
     return out
 
 
-def html_spans(text: str) -> list[tuple[str, int, int]]:
+def html_spans(text: str) -> list[Span]:
     """Elements that structure a page, from their start tag to their end tag; unclosed ones are left out."""
     from html.parser import HTMLParser
 
-    out: list[tuple[str, int, int]] = []
+    out: list[Span] = []
 
     class Reader(HTMLParser):
-        open_: list[tuple[str, int]] = []
+        open_: list[tuple[str, tuple[int, int]]] = []
 
         def handle_starttag(self, tag, attrs):
             if tag in HTML_TAGS:
-                self.open_.append((tag, self.getpos()[0]))
+                self.open_.append((tag, self.getpos()))
 
         def handle_endtag(self, tag):
             for k in range(len(self.open_) - 1, -1, -1):
                 if self.open_[k][0] == tag:
-                    out.append(("semantic", self.open_[k][1], self.getpos()[0]))
+                    out.append(("semantic", self.open_[k][1][0], self.getpos()[0], self.open_[k][1], self.getpos()))
                     del self.open_[k:]
                     break
 
@@ -245,6 +248,7 @@ SPANS = {"python": python_spans, "c": c_spans, "javascript": javascript_spans, "
 def source_chunks(files: DataFrame, repo: str = "repo", language: str = "language", path: str = "file_path", text: str = "text") -> DataFrame:
     """Code chunks (chunk schema) of source files: constructs of ``MIN_LINES`` to ``MAX_LINES`` lines, nested ones too.
 
+    Each range of a file is one chunk, of the first construct that has it.
     Languages without a reader, null texts and files that can't be parsed give no row. Python is read by
     its own grammar, the others by scanners that know comments, literals and braces.
     """
@@ -259,7 +263,8 @@ def source_chunks(files: DataFrame, repo: str = "repo", language: str = "languag
                 if reader is None or t is None:
                     continue
                 lines = t.split("\n")
-                for kind, a, b in dict.fromkeys(reader(t)):
+                once = {(begin, end): (kind, a, b) for kind, a, b, begin, end in reversed(reader(t))}
+                for kind, a, b in reversed(once.values()):
                     if MIN_LINES <= b - a + 1 <= MAX_LINES:
                         for column, v in zip(out, (r, lang, p, kind, a, b, "\n".join(lines[a - 1 : b]))):
                             column.append(v)

@@ -12,7 +12,19 @@ NODE_ID_RE = r"^N[0-9]{2}$"
 MAX_NODES, MAX_SPLIT_DEPTH, MAX_CHILDREN, MAX_SPLITS = 24, 3, 2, 5
 MAX_ATTEMPTS = 3
 CONTEXT_TOKENS = 3072
-STATES = ("PENDING", "READY", "RUNNING", "DONE", "FAILED", "SKIPPED")
+STATES = ("PENDING", "READY", "RUNNING", "TEST_FAILED", "CODE_FAILED", "SANDBOX_VIOLATION", "TIMEOUT", "FAILED", "DONE")
+#: Sections of a context with their tokens, the rest of ``CONTEXT_TOKENS`` (442) being left for the answer.
+SECTIONS = {"policy": 180, "node": 350, "topology": 250, "brief": 350, "contracts": 600, "summaries": 650, "error_tail": 250}
+#: Sections that always stay, and the order in which the others are given up.
+KEPT_SECTIONS, EVICTED = ("policy", "node", "contracts", "error_tail"), ("summaries", "brief", "topology")
+#: The events and the metrics that a run may report.
+EVENT_TYPES = (
+    "query.received", "policy.accepted", "policy.rejected", "planner.load.start", "planner.load.end", "plan.generated", "plan.schema.invalid", "plan.accepted", "node.ready", "node.attempt.start", "sandbox.start",
+    "sandbox.exit", "sandbox.timeout", "sandbox.violation", "node.test.failed", "node.done", "node.failed", "model.unload.start", "model.unload.end", "resource.threshold.crossed", "node.split", "knowledge.brief.updated",
+)
+METRICS = ("model_load_time_ms", "model_unload_time_ms", "tokens_in", "tokens_out", "tokens_per_second", "prompt_build_time_ms", "sandbox_runtime_ms", "node_attempt_count", "node_failure_count", "schema_invalid_count", "context_truncation_count", "ram_available_mb", "cpu_percent", "kv_cache_estimate_mb", "hot_swap_count")
+#: What each event makes of its node's state.
+TRANSITIONS = {"node.ready": "READY", "node.attempt.start": "RUNNING", "node.test.failed": "TEST_FAILED", "sandbox.timeout": "TIMEOUT", "sandbox.violation": "SANDBOX_VIOLATION", "node.failed": "FAILED", "node.done": "DONE"}
 PLANS = T.StructType([T.StructField(k, T.StringType()) for k in ("query_id", "objective", "plan_json", "created_at")])
 NODE_STATE = T.StructType([*(T.StructField(k, T.StringType()) for k in ("query_id", "node_id", "status")), T.StructField("attempt", T.IntegerType()), T.StructField("started_at", T.StringType()), T.StructField("ended_at", T.StringType()), T.StructField("exit_code", T.IntegerType()), *(T.StructField(k, T.StringType()) for k in ("stdout_path", "stderr_path", "error_summary"))])
 ARTIFACTS = T.StructType([*(T.StructField(k, T.StringType()) for k in ("artifact_id", "query_id", "node_id", "type", "path", "sha256")), T.StructField("token_estimate", T.IntegerType()), T.StructField("created_at", T.StringType())])
@@ -91,6 +103,39 @@ def pressure_spans(samples: DataFrame, cpu: float = 80.0, seconds: float = 5.0,
     return spans(F.col("cpu_pct") > cpu, "cpu").where(F.col("end_s") - F.col("start_s") > seconds).union(spans(F.col("ram_avail_mb") < ram_mb, "ram"))
 
 
+def compiled_context(sections: DataFrame, budget: int = CONTEXT_TOKENS, reserve: int | None = None) -> DataFrame:
+    """Pieces of contexts (query_id, section, age, tokens) that stay: query_id, section, age, tokens, cut (tokens it is cut to).
+
+    A piece is cut to what its section may have in all, newest (least age) first. If a query's pieces still exceed ``budget``
+    less ``reserve`` (for the answer), those of ``EVICTED`` sections go, section by section in that order and the oldest first;
+    ``KEPT_SECTIONS`` stay whatever happens. Unknown sections go before all.
+    """
+    reserve = CONTEXT_TOKENS - sum(SECTIONS.values()) if reserve is None else reserve
+    limit = F.create_map(*[F.lit(x) for kv in SECTIONS.items() for x in kv])
+    newest = Window.partitionBy("query_id", "section").orderBy("age").rowsBetween(Window.unboundedPreceding, 0)
+    room = F.coalesce(F.try_element_at(limit, "section"), F.lit(0)) - (F.sum("tokens").over(newest) - F.col("tokens"))
+    cut = sections.withColumn("cut", F.greatest(F.lit(0), F.least("tokens", room)).cast("bigint")).where((F.col("cut") > 0) | F.col("section").isin(*KEPT_SECTIONS))
+    # the last to go comes first, so a running sum tells what fits
+    rank = F.when(F.col("section").isin(*KEPT_SECTIONS), 0).otherwise(len(EVICTED) + 1 - F.coalesce(F.array_position(F.array(*map(F.lit, EVICTED)), F.col("section")), F.lit(0)))
+    order = Window.partitionBy("query_id").orderBy("_rank", "age", "section").rowsBetween(Window.unboundedPreceding, 0)
+    return cut.withColumn("_rank", rank).withColumn("_upto", F.sum("cut").over(order)).where((F.col("_rank") == 0) | (F.col("_upto") <= budget - reserve)).select("query_id", "section", "age", "tokens", "cut")
+
+
+def node_states(events: DataFrame) -> DataFrame:
+    """State of each node after its events (event_id, query_id, node_id, event_type, created_at): query_id, node_id, status, attempt.
+
+    The last event that moves a state decides (of one time the greatest event_id); a node without one is PENDING.
+    """
+    to = F.try_element_at(F.create_map(*[F.lit(x) for kv in TRANSITIONS.items() for x in kv]), F.col("event_type"))
+    last = F.max(F.when(to.isNotNull(), F.struct("created_at", "event_id", to.alias("status"))))
+    return events.groupBy("query_id", "node_id").agg(F.coalesce(last["status"], F.lit("PENDING")).alias("status"), F.count_if(F.col("event_type") == "node.attempt.start").alias("attempt"))
+
+
+def unknown_events(events: DataFrame) -> DataFrame:
+    """Event types outside of ``EVENT_TYPES``, with how often each came."""
+    return events.where(~F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False))).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
 def event_metrics(events: DataFrame) -> DataFrame:
-    """Events by query and type."""
+    """Events by query and type, in one aggregation."""
     return events.groupBy("query_id", "event_type").agg(F.count("*").alias("n"))

@@ -1,7 +1,7 @@
 """Batch text generation: jobs in, results out, by a pluggable completion backend.
 
-A backend is built once per Python worker and completes batches. Prompts are shortened to the spec's context,
-or to the backend's own ``context`` if it has one (None: no limit, prompts stay whole). Failed requests are tried again up to
+A backend is built once per Python worker process, which runs many tasks, and completes batches. Prompts are shortened
+to the spec's context, or to the backend's own ``context`` if it has one (None: no limit, prompts stay whole). Failed requests are tried again up to
 ``attempts`` times and then give a null text. Results are keyed by ``_idx``; finished ones are skipped
 by an anti-join, so a run resumes where the last one ended.
 """
@@ -9,20 +9,26 @@ by an anti-join, so a run resumes where the last one ended.
 from __future__ import annotations
 
 import hashlib
+import json
+import time
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.functions import text as X
+from granary.operators.backends import EchoBackend
 from granary.operators.dedup import first_wins, pending, without_known
+from granary.operators.mix import combinations
 from granary.operators.quality import instruction_defect
-from granary.session import materialize
+from granary.session import discard, exists, materialize, remove, write_text
 
-# How much of a prompt fits, and defaults of a worker.
+# How much of a prompt fits, how often a run goes on asking, and (in WorkerSpec) a worker's fields and defaults.
+MOST_ROUNDS = 60
 CHARS_PER_TOKEN_LIMIT, CONTEXT_SLACK = 6, 16
 PROMPT_CODE_CHARS = 2000
 MIN_GENERATED = 10
@@ -33,6 +39,7 @@ RESULT = "_idx BIGINT, max_tokens INT, temperature DOUBLE, top_p DOUBLE, _worker
 class WorkerSpec:
     """One worker of a plan."""
 
+    # The fields and their defaults.
     kind: str
     name: str
     n_threads: int = 0
@@ -43,29 +50,17 @@ class WorkerSpec:
     top_p: float = 0.95
     stop: list[str] = field(default_factory=lambda: ["\n\n"])
     attempts: int = 3
+    seed: int = 0
 
     def as_dict(self) -> dict:
         return asdict(self)
 
 
-class EchoBackend:
-    """Offline backend: a text that depends on the prompt alone. Prompts with ``FAIL`` fail."""
-
-    name = "echo0"
-    context = None
-
-    def complete(self, requests: list[dict]) -> list[str | None]:
-        out: list[str | None] = []
-        for r in requests:
-            p = r["prompt"] or ""
-            out.append(None if "FAIL" in p else f"Write code for task {hashlib.sha256(p.encode('utf-8', 'replace')).hexdigest()[:12]}.")
-        return out
-
-
-def fit_prompt(prompt: str, context: int, max_tokens: int) -> str:
-    """The part of a prompt that leaves room for the answer: its last characters."""
+def fit_prompt(prompt: str, context: int, max_tokens: int, tokens: Callable[[str], list[str]] | None = None) -> str:
+    """The part of a prompt that leaves room for the answer: its last characters, then its last ``tokens``."""
     budget = max(1, context - max_tokens - CONTEXT_SLACK)
-    return prompt[-CHARS_PER_TOKEN_LIMIT * budget :]
+    end = prompt[-CHARS_PER_TOKEN_LIMIT * budget :]
+    return end if tokens is None else "".join(tokens(end)[-budget:])
 
 
 def cut_at_stop(text: str, stop: Iterable[str]) -> str:
@@ -95,28 +90,32 @@ def complete_with_retries(backend, requests: list[dict], attempts: int, n_parall
 def run_completions(jobs: DataFrame, backend: Callable[[], object] = EchoBackend, spec: WorkerSpec | None = None, done: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
     """Results (``RESULT``) of the jobs that ``done`` lacks.
 
-    Requests' own settings hold where given, the spec's elsewhere. Null prompts count as ''. More
-    ``partitions`` than workers let the scheduler balance the load.
+    Requests' own settings hold where given, the spec's elsewhere. Null prompts count as ''. A request's seed is its
+    ``_idx`` plus the spec's seed. More ``partitions`` than workers let the scheduler balance the load.
     """
     spec = spec or WorkerSpec("cpu", "cpu0")
+    packed = cloudpickle.dumps(backend)
+    key = hashlib.sha256(packed).hexdigest()
     todo = pending(jobs, done) if done is not None else jobs
     todo = todo.select("_idx", "prompt", F.coalesce("max_tokens", F.lit(spec.max_tokens)).alias("max_tokens"), F.coalesce("temperature", F.lit(spec.temperature)).alias("temperature"), "top_p", "stop")
     if partitions:
         todo = todo.repartition(partitions, "_idx")
 
     def run(batches):
-        worker = backend()
+        worker = _built(key, packed)
         name = getattr(worker, "name", spec.name)
-        context = getattr(worker, "context", spec.ctx_per_seq)
+        context, tokens = getattr(worker, "context", spec.ctx_per_seq), getattr(worker, "tokens", None)
         for batch in batches:
             requests = batch.to_pylist()
             for r in requests:
                 r["prompt"] = r["prompt"] or ""
                 if context is not None:
-                    r["prompt"] = fit_prompt(r["prompt"], context, r["max_tokens"])
+                    r["prompt"] = fit_prompt(r["prompt"], context, r["max_tokens"], tokens)
+                r["stop"] = r["stop"] or spec.stop
+                r["seed"] = spec.seed + (r["_idx"] or 0)
                 r["top_p"] = spec.top_p if r["top_p"] is None else r["top_p"]
             texts = complete_with_retries(worker, requests, spec.attempts, max(1, spec.n_parallel))
-            texts = [t if t is None else cut_at_stop(t, r["stop"] or spec.stop) for t, r in zip(texts, requests)]
+            texts = [t if t is None else cut_at_stop(t, r["stop"]) for t, r in zip(texts, requests)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), batch.column(3), batch.column(4), pa.array([name] * len(texts), pa.string()), pa.array(texts, pa.string()), pa.array([len(t or "") for t in texts], pa.int64())],
                 names=["_idx", "max_tokens", "temperature", "top_p", "_worker", "_text", "_len"],
@@ -125,10 +124,57 @@ def run_completions(jobs: DataFrame, backend: Callable[[], object] = EchoBackend
     return todo.mapInArrow(run, RESULT)
 
 
-def best_results(results: DataFrame, order: str, least: int = 0) -> DataFrame:
-    """The first result of each job in ``order`` (unique), lost workers' and negative indices left out."""
-    valid = results.where((F.col("_idx") >= least) & ~F.col("_worker").eqNullSafe("lost"))
-    return first_wins(valid, ["_idx"], order)
+_workers: dict[str, object] = {}
+
+
+def _built(key: str, packed: bytes):
+    """The backend of this process, built when it is first asked for."""
+    if key not in _workers:
+        _workers[key] = cloudpickle.loads(packed)()
+    return _workers[key]
+
+
+def best_results(results: DataFrame, order: str, total: int | None = None, least: int = 0) -> DataFrame:
+    """The first result of each job in ``order`` (unique); lost workers' and those of no job (below ``least``, from ``total`` on) are left out."""
+    index = F.col("_idx")
+    valid = results.where((index >= least) & ~F.col("_worker").eqNullSafe("lost"))
+    return first_wins(valid if total is None else valid.where(index < total), ["_idx"], order)
+
+
+def merged_results(partial: DataFrame, final: DataFrame, total: int) -> DataFrame:
+    """One result for each job of 0 to ``total``: those of an interrupted run's log and of its output, in the order of ``_idx``.
+
+    The output's goes before the log's; of several within one, a text goes before none, then the least worker and text.
+    """
+    both = final.withColumn("_from", F.lit(0)).unionByName(partial.withColumn("_from", F.lit(1)))
+    rank = F.struct("_from", F.col("_text").isNull().alias("no"), "_worker", "_text", *(c for c in final.columns if c not in ("_idx", "_worker", "_text")))
+    valid = both.where((F.col("_idx") >= 0) & (F.col("_idx") < total) & ~F.col("_worker").eqNullSafe("lost"))
+    first = valid.groupBy("_idx").agg(F.min(rank).alias("r"))
+    return first.select(*(F.col("_idx") if c == "_idx" else F.col(f"r.{c}") for c in final.columns)).orderBy("_idx")
+
+
+def run_to_folder(spark: SparkSession, jobs: DataFrame, folder: str, backend: Callable[[], object] = EchoBackend, spec: WorkerSpec | None = None, partitions: int | None = None) -> dict:
+    """Complete ``jobs`` (``_idx`` from 0 on) into ``folder``: results in order of ``_idx``, and plan.json with the run's figures.
+
+    New results go to a log (``partial``) first. A run that was interrupted goes on from its log and its output: only jobs
+    that neither has are completed. Returns the figures.
+    """
+    spec = spec or WorkerSpec("cpu", "cpu0")
+    log, out = f"{folder}/partial", f"{folder}/results"
+    old = lambda p: spark.read.schema(RESULT).parquet(p) if exists(spark, p) else spark.createDataFrame([], RESULT)
+    total = int(jobs.agg(F.coalesce(F.max("_idx") + 1, F.lit(0))).first()[0])
+    before = merged_results(old(log), old(out), total)
+    known = before.count()
+    began = time.time()
+    run_completions(jobs, backend, spec, done=before, partitions=partitions).write.mode("append").parquet(log)
+    whole = materialize(merged_results(old(log), old(out), total), "results")
+    whole.orderBy("_idx").write.mode("overwrite").parquet(out)
+    stats = run_stats(jobs, whole, round(time.time() - began, 3), known).first().asDict()
+    stats |= {"workers": {r["_worker"]: r["n"] for r in whole.groupBy("_worker").agg(F.count("*").alias("n")).collect()}, "plan": [spec.as_dict()]}
+    remove(spark, log)
+    discard(whole)
+    write_text(spark, f"{folder}/plan.json", json.dumps(stats, indent=2, default=str))
+    return stats
 
 
 def join_results(items: DataFrame, results: DataFrame) -> DataFrame:
@@ -197,14 +243,24 @@ def worker_rates(results: DataFrame, time_col: str = "recorded_at") -> DataFrame
     return by.withColumn("jobs_per_s", F.when(F.col("seconds") > 0, F.col("jobs") / F.col("seconds"))).withColumn("chars_per_s", F.when(F.col("seconds") > 0, F.col("chars") / F.col("seconds")))
 
 
+def with_hints(rows: DataFrame, hints: dict[str, str], principle: str = "principle") -> DataFrame:
+    """``rows`` with the ``hint`` of their principle; a principle without one is its own hint. No join: hints are few."""
+    known = F.create_map(*[F.lit(x) for kv in hints.items() for x in kv]) if hints else F.lit(None).cast("map<string,string>")
+    return rows.withColumn("hint", F.coalesce(F.try_element_at(known, F.col(principle)), F.col(principle)))
+
+
+def not_language(rows: DataFrame, language: str, column: str = "language") -> DataFrame:
+    """Rows of another language; a missing one is another."""
+    return rows.where(~F.col(column).eqNullSafe(language))
+
+
 def expand_alignment(combos: DataFrame, hints: dict[str, str], backend=EchoBackend, spec: WorkerSpec | None = None, target: int | None = None, seed: int = 42) -> DataFrame:
     """Refactoring pairs in two passes: bad code for each combination, then better code for each usable one.
 
     ``combos``: pos, principle, language. A principle without a hint is its own hint. Equal outputs are
     kept once (least pos); ``target`` limits the result in shuffled order.
     """
-    known = F.create_map(*[F.lit(x) for kv in hints.items() for x in kv]) if hints else F.lit(None).cast("map<string,string>")
-    rows = combos.withColumn("hint", F.coalesce(F.try_element_at(known, F.col("principle")), F.col("principle")))
+    rows = with_hints(combos, hints)
     settings = (F.lit(None).cast("int").alias("max_tokens"), F.lit(None).cast("double").alias("temperature"), F.lit(None).cast("double").alias("top_p"), F.lit(None).cast("array<string>").alias("stop"))
     ask = lambda d, prompt: run_completions(d.select(F.col("pos").alias("_idx"), prompt.alias("prompt"), *settings), backend, spec)
     bad = rows.join(ask(rows, bad_code_prompt(F.col("language"), F.col("hint"))).select(F.col("_idx").alias("pos"), generated_code(F.col("_text")).alias("bad")), "pos").where("bad IS NOT NULL")
@@ -213,6 +269,32 @@ def expand_alignment(combos: DataFrame, hints: dict[str, str], backend=EchoBacke
     return unique if target is None else unique.orderBy(X.hash_order(seed, F.col("pos")), "pos").limit(target)
 
 
+def expand_in_rounds(spark: SparkSession, principles: list[str], languages: list[str], hints: dict[str, str], target: int, backend=EchoBackend, spec: WorkerSpec | None = None, rounds: int = MOST_ROUNDS, known: DataFrame | None = None) -> DataFrame:
+    """Refactoring pairs (pos, principle, language, bad, good), asked for in rounds until there are ``target`` of them.
+
+    Each round asks once for every principle with every language; positions, and so the requests' seeds, go on from the
+    last round. Outputs that an earlier round or ``known`` (column good) has are dropped. It ends early after a round that
+    adds nothing, and after ``rounds``. The first ``target`` by position are given.
+    """
+    every = max(1, len(principles) * len(languages))
+    found = None
+    for k in range(rounds):
+        combos = combinations(spark, principles, languages, 1).withColumn("pos", F.col("pos") + k * every)
+        made = expand_alignment(combos, hints, backend, spec)
+        for seen in (known, found):
+            if seen is not None:
+                made = without_known(made, seen, "good")
+        before = found.count() if found is not None else 0
+        now = materialize(made if found is None else found.unionByName(made), "rounds")
+        if found is not None:
+            discard(found)
+        found = now
+        n = found.count()
+        if n >= target or n == before:
+            break
+    return found.orderBy("pos").limit(target)
+
+
 def expand_from_code(code: DataFrame, known: DataFrame, principles: dict[str, str], backend=EchoBackend, spec: WorkerSpec | None = None, most: int = 4000, seed: int = 42) -> DataFrame:
     """Alignment records from code records (pos, language, instruction, output): a principle each, its fix by completion.
 
@@ -220,10 +302,8 @@ def expand_from_code(code: DataFrame, known: DataFrame, principles: dict[str, st
     operator's budget of completions). Fixes that are too short, repeat an earlier one (least pos) or stand in
     ``known`` (output) are dropped. Input is the code, token_count that of code and output together.
     """
-    usable = code.where(~F.col("language").eqNullSafe("css"))
-    chosen = usable.orderBy(X.hash_order(seed, F.col("pos")), "pos").limit(most).withColumn("principle", X.hash_pick(list(principles), seed, F.col("pos")))
-    hints = F.create_map(*[F.lit(x) for kv in principles.items() for x in kv])
-    rows = chosen.withColumn("hint", F.element_at(hints, F.col("principle")))
+    chosen = not_language(code, "css").orderBy(X.hash_order(seed, F.col("pos")), "pos").limit(most).withColumn("principle", X.hash_pick(list(principles), seed, F.col("pos")))
+    rows = with_hints(chosen, principles)
     jobs = rows.select(F.col("pos").alias("_idx"), good_code_prompt(F.coalesce("language", F.lit("unknown")), F.col("hint"), F.col("output")).alias("prompt"), F.lit(None).cast("int").alias("max_tokens"), F.lit(None).cast("double").alias("temperature"), F.lit(None).cast("double").alias("top_p"), F.lit(None).cast("array<string>").alias("stop"))
     fixed = rows.join(run_completions(jobs, backend, spec).select(F.col("_idx").alias("pos"), generated_code(F.col("_text")).alias("fix")), "pos").where("fix IS NOT NULL")
     out = fixed.select("pos", "language", "principle", F.col("output").alias("input"), F.concat(F.format_string("Refactor this %s code to follow %s.", F.coalesce("language", F.lit("unknown")), F.col("principle"))).alias("instruction"), F.concat(F.lit("<thought>"), F.col("hint"), F.lit("</thought>\n\n"), F.col("fix")).alias("output"))

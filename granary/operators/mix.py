@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.functions import text as X
-from granary.session import materialize
+from granary.session import discard, materialize
 
 LAYERS = ("code", "doc", "alignment", "devops")  # fixed values: the layers, in order of their union
 SEED = 42
@@ -74,39 +75,64 @@ def capped(rows: DataFrame, group: str, order: str, cap: int) -> DataFrame:
     return rows.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= cap).drop("_k")
 
 
-def _running(rows: DataFrame, group: str, buckets: int) -> DataFrame:
-    """``rows`` (group, o, id, t) with the sum of t up to each in order of (o, id).
-
-    Order is cut into ranges of the hash; sums of ranges come first, so no window holds more than one range.
-    """
-    ranged = rows.withColumn("_b", F.expr(f"cast(conv(substring(o, 1, 8), 16, 10) as bigint) * {buckets} div 4294967296"))
-    ahead = ranged.groupBy(group, "_b").agg(F.sum("t").alias("_s"))
-    ahead = ahead.withColumn("_ahead", F.coalesce(F.sum("_s").over(Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_s")
-    inside = F.sum("t").over(Window.partitionBy(group, "_b").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, 0))
-    return ranged.withColumn("_in", inside).join(ahead, [group, "_b"]).withColumn("upto", F.col("_ahead") + F.col("_in")).drop("_b", "_in", "_ahead")
+RANGE_ROWS = 50_000  # rows of a range of the shuffled order that one window holds, about
+FEW_ROWS = 200_000  # candidates from which one task a group fills the rest, in order
 
 
-def greedy_budget(rows: DataFrame, budget: int, group: str, id_col: str, tokens: str, seed: int = SEED, buckets: int = 64) -> DataFrame:
+def greedy_budget(rows: DataFrame, budget: int, group: str, id_col: str, tokens: str, seed: int = SEED) -> DataFrame:
     """Rows of each ``group`` that a first-fit fill of ``budget`` tokens takes in shuffled order: (group, id, t).
 
-    Each row is taken if it still fits, else skipped. In rounds: all rows up to the first that doesn't fit
-    are taken at once (a running sum tells), then those behind it that are no larger than what is left go on.
-    What is left shrinks below the skipped row's size each time, so few rounds suffice, and each has
-    fewer rows. Rows of null or negative tokens never fit.
+    Each row is taken if it still fits, else skipped. In rounds: the order is cut into ranges, whose sums tell how
+    many whole ranges are taken at once, and in which range the first row lies that doesn't fit; only that range is sorted.
+    Rows behind it that are no larger than what is left go on. What is left shrinks below the skipped row's size
+    each time. Once no more than ``FEW_ROWS`` candidates remain, one task a group takes them one by one. Rows of null or
+    negative tokens never fit; a null group is a group.
     """
-    rest = rows.where(F.col(tokens) >= 0).select(group, F.col(id_col).alias("id"), F.col(tokens).cast("bigint").alias("t"), X.hash_order(seed, F.col(id_col)).alias("o")).withColumn("left", F.lit(budget).cast("bigint"))
-    taken = None
+    rest = rows.where(F.col(tokens) >= 0).select(F.col(group).alias("g"), F.col(id_col).alias("id"), F.col(tokens).cast("bigint").alias("t"), X.hash_order(seed, F.col(id_col)).alias("o"), F.lit(budget).cast("bigint").alias("left"))
+    taken, past = [], None
     while True:
         rest = materialize(rest.where("t <= left"), "fill")
-        sums = materialize(_running(rest, group, buckets), "sums")
-        fits = sums.where("upto <= left").select(group, "id", "t")
-        taken = fits if taken is None else taken.union(fits)
-        # the first row that doesn't fit, and what is left before it
-        wall = sums.where("upto > left").groupBy(group).agg(F.min(F.struct("o", "id", (F.col("left") - F.col("upto") + F.col("t")).alias("left"))).alias("w"))
-        behind = rest.drop("left").join(wall, group).where("(o > w.o OR (o = w.o AND id > w.id)) AND t <= w.left").select(group, "id", "t", "o", F.col("w.left").alias("left"))
-        rest = materialize(behind, "behind")
-        if not rest.limit(1).count():
-            return taken
+        n = rest.count()
+        if past is not None:
+            discard(past)
+        if n <= FEW_ROWS:
+            kind = {f.name: f.dataType.simpleString() for f in rest.schema}
+            taken.append(rest.groupBy("g").applyInArrow(_first_fit, f"g {kind['g']}, id {kind['id']}, t BIGINT"))
+            whole = taken[0]
+            for part in taken[1:]:
+                whole = whole.union(part)
+            return whole.withColumnRenamed("g", group)
+        past = rest
+        ranges = -(-n // RANGE_ROWS)
+        ranged = rest.withColumn("b", F.expr(f"cast(conv(substring(o, 1, 8), 16, 10) as bigint) * {ranges} div 4294967296"))
+        order = Window.partitionBy("g").orderBy("b")  # over one row a range
+        sums = ranged.groupBy("g", "b").agg(F.sum("t").alias("s"), F.first("left").alias("left")).select("g", "b", "left", F.sum("s").over(order).alias("upto"), "s")
+        sums = materialize(sums.where("upto - s <= left").withColumn("whole", F.col("upto") <= F.col("left")), "ranges")  # up to the first that isn't whole
+        edge = sums.where("NOT whole").select("g", "b", (F.col("left") - F.col("upto") + F.col("s")).alias("room"))
+        inside = _meet(ranged.drop("left"), edge)
+        fit = materialize(inside.withColumn("upto", F.sum("t").over(Window.partitionBy("g").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, 0))), "edges")
+        wall = fit.where("upto > room").groupBy("g").agg(F.min(F.struct("o", "id", (F.col("room") - F.col("upto") + F.col("t")).alias("left"))).alias("w"))
+        taken.append(materialize(_meet(ranged.drop("left"), sums.where("whole").select("g", "b")).select("g", "id", "t").union(fit.where("upto <= room").select("g", "id", "t")), "taken"))
+        rest = _meet(rest.drop("left"), wall, ["g"]).where("o > w.o OR (o = w.o AND id > w.id)").select("g", "id", "t", "o", F.col("w.left").alias("left"))
+
+
+def _meet(left: DataFrame, right: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Inner join on ``keys`` (g and b), nulls equal."""
+    keys = keys or ["g", "b"]
+    r = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.join(r, on).drop(*(f"_{k}" for k in keys))
+
+
+def _first_fit(rows: pa.Table) -> pa.Table:
+    """The rows of one group that fit one after the other, in order."""
+    rows = rows.sort_by([("o", "ascending"), ("id", "ascending")])
+    left, kept = (rows.column("left")[0].as_py() if rows.num_rows else 0), []
+    for i, t in enumerate(rows.column("t").to_pylist()):
+        if t <= left:
+            left -= t
+            kept.append(i)
+    return rows.take(pa.array(kept, pa.int64())).select(["g", "id", "t"])
 
 
 def stats_document(rows: DataFrame, layer: str = "layer", language: str = "language", tokens: str = "token_count") -> DataFrame:

@@ -16,6 +16,8 @@ LONGEST_DESCRIPTION = 1000  # fixed value: characters of a description that are
 C_QUESTION = "What is the signature and purpose of C's {}?"
 PYTHON_QUESTION = "What is the Python {} function signature and behavior?"
 WEB_QUESTION = "What is the MDN reference for {}?"
+_SIGN = re.compile(r"\s*¶\s*$")
+_OWN_NAME = re.compile(r"^(?:[^(]*\.)?([^(.]*?)\s*\(")
 
 
 class Node:
@@ -82,48 +84,50 @@ def parse(html: str) -> Node:
     return t.root
 
 
+def _reply(question: str, name: str, *parts: str) -> tuple[str, str, str]:
+    """A record about ``name``: its question, the parts that there are, and the name as topic."""
+    return question.format(name), "\n\n".join(filter(None, parts)), name
+
+
+def _text(node: Node | None, between: str = "") -> str:
+    return "" if node is None else node.text(between)
+
+
 def c_reference(key: str, html: str) -> list[tuple[str, str, str]]:
     """A C reference page: (instruction, output, topic), none without a heading or without signature and description."""
     root = parse(html)
-    h1 = root.find("h1")
-    if h1 is None:
-        return []
-    code, p, example = root.find("code", "t-cpp") or root.find("code"), root.find("p"), root.find("div", "example")
-    signature, description = code.text() if code else "", p.text() if p else ""
-    if not signature and not description:
+    title, example = root.find("h1"), root.find("div", "example")
+    signature, description = _text(root.find("code", "t-cpp") or root.find("code")), _text(root.find("p"))
+    if title is None or not (signature or description):
         return []
-    pre = example.find("pre") if example else None
-    name = h1.text()
-    return [(C_QUESTION.format(name), "\n\n".join(x for x in (signature, description, pre.text() if pre else "") if x), name)]
+    return [_reply(C_QUESTION, title.text(), signature, description, _text(example and example.find("pre")))]
 
 
 def python_reference(key: str, html: str) -> list[tuple[str, str, str]]:
-    """A Python module's page (``key`` is the module): one record per signature with a parenthesis."""
-    root = parse(html)
-    order = list(root.walk())
-    out = []
-    for dt in order:
-        if dt.tag != "dt" or "sig" not in dt.classes:
-            continue
-        signature = re.sub(r"\s*¶\s*$", "", " ".join(dt.text(" ").split()))
-        if "(" not in signature:
-            continue
-        dd = next((n for n in order if n.tag == "dd" and n.place > dt.place), None)
-        description = dd.text(" ")[:LONGEST_DESCRIPTION] if dd else ""
-        name = f"{key}.{signature.split('(')[0].strip().split('.')[-1]}"
-        out.append((PYTHON_QUESTION.format(name), f"{signature}\n\n{description}" if description else signature, name))
-    return out
+    """A Python module's page (``key`` is the module): one record per signature with a parenthesis.
+
+    One walk through the page: signatures wait until a description comes, which then belongs to all that wait.
+    """
+    described: list[tuple[str, str]] = []
+    waiting: list[str] = []
+    for node in parse(html).walk():
+        if node.tag == "dd" and waiting:
+            said = node.text(" ")[:LONGEST_DESCRIPTION]
+            described += [(s, said) for s in waiting]
+            waiting = []
+        elif node.tag == "dt" and "sig" in node.classes:
+            waiting.append(_SIGN.sub("", " ".join(node.text(" ").split())))
+    described += [(s, "") for s in waiting]
+    callables = [(s, said, _OWN_NAME.search(s)) for s, said in described]
+    return [_reply(PYTHON_QUESTION, f"{key}.{m.group(1)}", s, said) for s, said, m in callables if m]
 
 
 def web_reference(key: str, html: str) -> list[tuple[str, str, str]]:
     """A web reference page (``key`` is its section path): always one record."""
     root = parse(html)
-    h1 = root.find("h1")
-    title = h1.text() if h1 else key.split("/")[-1]
-    p = (root.find("main") or root.find("article") or root).find("p")
-    syntax = root.find("div", "syntax") or root.find("pre", "syntaxbox")
-    parts = [syntax.text() if syntax else "", p.text()[:LONGEST_DESCRIPTION] if p else ""]
-    return [(WEB_QUESTION.format(title), "\n\n".join(x for x in parts if x), title)]
+    heading, body = root.find("h1"), root.find("main") or root.find("article") or root
+    name = key.rpartition("/")[2] if heading is None else heading.text()
+    return [_reply(WEB_QUESTION, name, _text(root.find("div", "syntax") or root.find("pre", "syntaxbox")), _text(body.find("p"))[:LONGEST_DESCRIPTION])]
 
 
 FAMILIES = {"c": c_reference, "python": python_reference, "web": web_reference}

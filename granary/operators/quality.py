@@ -25,17 +25,21 @@ def waterfall(rows: DataFrame, counter=X.token_estimate) -> DataFrame:
 
     too_few_tokens, too_many_tokens, duplicate (an earlier row of the layer within the token bounds has the
     same output, whatever became of it), short_instruction, non_ascii; else 'kept'. Null texts count as ''.
-    ``pos`` must be unique.
+    ``pos`` must be unique. All that looks at texts comes before the join that finds duplicates, so a report
+    carries no text through it.
     """
     clean = rows.withColumns({c: X.text_or_empty(F.col(c)) for c in ("instruction", "output")})
-    n = F.col("token_count")
-    sized = with_tokens(clean, counter).withColumn("_size", F.when(n < MIN_TOKENS, "too_few_tokens").when(n > MAX_TOKENS, "too_many_tokens"))
-    marked = mark_first(sized.withColumn("_digest", X.digest(F.col("output"))), ["layer", "_digest"], "pos", among=F.col("_size").isNull())
-    reason = F.coalesce(
-        F.col("_size"),
-        F.when(~F.col("is_first"), "duplicate").when(F.char_length("instruction") < MIN_INSTRUCTION, "short_instruction").when(~X.is_ascii(F.col("instruction")), "non_ascii").otherwise(KEPT),
+    n, said = F.col("token_count"), F.col("instruction")
+    sized = with_tokens(clean, counter).withColumns(
+        {
+            "_size": F.when(n < MIN_TOKENS, "too_few_tokens").when(n > MAX_TOKENS, "too_many_tokens"),
+            "_said": F.when(F.char_length(said) < MIN_INSTRUCTION, "short_instruction").when(~X.is_ascii(said), "non_ascii").otherwise(KEPT),
+            "_digest": X.digest(F.col("output")),
+        }
     )
-    return marked.withColumn("reason", reason).drop("_size", "_digest", "is_first")
+    marked = mark_first(sized, ["layer", "_digest"], "pos", among=F.col("_size").isNull())
+    reason = F.coalesce("_size", F.when(~F.col("is_first"), "duplicate").otherwise(F.col("_said")))
+    return marked.withColumn("reason", reason).drop("_size", "_said", "_digest", "is_first")
 
 
 def drop_report(judged: DataFrame) -> DataFrame:

@@ -69,17 +69,19 @@ def chunk_record(chunks: DataFrame, instruction: Column, keep: tuple[str, ...] =
     return chunks.select(*keep, *record(instruction, F.col("code"), layer="code", language=F.col("language"), repo=F.col("repo"), chunk_name=F.col("name")))
 
 
-def question_pairs(train: DataFrame) -> DataFrame:
+def question_pairs(train: DataFrame, nulls: bool = False) -> DataFrame:
     """Answer rows of a chat table with the question before them: pos, layer, language, instruction, output.
 
-    ``pos`` (the answer's id) is unique and gives the order in which first-wins rules look at rows.
+    ``pos`` (the answer's id) is unique and gives the order in which first-wins rules look at rows. Null texts count as ''
+    unless ``nulls`` keeps them.
     """
+    text = (lambda c: c) if nulls else X.text_or_empty
     role = F.lower("role")
-    a = train.where(role.isin(*MODEL)).select(F.col("msg_id").alias("pos"), "example_id", (F.col("turn") - 1).alias("turn"), X.text_or_empty(F.col("content")).alias("output"), F.coalesce("metadata.layer", F.lit("code")).alias("layer"), F.coalesce("metadata.language", F.lit("unknown")).alias("language"), F.col("metadata.source").alias("source"))
-    q = train.where(role.isin(*HUMAN)).select("example_id", "turn", X.text_or_empty(F.col("content")).alias("instruction"))
+    a = train.where(role.isin(*MODEL)).select(F.col("msg_id").alias("pos"), "example_id", (F.col("turn") - 1).alias("turn"), text(F.col("content")).alias("output"), F.coalesce("metadata.layer", F.lit("code")).alias("layer"), F.coalesce("metadata.language", F.lit("unknown")).alias("language"), F.col("metadata.source").alias("source"))
+    q = train.where(role.isin(*HUMAN)).select("example_id", "turn", text(F.col("content")).alias("instruction"))
     return a.join(q, ["example_id", "turn"]).drop("turn", "example_id")
 
 
-def seed_record(language: Column, principle: Column, bad: Column, thought: Column, good: Column) -> list[Column]:
+def seed_record(language: Column, principle: Column, bad: Column, thought: Column, good: Column, source: str = "seed") -> list[Column]:
     """A refactoring example: the thought in its tags, then the better code."""
-    return record(F.format_string("Refactor this %s code to follow %s.", language, principle), F.concat(F.lit("<thought>"), thought, F.lit("</thought>\n\n"), good), bad, layer="alignment", language=language, principle=principle, source="seed")
+    return record(F.format_string("Refactor this %s code to follow %s.", language, principle), F.concat(F.lit("<thought>"), thought, F.lit("</thought>\n\n"), good), bad, layer="alignment", language=language, principle=principle, source=source)

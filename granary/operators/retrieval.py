@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
+import math
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,12 +32,6 @@ def token_slices(docs: DataFrame, id_col: str, text_col: str, size: int = 256) -
     return at.select(id_col, "slice", F.array_join(F.slice("_w", F.col("slice") * size + 1, F.lit(size)), " ").alias("text"))
 
 
-def postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The inverted index: term, id, tf, and the document's length dl."""
-    t = docs.select(F.col(id_col).alias("id"), terms(F.col(text_col)).alias("_t")).withColumn("dl", F.size("_t").cast("bigint"))
-    return t.select("id", "dl", F.explode("_t").alias("term")).groupBy("term", "id", "dl").agg(F.count("*").alias("tf"))
-
-
 def bm25(docs: DataFrame, queries: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The ``k`` best documents of each query (``query_id``, ``query``): query_id, id, score, rank.
 
@@ -200,16 +198,59 @@ def _ranked(met: DataFrame, cells, query_type, id_type, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def sentences(c: Column) -> Column:
+    """Sentences of a text: ended by . ! or ? before white space, or by line feeds; blank ones are left out."""
+    parts = F.split(F.regexp_replace(X.text_or_empty(c), r"([.!?])[ \t\n\r\f\x0B]+", "$1\n"), r"\n+")
+    return F.filter(parts, lambda s: X.strip(s) != "")
+
+
+BROADCAST_TERMS, BROADCAST_BYTES = 500_000, 16 << 20  # different terms, and their characters, whose counts every worker may hold
+TERM_PARTS = 32
+
+
 def top_sentences(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each document's ``k`` sentences of highest mean tf-idf: id, place, sentence, score."""
-    s = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(X.text_or_empty(F.col(text_col)), r"(?<=[.!?])\s+|\n+")).alias("place", "sentence")).where(X.strip(F.col("sentence")) != "")
-    t = s.select("id", "place", F.explode(terms(F.col("sentence"))).alias("term"))
-    n = docs.agg(F.count("*").alias("n"))
-    tf = t.groupBy("id", "term").agg(F.count("*").alias("tf"))
-    weights = tf.join(tf.groupBy("term").agg(F.count("*").alias("df")).join(n, on=F.lit(True)), "term").select("id", "term", (F.col("tf") * F.log(1 + F.col("n") / F.col("df"))).alias("w"))
-    scores = t.join(weights, ["id", "term"]).groupBy("id", "place").agg(F.round(F.avg("w"), 6).alias("score"))
-    w = Window.partitionBy("id").orderBy(F.desc("score"), "place")
-    return s.join(scores, ["id", "place"]).withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= k).drop("_k")
+    """Each document's ``k`` sentences of highest mean tf-idf: id, place (from 0), sentence, score.
+
+    Terms are counted once over all documents. If the counts are few enough (by number and size) every worker gets them, and
+    documents are scored where they lie, without a shuffle. Else counts meet the terms of documents in salted
+    parts, so that a term that all documents have is no hot key, and come back to their document. Null and empty
+    texts give no row; ids must be unique.
+    """
+    n = docs.count()
+    rows = docs.select(F.col(id_col).alias("id"), sentences(F.col(text_col)).alias("s")).where(F.size("s") > 0)
+    rows = rows.withColumn("t", F.transform("s", terms))
+    terms_of = rows.select("id", F.explode(F.array_distinct(F.flatten("t"))).alias("term"))
+    df = materialize(terms_of.groupBy("term").agg(F.count("*").alias("df")), "df")
+    size = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("b")).first()
+    known = {}
+    if size["n"] <= BROADCAST_TERMS and size["b"] <= BROADCAST_BYTES:
+        got = df.toArrow()
+        known = dict(zip(got.column("term").to_pylist(), got.column("df").to_pylist()))
+        rows = rows.select("id", "s", "t", F.lit(None).cast("array<string>").alias("terms"), F.lit(None).cast("array<bigint>").alias("df"))
+    else:
+        spread = df.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(TERM_PARTS - 1))))
+        met = terms_of.withColumn("p", F.pmod(F.xxhash64("id"), F.lit(TERM_PARTS)).cast("int")).join(spread, ["term", "p"])
+        mine = met.groupBy("id").agg(F.collect_list(F.struct("term", "df")).alias("m")).select("id", "m.term", "m.df")
+        rows = rows.join(mine, "id").select("id", "s", "t", F.col("term").alias("terms"), "df")
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches):
+        everywhere = shared.value
+        for batch in batches:
+            ids, places, said, scores = [], [], [], []
+            for i, s, t, mine, df_ in zip(*(batch.column(c).to_pylist() for c in range(5))):
+                counts = everywhere if mine is None else dict(zip(mine, df_))
+                tf = Counter(x for words in t for x in words)
+                weight = {x: c * math.log(1 + n / counts[x]) for x, c in tf.items()}
+                found = [(-round(sum(weight[x] for x in words) / len(words), 6), place) for place, words in enumerate(t) if words]
+                for score, place in heapq.nsmallest(k, found):
+                    ids.append(i)
+                    places.append(place)
+                    said.append(s[place])
+                    scores.append(-score)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(places, pa.int32()), pa.array(said, pa.string()), pa.array(scores, pa.float64())], names=["id", "place", "sentence", "score"])
+
+    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, place INT, sentence STRING, score DOUBLE")
 
 
 def route(queries: DataFrame, cache: DataFrame, sparse: DataFrame, dense: DataFrame, confident: float) -> DataFrame:

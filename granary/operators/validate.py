@@ -60,8 +60,13 @@ def structure_errors(lines: DataFrame, line_col: str = "value", order: str = "li
     return kept.where("reason IS NOT NULL").orderBy(order).limit(most)
 
 
-def assert_present(rows: DataFrame, *columns: str) -> DataFrame:
+def present(rows: DataFrame, *columns: str) -> DataFrame:
     """``rows``, failing at run time where one of ``columns`` is null."""
     for c in columns:
         rows = rows.withColumn(c, F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{c} is null"))).otherwise(F.col(c)))
     return rows
+
+
+def enough_files(files: DataFrame, repo: str = "repo", path: str = "path", least: int = 6) -> DataFrame:
+    """Repositories with their number of different files, and whether they have at least ``least``: fewer tell a broken checkout."""
+    return files.groupBy(repo).agg(F.count_distinct(path).alias("n_files")).withColumn("ok", F.col("n_files") >= least)

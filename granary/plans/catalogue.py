@@ -136,12 +136,20 @@ def _(spark, d):
 @query("q_validation_report", f"""WITH {SIZED}, t AS (SELECT sum(token_count) FILTER (layer IN ('code', 'doc', 'alignment', 'devops')) AS total FROM sized),
 s AS (SELECT l.layer, l.target, coalesce(sum(z.token_count), 0)::DOUBLE / (SELECT total FROM t) AS share FROM (VALUES ('code', 0.5), ('doc', 0.25), ('alignment', 0.15), ('devops', 0.1)) l(layer, target) LEFT JOIN sized z ON z.layer = l.layer GROUP BY ALL)
 SELECT 'lines' AS name, count(*)::DOUBLE AS value, count(*) >= 100 AS ok, true AS fatal FROM sized
-UNION ALL SELECT 'structure_errors', 0, true, true
+UNION ALL SELECT 'structure_errors', count(*), count(*) = 0, true FROM train a JOIN train q ON q.example_id = a.example_id AND q.turn = a.turn - 1 WHERE lower(a.role) IN ('gpt', 'assistant') AND lower(q.role) IN ('human', 'user') AND (a.content IS NULL OR q.content IS NULL)
 UNION ALL SELECT 'share_' || layer, share, abs(share - target::DOUBLE) <= 0.03, false FROM s
 UNION ALL SELECT 'missing_languages', count(*)::DOUBLE, count(*) = 0, false FROM (SELECT l FROM (VALUES ('python'), ('c'), ('javascript'), ('html'), ('css')) x(l) EXCEPT SELECT language FROM sized)
 UNION ALL SELECT 'duplicate_outputs', (count(*) - count(DISTINCT sha256(output)))::DOUBLE, count(*) = count(DISTINCT sha256(output)), false FROM sized""")
 def _(spark, d):
-    return validate.validation_report(_sized(spark, d), list(seeds.LANGUAGES))
+    rows = records.question_pairs(table(spark, d, "train"), nulls=True).withColumn("token_count", F.lit(None).cast("bigint"))
+    return validate.validation_report(rows, list(seeds.LANGUAGES))
+
+
+@query("q_structure_errors", """SELECT line_no, CASE WHEN instruction IS NULL THEN 'no instruction' ELSE 'no output' END AS reason FROM (SELECT a.msg_id AS line_no, q.content AS instruction, a.content AS output FROM train a JOIN train q ON q.example_id = a.example_id AND q.turn = a.turn - 1 WHERE lower(a.role) IN ('gpt', 'assistant') AND lower(q.role) IN ('human', 'user'))
+WHERE instruction IS NULL OR output IS NULL ORDER BY line_no LIMIT 3""")
+def _(spark, d):
+    rows = records.question_pairs(table(spark, d, "train"), nulls=True)
+    return validate.structure_errors(rows.select(F.col("pos").alias("line_no"), F.to_json(F.struct("instruction", "output")).alias("value")))
 
 
 @query("q_shuffle_head", "SELECT doc_id, n_chars FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 50")
@@ -160,15 +168,23 @@ def _(spark, d):
     return mix.mean_tokens(_sized(spark, d))
 
 
-@query("q_greedy_budget")
+@query("q_greedy_budget", """WITH RECURSIVE d AS (SELECT coalesce(layer, 'none') AS layer, doc_id, greatest(1, length(coalesce(text, '')) // 4)::BIGINT AS t, row_number() OVER (PARTITION BY coalesce(layer, 'none') ORDER BY md5('42:' || doc_id), doc_id) AS rn FROM documents),
+f AS (SELECT layer, 0::BIGINT AS rn, 20000::BIGINT AS room, NULL::BIGINT AS doc_id, 0::BIGINT AS t, false AS taken FROM (SELECT DISTINCT layer FROM d)
+ UNION ALL SELECT d.layer, d.rn, CASE WHEN d.t <= f.room THEN f.room - d.t ELSE f.room END, d.doc_id, d.t, d.t <= f.room FROM f JOIN d ON d.layer = f.layer AND d.rn = f.rn + 1)
+SELECT layer, doc_id, t AS tokens FROM f WHERE taken""")
 def _(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.coalesce("layer", F.lit("none")).alias("layer"), X.token_estimate(X.text_or_empty(F.col("text"))).alias("tokens"))
     return mix.greedy_budget(docs, 20_000, "layer", "doc_id", "tokens").select("layer", F.col("id").alias("doc_id"), F.col("t").alias("tokens"))
 
 
-@query("q_stats_document")
+@query("q_stats_document", f"""WITH {SIZED} SELECT 'total_examples' AS part, '' AS key, count(*)::DOUBLE AS value FROM sized UNION ALL SELECT 'total_tokens', '', sum(token_count)::DOUBLE FROM sized
+UNION ALL SELECT 'layer_counts', layer, count(*)::DOUBLE FROM sized GROUP BY layer UNION ALL SELECT 'language_counts', language, count(*)::DOUBLE FROM sized GROUP BY language
+UNION ALL SELECT 'token_ratios', layer, round_even(count(*)::DOUBLE / (SELECT greatest(sum(token_count), 1) FROM sized) * 100, 1) FROM sized GROUP BY layer""")
 def _(spark, d):
-    return mix.stats_document(_sized(spark, d))
+    maps = lambda c: F.transform(F.map_entries(c), lambda x: F.struct(F.lit(c).alias("part"), x["key"].alias("key"), x["value"].cast("double").alias("value")))
+    one = lambda c: F.array(F.struct(F.lit(c).alias("part"), F.lit("").alias("key"), F.col(c).cast("double").alias("value")))
+    whole = F.concat(one("total_examples"), one("total_tokens"), *map(maps, ("layer_counts", "language_counts", "token_ratios")))
+    return mix.stats_document(_sized(spark, d)).select(F.inline(whole))
 
 
 # --- joins ---
@@ -184,9 +200,18 @@ def _(spark, d):
     return dedup.pending(table(spark, d, "jobs"), table(spark, d, "job_results")).select("_idx", "max_tokens")
 
 
-@query("q_best_results", "SELECT result_id, _idx, _worker, _len FROM (SELECT *, row_number() OVER (PARTITION BY _idx ORDER BY result_id) AS rn FROM job_results WHERE _idx >= 0 AND coalesce(_worker, '') <> 'lost') WHERE rn = 1")
+@query("q_best_results", "SELECT result_id, _idx, _worker, _len FROM (SELECT *, row_number() OVER (PARTITION BY _idx ORDER BY result_id) AS rn FROM job_results WHERE _idx >= 0 AND _idx < (SELECT max(_idx) + 1 FROM jobs) AND coalesce(_worker, '') <> 'lost') WHERE rn = 1")
+def _(spark, d):
+    total = table(spark, d, "jobs").agg(F.max("_idx") + 1).first()[0]
+    return infer.best_results(table(spark, d, "job_results"), "result_id", total).select("result_id", "_idx", "_worker", "_len")
+
+
+@query("q_merged_results", """WITH t AS (SELECT max(_idx) + 1 AS total FROM jobs), v AS (SELECT *, CASE WHEN result_id % 2 = 0 THEN 0 ELSE 1 END AS f FROM job_results, t WHERE _idx >= 0 AND _idx < total AND coalesce(_worker, '') <> 'lost')
+SELECT _idx, _worker, _text, _len FROM (SELECT *, row_number() OVER (PARTITION BY _idx ORDER BY f, _text IS NULL, _worker NULLS FIRST, _text NULLS FIRST, _len NULLS FIRST) AS rn FROM v) WHERE rn = 1 ORDER BY _idx""")
 def _(spark, d):
-    return infer.best_results(table(spark, d, "job_results"), "result_id").select("result_id", "_idx", "_worker", "_len")
+    r = table(spark, d, "job_results").select("result_id", "_idx", "_worker", "_text", "_len")
+    total = table(spark, d, "jobs").agg(F.max("_idx") + 1).first()[0]
+    return infer.merged_results(r.where("result_id % 2 <> 0").drop("result_id"), r.where("result_id % 2 = 0").drop("result_id"), total)
 
 
 @query("q_result_left_join", "SELECT j._idx, j.max_tokens, r._text, r._worker FROM jobs j LEFT JOIN job_results r USING (_idx)")
@@ -214,15 +239,14 @@ def _(spark, d):
 
 
 @query("q_hint_lookup", f"""WITH h(principle, hint) AS (VALUES {', '.join(f"('{p}', '{h}')" for p, h in seeds.PRINCIPLES.items())})
-SELECT t.msg_id, coalesce(h.hint, t.metadata.principle, 'general') AS hint FROM train t LEFT JOIN h ON h.principle = t.metadata.principle""")
+SELECT t.msg_id, coalesce(h.hint, t.metadata.principle) AS hint FROM train t LEFT JOIN h ON h.principle = t.metadata.principle""")
 def _(spark, d):
-    rows = table(spark, d, "train").select("msg_id", F.col("metadata.principle").alias("principle"))
-    return rows.join(F.broadcast(seeds.principle_table(spark)), "principle", "left").select("msg_id", F.coalesce("hint", "principle", F.lit("general")).alias("hint"))
+    return infer.with_hints(table(spark, d, "train").select("msg_id", F.col("metadata.principle").alias("principle")), seeds.PRINCIPLES).select("msg_id", "hint")
 
 
-@query("q_not_language", "SELECT count(*) AS n FROM code_chunks_raw WHERE language IS DISTINCT FROM 'css'")
+@query("q_not_language", "SELECT chunk_id, language FROM code_chunks_raw WHERE language IS DISTINCT FROM 'css'")
 def _(spark, d):
-    return table(spark, d, "code_chunks_raw").where(~F.col("language").eqNullSafe("css")).agg(F.count("*").alias("n"))
+    return infer.not_language(table(spark, d, "code_chunks_raw"), "css").select("chunk_id", "language")
 
 
 # --- mappers and text functions ---
@@ -240,6 +264,28 @@ def _(spark, d):
     return m.select("chunk_id", "instruction", "output", "input", "metadata.language")
 
 
+@query("q_map_alignment", f"""SELECT * FROM (SELECT msg_id, {_strip("coalesce(metadata.topic, '')")} AS instruction, {_strip("coalesce(content, '')")} AS output, nullif(metadata.language, '') AS language, nullif(metadata.principle, '') AS principle, 'alignment' AS layer FROM train) WHERE instruction <> '' AND output <> ''""")
+def _(spark, d):
+    rows = table(spark, d, "train").withColumn("topic", F.col("metadata.topic"))
+    m = records.map_rows(rows, "topic", "content", keep=("msg_id",), layer="alignment", language=F.col("metadata.language"), principle=F.col("metadata.principle"))
+    return m.select("msg_id", "instruction", "output", "metadata.language", "metadata.principle", "metadata.layer")
+
+
+@query("q_seed_record", """SELECT chunk_id, 'Refactor this ' || coalesce(language, 'unknown') || ' code to follow ' || p || '.' AS instruction, coalesce(code, '') AS input, '<thought>' || coalesce(name, '') || '</thought>' || chr(10) || chr(10) || coalesce(signature, '') AS output, p AS principle
+FROM (SELECT *, ['early return', 'clear names', 'single purpose', 'explicit errors', 'bounded loops', 'no hidden state'][(('0x' || substr(md5('42:' || chunk_id), 1, 8))::BIGINT % 6 + 1)::INT] AS p FROM code_chunks_raw)""")
+def _(spark, d):
+    text = lambda c: F.coalesce(c, F.lit(""))
+    rows = table(spark, d, "code_chunks_raw").withColumn("p", mix.paired(None, list(seeds.PRINCIPLES), "chunk_id"))
+    r = rows.select("chunk_id", *records.seed_record(F.coalesce("language", F.lit("unknown")), F.col("p"), text("code"), text("name"), text("signature")))
+    return r.select("chunk_id", "instruction", "input", "output", "metadata.principle")
+
+
+@query("q_seeds", f"SELECT * FROM (VALUES ('alignment', 'seed', {len(seeds._ALIGNMENT)}::BIGINT), ('devops', 'seed', {len(seeds._OPERATIONS)}::BIGINT), ('alignment', 'whitepaper', {len(seeds._PAPERS)}::BIGINT)) t(layer, source, n)")
+def _(spark, d):
+    whole = mix.union_layers(seeds.alignment_seeds(spark), seeds.operations_seeds(spark), seeds.paper_rows(spark))
+    return whole.groupBy("metadata.layer", "metadata.source").agg(F.count("*").alias("n"))
+
+
 @query("q_chat_pairs", f"""WITH t AS (SELECT example_id, turn, lower(role) AS role, {_strip("coalesce(content, '')")} AS c FROM train),
 g AS (SELECT example_id, arg_min(c, turn) FILTER (role IN ('human', 'user') AND c <> '') AS instruction, arg_min(c, turn) FILTER (role IN ('gpt', 'assistant') AND c <> '') AS output FROM t GROUP BY example_id)
 SELECT * FROM g WHERE instruction IS NOT NULL AND output IS NOT NULL""")
@@ -298,6 +344,15 @@ def _(spark, d):
     return table(spark, d, "train").where("content IS NOT NULL").select("msg_id", X.strip_fences(F.col("content")).alias("code"))
 
 
+@query("q_generated_code", rf"""WITH t AS (SELECT result_id, {_strip("coalesce(_text, '')")} AS s FROM job_results),
+l AS (SELECT result_id, CASE WHEN s = '' THEN [] ELSE regexp_split_to_array(s, '\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{{85}}\x{{2028}}\x{{2029}}]') END AS l FROM t),
+h AS (SELECT result_id, CASE WHEN len(l) > 0 AND starts_with({_strip("l[1]")}, '```') THEN l[2:] ELSE l END AS l FROM l),
+e AS (SELECT result_id, CASE WHEN len(l) > 0 AND starts_with({_strip("l[-1]")}, '```') THEN l[:-2] ELSE l END AS l FROM h)
+SELECT * FROM (SELECT result_id, {_strip("coalesce(array_to_string(l, chr(10)), '')")} AS code FROM e) WHERE length(code) >= 10""")
+def _(spark, d):
+    return table(spark, d, "job_results").select("result_id", infer.generated_code(F.col("_text")).alias("code")).where("code IS NOT NULL")
+
+
 @query("q_chunk_name", f"""WITH f AS (SELECT chunk_id, {_strip("string_split(code, chr(10))[1]")} AS l FROM code_chunks_raw WHERE code IS NOT NULL),
 b AS (SELECT *, list_filter(regexp_split_to_array(string_split(l, '(')[1], '{SPACE}+'), lambda x: x <> '') AS w FROM f)
 SELECT chunk_id, CASE WHEN contains(l, '(') AND len(w) > 0 THEN w[-1] ELSE substr(l, 1, 64) END AS name, substr(l, 1, 256) AS signature FROM b""")
@@ -330,6 +385,13 @@ def _(spark, d):
 
 _LINES = r"""ls AS (SELECT doc_id, CASE WHEN text = '' THEN [] ELSE regexp_split_to_array(text, '\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]') END AS l FROM documents WHERE text IS NOT NULL),
 lines AS (SELECT doc_id, CASE WHEN len(l) > 0 AND l[-1] = '' THEN l[:-2] ELSE l END AS l FROM ls)"""
+_YAML = rf"""x AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS ln, unnest(l) AS line FROM lines),
+k AS (SELECT *, CASE WHEN regexp_matches(regexp_replace(line, '{SPACE}+\z', ''), '^[A-Za-z0-9_.][A-Za-z0-9_.\-]*:\s*(.*)$') AND NOT starts_with(line, '---') THEN 1 ELSE 0 END AS opens FROM x),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY ln) AS seg FROM k),
+b AS (SELECT *, (row_number() OVER (PARTITION BY doc_id, seg ORDER BY ln) - 1) // 200 AS blk FROM s),
+g AS (SELECT doc_id, seg, blk, count(*) AS n, list(line ORDER BY ln) AS l FROM b GROUP BY ALL),
+m AS (SELECT *, coalesce(sum((n >= 3)::INT) OVER (PARTITION BY doc_id ORDER BY seg, blk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM g),
+cut AS (SELECT doc_id, chunk::INT AS chunk, sum(n)::BIGINT AS n_lines, array_to_string(flatten(list(l ORDER BY seg, blk)), chr(10)) AS text FROM m GROUP BY doc_id, chunk)"""
 
 
 @query("q_block_chunks", f"""WITH {_LINES}, b AS (SELECT doc_id, l, unnest(range(0, (len(l) + 39) // 40)) AS block FROM lines)
@@ -338,13 +400,7 @@ def _(spark, d):
     return chunking.line_blocks(table(spark, d, "documents"), "doc_id", "text", 40).select("doc_id", "block", "n_lines", "text")
 
 
-@query("q_yaml_split", rf"""WITH {_LINES}, x AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS ln, unnest(l) AS line FROM lines),
-k AS (SELECT *, CASE WHEN regexp_matches(regexp_replace(line, '{SPACE}+\z', ''), '^[A-Za-z0-9_.][A-Za-z0-9_.\-]*:\s*(.*)$') AND NOT starts_with(line, '---') THEN 1 ELSE 0 END AS opens FROM x),
-s AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY ln) AS seg FROM k),
-b AS (SELECT *, (row_number() OVER (PARTITION BY doc_id, seg ORDER BY ln) - 1) // 200 AS blk FROM s),
-g AS (SELECT doc_id, seg, blk, count(*) AS n, list(line ORDER BY ln) AS l FROM b GROUP BY ALL),
-m AS (SELECT *, coalesce(sum((n >= 3)::INT) OVER (PARTITION BY doc_id ORDER BY seg, blk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM g)
-SELECT doc_id, chunk::INT AS chunk, sum(n)::BIGINT AS n_lines, array_to_string(flatten(list(l ORDER BY seg, blk)), chr(10)) AS text FROM m GROUP BY doc_id, chunk""")
+@query("q_yaml_split", f"WITH {_LINES}, {_YAML} SELECT * FROM cut")
 def _(spark, d):
     return chunking.yaml_chunks(table(spark, d, "documents"), "doc_id", "text")
 
@@ -354,19 +410,34 @@ def _config_files(spark, d):
     return table(spark, d, "documents").select(F.concat_ws("/", "doc_id", F.element_at(kinds, (F.pmod("doc_id", F.lit(8)) + 1).cast("int"))).alias("path"), "text")
 
 
-@query("q_config_instruction", r"""WITH f AS (SELECT doc_id || '/' || ['conf/app.yaml', 'stack/docker-compose.yml', 'Makefile', 'makefile', 'dockerfile.dev', 'unit/x.service', 'main.tf', 'etc/x.ini'][doc_id % 8 + 1] AS path, text FROM documents WHERE text IS NOT NULL),
-n AS (SELECT *, string_split(path, '/')[-1] AS name, regexp_extract(text, '(?m)^kind:\s*([A-Za-z]+)', 1) AS kind, regexp_extract(text, 'metadata:\s*\n\s+name:\s*([^\s]+)', 1) AS obj, regexp_extract(text, '(?m)^  ([a-zA-Z0-9_-]+):', 1) AS svc, regexp_extract_all(text, '(?m)^([A-Za-z0-9_-]+):', 1)[1:4] AS rules FROM f)
-SELECT path, CASE WHEN regexp_matches(path, '\.ya?ml$') THEN CASE WHEN contains(path, 'compose') THEN 'Write the docker-compose service definition for `' || CASE WHEN svc = '' THEN 'app' ELSE svc END || '` as shown.'
+_CONFIG_PATH = "doc_id || '/' || ['conf/app.yaml', 'stack/docker-compose.yml', 'Makefile', 'makefile', 'dockerfile.dev', 'unit/x.service', 'main.tf', 'etc/x.ini'][doc_id % 8 + 1]"
+
+
+def _task(source: str) -> str:
+    """SQL: the rows of ``source`` (path, text, ...) with their instruction."""
+    return rf"""n AS (SELECT *, string_split(path, '/')[-1] AS name, regexp_extract(text, '(?m)^kind:\s*([A-Za-z]+)', 1) AS kind, regexp_extract(text, 'metadata:\s*\n\s+name:\s*([^\s]+)', 1) AS obj, regexp_extract(text, '(?m)^  ([a-zA-Z0-9_-]+):', 1) AS svc, regexp_extract_all(text, '(?m)^([A-Za-z0-9_-]+):', 1)[1:4] AS rules FROM {source}),
+task AS (SELECT *, CASE WHEN regexp_matches(path, '\.ya?ml$') THEN CASE WHEN contains(path, 'compose') THEN 'Write the docker-compose service definition for `' || CASE WHEN svc = '' THEN 'app' ELSE svc END || '` as shown.'
   WHEN kind <> '' AND obj <> '' THEN 'Write the Kubernetes ' || kind || ' manifest for `' || obj || '`.' WHEN kind <> '' THEN 'Write the Kubernetes ' || kind || ' manifest shown here.'
   WHEN contains(text, '---') THEN 'Provide the Kubernetes configuration defined in ' || name || '.' ELSE 'Provide the YAML configuration defined in ' || name || '.' END
  WHEN starts_with(name, 'dockerfile') THEN 'Write the ' || name || ' multi-stage build shown here.' WHEN name = 'makefile' THEN 'Write the Makefile target(s) for: ' || coalesce(array_to_string(rules, ', '), '') || '.'
  WHEN ends_with(path, '.service') THEN 'Write the systemd service unit defined in ' || name || '.' WHEN ends_with(path, '.tf') THEN 'Write the Terraform configuration defined in ' || name || '.'
- ELSE 'Provide the DevOps configuration defined in ' || name || '.' END AS instruction FROM n""")
+ ELSE 'Provide the DevOps configuration defined in ' || name || '.' END AS instruction FROM n)"""
+
+
+@query("q_config_instruction", f"WITH f AS (SELECT {_CONFIG_PATH} AS path, text FROM documents WHERE text IS NOT NULL), {_task('f')} SELECT path, instruction FROM task")
 def _(spark, d):
     return _config_files(spark, d).where("text IS NOT NULL").select("path", chunking.config_instruction(F.col("path"), F.col("text")).alias("instruction"))
 
 
-@query("q_config_chunks")
+_COUNT = r"""len(regexp_split_to_array(text, '\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]')) - CASE WHEN regexp_matches(text, '[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]\z') THEN 1 ELSE 0 END"""
+
+
+@query("q_config_chunks", f"""WITH {_LINES}, {_YAML}, live AS (SELECT doc_id, {_CONFIG_PATH} AS path, text FROM documents WHERE {_strip("coalesce(text, '')")} <> ''),
+c AS (SELECT path, chunk, cut.text FROM cut JOIN live USING (doc_id) WHERE doc_id % 8 < 2 UNION ALL SELECT path, 0, text FROM live WHERE doc_id % 8 >= 2),
+ok AS (SELECT *, {_COUNT} AS n FROM c WHERE text <> '' AND {_COUNT} >= 3),
+bl AS (SELECT path, chunk, regexp_split_to_array(text, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]')[1:n] AS l, n, unnest(range(0, (n + 199) // 200)) AS part FROM ok WHERE length(text) > 16384),
+parts AS (SELECT path, chunk, 0 AS part, text FROM ok WHERE length(text) <= 16384 UNION ALL SELECT path, chunk, part, array_to_string(l[part * 200 + 1 : part * 200 + 200], chr(10)) FROM bl WHERE least(n - part * 200, 200) >= 3), {_task('parts')}
+SELECT path, chunk::INT AS chunk, part::INT AS part, instruction, text AS output FROM task""")
 def _(spark, d):
     return chunking.config_chunks(_config_files(spark, d))
 
@@ -376,20 +447,75 @@ def _(spark, d):
     return chunking.source_chunks(table(spark, d, "code_chunks_raw"), text="code")
 
 
-@query("q_html_reference")
+_HTML = lambda c: F.replace(F.replace(X.text_or_empty(F.col(c)), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+
+def _join(*parts: str) -> str:
+    """SQL: the parts that aren't empty, a blank line between them."""
+    return "array_to_string(list_filter([" + ", ".join(parts) + "], lambda x: x <> ''), chr(10) || chr(10))"
+
+
+@query("q_html_reference", f"""WITH p AS (SELECT doc_id, {_strip("coalesce(topic, 'untitled')")} AS topic, {_strip("coalesce(source, '')")} AS syntax, substr({_strip("coalesce(text, '')")}, 1, 1000) AS p FROM documents)
+SELECT 'docs/' || doc_id AS key, 'What is the MDN reference for ' || topic || '?' AS instruction, {_join('syntax', 'p')} AS output, topic FROM p""")
 def _(spark, d):
-    h = F.format_string("<html><body><main><h1>%s</h1><p>%s</p><div class='syntax'><pre>%s</pre></div></main></body></html>", F.coalesce("topic", F.lit("untitled")), F.replace(X.text_or_empty(F.col("text")), F.lit("<"), F.lit("&lt;")), F.coalesce("source", F.lit("")))
+    h = F.format_string("<html><body><main><h1>%s</h1><p>%s</p><div class='syntax'><pre>%s</pre></div></main></body></html>", F.coalesce("topic", F.lit("untitled")), _HTML("text"), _HTML("source"))
     return pages.page_records(table(spark, d, "documents").select(F.concat(F.lit("docs/"), "doc_id").alias("key"), h.alias("html")), "web", "key")
 
 
+@query("q_c_reference", f"""WITH p AS (SELECT chunk_id, {_strip("coalesce(name, '')")} AS name, {_strip("coalesce(signature, '')")} AS signature, {_strip("coalesce(file_path, '')")} AS p, {_strip("coalesce(code, '')")} AS code FROM code_chunks_raw)
+SELECT chunk_id::VARCHAR AS key, 'What is the signature and purpose of C''s ' || name || '?' AS instruction, {_join('signature', 'p', 'code')} AS output, name AS topic FROM p WHERE signature <> '' OR p <> ''""")
+def _(spark, d):
+    h = F.format_string("<body><h1>%s</h1><code>x</code><code class='t-cpp'>%s</code><p>%s</p><div class='example'><pre>%s</pre></div></body>", *map(_HTML, ("name", "signature", "file_path", "code")))
+    return pages.page_records(table(spark, d, "code_chunks_raw").select("chunk_id", h.alias("html")), "c", "chunk_id")
+
+
+@query("q_python_reference", f"""WITH p AS (SELECT chunk_id::VARCHAR AS key, {_strip(f"regexp_replace(coalesce(signature, ''), '{SPACE}+', ' ', 'g')")} AS s, substr({_strip("coalesce(code, '')")}, 1, 1000) AS dd FROM code_chunks_raw),
+q AS (SELECT *, key || '.' || string_split({_strip("string_split(s, '(')[1]")}, '.')[-1] AS name FROM p WHERE contains(s, '('))
+SELECT key, 'What is the Python ' || name || ' function signature and behavior?' AS instruction, {_join('s', 'dd')} AS output, name AS topic FROM q""")
+def _(spark, d):
+    h = F.format_string("<body><dl><dt class='sig'>%s<a>¶</a></dt><dd>%s</dd></dl></body>", _HTML("signature"), _HTML("code"))
+    return pages.page_records(table(spark, d, "code_chunks_raw").select("chunk_id", h.alias("html")), "python", "chunk_id")
+
+
 # --- runs of completions ---
 
 
-@query("q_completions")
+def _echo(prompt: str) -> str:
+    """SQL: what the offline backend completes."""
+    return f"'Write code for task ' || substr(sha256({prompt}), 1, 12) || '.'"
+
+
+_RULES = "h(principle, hint) AS (VALUES " + ", ".join(f"('{p}', '{h}')" for p, h in seeds.PRINCIPLES.items()) + ")"
+_COMPLETED = f"""r AS (SELECT _idx, coalesce(max_tokens, 128)::INT AS max_tokens, coalesce(temperature, 0.7)::DOUBLE AS temperature, top_p, CASE WHEN contains(coalesce(prompt, ''), 'FAIL') THEN NULL ELSE {_echo("coalesce(prompt, '')")} END AS t, CASE WHEN stop IS NULL OR len(stop) = 0 THEN [chr(10) || chr(10)] ELSE stop END AS stop FROM jobs),
+c AS (SELECT *, list_min(list_filter(list_transform(stop, lambda s: CASE WHEN s <> '' THEN instr(t, s) END), lambda x: x > 0)) AS stop_at FROM r),
+e AS (SELECT *, {_strip("CASE WHEN stop_at IS NULL THEN t ELSE substr(t, 1, stop_at - 1) END")} AS _text FROM c),
+done AS (SELECT _idx, max_tokens, temperature, top_p, 'echo0' AS _worker, _text, coalesce(length(_text), 0)::BIGINT AS _len FROM e)"""
+
+
+@query("q_completions", f"WITH {_COMPLETED} SELECT * FROM done WHERE _idx NOT IN (SELECT _idx FROM job_results WHERE _idx IS NOT NULL AND _len > 0 AND coalesce(_worker, '') <> 'lost')")
 def _(spark, d):
     return infer.run_completions(table(spark, d, "jobs"), done=table(spark, d, "job_results").where("_len > 0"))
 
 
+@query("q_completion_run", f"WITH {_COMPLETED} SELECT * FROM done ORDER BY _idx")
+def _(spark, d):
+    """A run that is interrupted halfway and goes on: its output, in the order of the jobs."""
+    folder, jobs = fresh_path(spark, "run"), table(spark, d, "jobs")
+    infer.run_completions(jobs.where("_idx % 2 = 0")).write.parquet(f"{folder}/partial")
+    infer.run_to_folder(spark, jobs, folder)
+    return spark.read.schema(infer.RESULT).parquet(f"{folder}/results").orderBy("_idx")
+
+
+@query("q_run_plan", "SELECT count(*) AS jobs, (count(*) + 1) // 2 AS resumed, 'echo0' AS worker FROM jobs")
+def _(spark, d):
+    """What plan.json says of such a run."""
+    folder, jobs = fresh_path(spark, "run"), table(spark, d, "jobs")
+    infer.run_completions(jobs.where("_idx % 2 = 0")).write.parquet(f"{folder}/partial")
+    infer.run_to_folder(spark, jobs, folder)
+    plan = spark.read.option("multiLine", "true").json(f"{folder}/plan.json")
+    return plan.select("jobs", "resumed", F.get(F.map_keys(F.from_json(F.to_json("workers"), "map<string,bigint>")), F.lit(0)).alias("worker"))
+
+
 @query("q_run_stats", """WITH f AS (SELECT _idx, max((coalesce(length(_text), 0) > 0)::INT) AS ok FROM job_results WHERE _idx IS NOT NULL GROUP BY 1), j AS (SELECT count(*) AS jobs, sum(coalesce(ok, 0))::BIGINT AS ok FROM jobs LEFT JOIN f USING (_idx))
 SELECT jobs, ok, jobs - ok AS failed, 0::BIGINT AS resumed, 600.0::DOUBLE AS elapsed_s, round_even(ok::DOUBLE / jobs * 100, 1) AS ok_pct, round_even(jobs / 600.0::DOUBLE, 3) AS jobs_per_s FROM j""")
 def _(spark, d):
@@ -407,12 +533,27 @@ def _(spark, d):
     return files.metric_averages(table(spark, d, "events").select(F.when(F.col("event_type") == "click", F.col("value")).alias("gpu_util_pct"), F.col("value").alias("cpu_pct")))
 
 
-@query("q_alignment_expansion")
+_EXPANDED = f"""{_RULES}, p AS (SELECT row_number() OVER () - 1 AS i, principle, hint FROM h), l AS (SELECT row_number() OVER () - 1 AS k, l FROM (VALUES ('python'), ('c'), ('javascript'), ('html'), ('css')) t(l)),
+b AS (SELECT (i * 5 + k)::BIGINT AS pos, principle, l AS language, hint, {_echo("'Write a short ' || l || ' function that breaks this rule: ' || hint || '. Code only.'")} AS bad FROM p, l),
+x AS (SELECT pos, principle, language, bad, {_echo("'Here is ' || language || ' code:' || chr(10) || chr(10) || bad || chr(10) || chr(10) || 'Rewrite it so that it keeps the rule: ' || hint || '. Code only.'")} AS good FROM b)"""
+
+
+@query("q_alignment_expansion", f"WITH {_EXPANDED} SELECT * FROM x")
 def _(spark, d):
     return infer.expand_alignment(mix.combinations(spark, list(seeds.PRINCIPLES), list(seeds.LANGUAGES), 200), seeds.PRINCIPLES)
 
 
-@query("q_align_code")
+@query("q_alignment_rounds", f"WITH {_EXPANDED} SELECT * FROM x WHERE good NOT IN (SELECT text FROM documents WHERE text IS NOT NULL) ORDER BY pos LIMIT 20")
+def _(spark, d):
+    known = table(spark, d, "documents").where("text IS NOT NULL").select(F.col("text").alias("good"))
+    return infer.expand_in_rounds(spark, list(seeds.PRINCIPLES), list(seeds.LANGUAGES), seeds.PRINCIPLES, 20, known=known)
+
+
+@query("q_align_code", f"""WITH {_RULES}, c AS (SELECT chunk_id AS pos, language, code, ['early return', 'clear names', 'single purpose', 'explicit errors', 'bounded loops', 'no hidden state'][(('0x' || substr(md5('42:' || chunk_id), 1, 8))::BIGINT % 6 + 1)::INT] AS principle FROM code_chunks_raw WHERE code IS NOT NULL AND language IS DISTINCT FROM 'css' ORDER BY md5('42:' || chunk_id), chunk_id LIMIT 4000),
+f AS (SELECT *, coalesce(language, 'unknown') AS l, {_echo("'Here is ' || coalesce(language, 'unknown') || ' code:' || chr(10) || chr(10) || code || chr(10) || chr(10) || 'Rewrite it so that it keeps the rule: ' || hint || '. Code only.'")} AS fix FROM c JOIN h USING (principle)),
+o AS (SELECT pos, language, principle, code AS input, 'Refactor this ' || l || ' code to follow ' || principle || '.' AS instruction, '<thought>' || hint || '</thought>' || chr(10) || chr(10) || fix AS output FROM f),
+w AS (SELECT *, row_number() OVER (PARTITION BY sha256(output) ORDER BY pos) AS rn FROM o)
+SELECT pos, language, principle, input, instruction, output, (greatest(1, length(input) // 4) + greatest(1, length(output) // 4))::BIGINT AS token_count FROM w WHERE rn = 1 AND output NOT IN (SELECT text FROM documents WHERE text IS NOT NULL)""")
 def _(spark, d):
     code = table(spark, d, "code_chunks_raw").where("code IS NOT NULL").select(F.col("chunk_id").alias("pos"), "language", F.coalesce("name", F.lit("")).alias("instruction"), F.col("code").alias("output"))
     return infer.expand_from_code(code, table(spark, d, "documents").select(F.col("text").alias("output")), seeds.PRINCIPLES)
@@ -434,15 +575,11 @@ def _(spark, d):
     return infer.best_plan(by.withColumn("ord", F.array_position(F.array(*map(F.lit, names or [""])), F.col("plan"))))
 
 
-@query("q_newest_version", "SELECT 'tool-1.10.2' AS name")
+@query("q_newest_version", r"""WITH n AS (SELECT 'tool-' || p_size || '.' || p_partkey % 10 || '.' || p_partkey % 7 AS name FROM part)
+SELECT name FROM n ORDER BY list_transform(string_split(regexp_extract(name, '(\d+(?:\.\d+)*)', 1), '.'), lambda x: x::BIGINT) DESC, name DESC LIMIT 1""")
 def _(spark, d):
-    return X.newest(spark.createDataFrame([("tool-1.9.9",), ("tool-1.10.2",), ("tool",), ("tool-1.10",)], "name STRING"), "name")
-
-
-@query("q_source_rows", """WITH r AS (SELECT doc_id, topic AS instruction, text AS output, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS rn FROM documents WHERE topic IS NOT NULL AND text IS NOT NULL AND source = 'runbooks') SELECT doc_id, instruction FROM r WHERE rn = 1 ORDER BY doc_id LIMIT 30""")
-def _(spark, d):
-    mapped = lambda r: r.where("topic IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("topic").alias("instruction"), F.col("text").alias("output"))
-    return paged.source_rows(table(spark, d, "documents").where("source = 'runbooks'"), mapped, "doc_id", 30).select("doc_id", "instruction")
+    name = F.concat(F.lit("tool-"), "p_size", F.lit("."), F.pmod("p_partkey", F.lit(10)), F.lit("."), F.pmod("p_partkey", F.lit(7)))
+    return X.newest(table(spark, d, "part").select(name.alias("name")), "name")
 
 
 @query("q_source_rows_all", """WITH r AS (SELECT doc_id, source, topic AS instruction, row_number() OVER (PARTITION BY source, sha256(text) ORDER BY doc_id) AS rn FROM documents WHERE topic IS NOT NULL AND text IS NOT NULL) SELECT doc_id, source, instruction FROM r WHERE rn = 1""")
@@ -451,6 +588,16 @@ def _(spark, d):
     return paged.source_rows(table(spark, d, "documents"), mapped, "doc_id", source="source").select("doc_id", "source", "instruction")
 
 
+@query("q_enough_files", "SELECT repo, count(DISTINCT file_path) AS n_files, count(DISTINCT file_path) >= 6 AS ok FROM code_chunks_raw GROUP BY repo")
+def _(spark, d):
+    return validate.enough_files(table(spark, d, "code_chunks_raw"), path="file_path")
+
+
+@query("q_files_by_path", "SELECT file_path, row_number() OVER (ORDER BY file_path) - 1 AS pos FROM (SELECT DISTINCT file_path FROM code_chunks_raw WHERE file_path IS NOT NULL)")
+def _(spark, d):
+    return infer.numbered(table(spark, d, "code_chunks_raw").where("file_path IS NOT NULL").select("file_path").distinct(), "file_path").select("file_path", "pos")
+
+
 # --- sinks and streams: written to the shared folder and read back ---
 
 
@@ -477,10 +624,11 @@ def _(spark, d):
     return spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "max_value")
 
 
-@query("q_stream_once", "SELECT sha256(coalesce(content, '')) AS digest FROM train GROUP BY 1")
+@query("q_stream_once", "SELECT sha256(coalesce(content, '')) AS digest FROM train WHERE added_at IS NOT NULL GROUP BY 1")
 def _(spark, d):
     out = fresh_path(spark, "once")
-    streams.drain(streams.arrivals_once(files.stream_table(spark, d, "train"), "content"), out, fresh_path(spark, "progress"))
+    rows = files.stream_table(spark, d, "train").where("added_at IS NOT NULL")
+    streams.drain(streams.arrivals_once(rows, "content", "added_at", "3650 days"), out, fresh_path(spark, "progress"))
     return spark.read.parquet(out).select(X.digest(X.text_or_empty(F.col("content"))).alias("digest"))
 
 
@@ -505,20 +653,6 @@ def _(spark, d):
     return dag.pressure_spans(ev)
 
 
-_ASK = [(1, "memory limit error"), (2, "conexión base de datos"), (3, "event queue latency")]
-
-
-@query("q_bm25_topk", r"""WITH q(query_id, query) AS (VALUES (1, 'memory limit error'), (2, 'conexión base de datos'), (3, 'event queue latency')),
-a AS (SELECT DISTINCT query_id, unnest(list_filter(regexp_split_to_array(lower(query), '[^a-z0-9]+'), lambda x: x <> '')) AS term FROM q),
-d AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '') AS t FROM documents),
-c AS (SELECT count(*) AS n, avg(len(t)) AS avg_dl FROM d), p AS (SELECT id, len(t) AS dl, unnest(t) AS term FROM d),
-tf AS (SELECT id, dl, term, count(*) AS tf FROM p WHERE term IN (SELECT term FROM a) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
-s AS (SELECT query_id, id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avg_dl))), 6) AS score FROM tf JOIN df USING (term) JOIN a USING (term), c GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM s) SELECT query_id, id, score, rank FROM r WHERE rank <= 10""")
-def _(spark, d):
-    return retrieval.bm25(table(spark, d, "documents"), spark.createDataFrame(_ASK, "query_id INT, query STRING"), 10)
-
-
 @query("q_bm25_search", r"""WITH q AS (SELECT doc_id AS query_id, coalesce(text, '') AS query FROM documents WHERE doc_id % 100 = 0),
 a AS (SELECT DISTINCT query_id, unnest(list_filter(regexp_split_to_array(lower(query), '[^a-z0-9]+'), lambda x: x <> '')) AS term FROM q),
 d AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '') AS t FROM documents),
@@ -531,14 +665,6 @@ def _(spark, d):
     return retrieval.bm25(docs, docs.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query")), 10)
 
 
-@query("q_cosine_topk", """WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings), q AS (SELECT * FROM v WHERE id < 5),
-s AS (SELECT q.id AS query_id, v.id, round(list_sum(list_transform(list_zip(v.e, q.e), lambda x: x[1] * x[2])) / (sqrt(list_sum(list_transform(v.e, lambda x: x * x))) * sqrt(list_sum(list_transform(q.e, lambda x: x * x)))), 6) AS score FROM v, q WHERE v.id <> q.id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM s) SELECT query_id, id, score, rank FROM r WHERE rank <= 10""")
-def _(spark, d):
-    v = table(spark, d, "embeddings")
-    return retrieval.nearest(v, v.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), 10)
-
-
 @query("q_cosine_search", """WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings), q AS (SELECT * FROM v WHERE id % 100 = 0),
 s AS (SELECT q.id AS query_id, v.id, round(list_sum(list_transform(list_zip(v.e, q.e), lambda x: x[1] * x[2])) / (sqrt(list_sum(list_transform(v.e, lambda x: x * x))) * sqrt(list_sum(list_transform(q.e, lambda x: x * x)))), 6) AS score FROM v, q WHERE v.id <> q.id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM s) SELECT query_id, id, score, rank FROM r WHERE rank <= 10""")
@@ -558,27 +684,97 @@ def _(spark, d):
     return retrieval.token_slices(table(spark, d, "documents"), "doc_id", "text")
 
 
-@query("q_top_sentences")
+@query("q_top_sentences", rf"""WITH s AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?])[ \t\n\r\f\x0b]+', '\1' || chr(10), 'g'), '\n+'), lambda x: {_strip("x")} <> '') AS l FROM documents),
+e AS (SELECT id, unnest(range(len(l)))::INT AS place, unnest(l) AS sentence FROM s), t AS (SELECT id, place, unnest(list_filter(regexp_split_to_array(lower(sentence), '[^a-z0-9]+'), lambda x: x <> '')) AS term FROM e),
+tf AS (SELECT id, term, count(*) AS tf FROM t GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term), w AS (SELECT id, term, tf * ln(1 + (SELECT count(*) FROM documents)::DOUBLE / df) AS w FROM tf JOIN df USING (term)),
+c AS (SELECT id, place, round(avg(w), 6) AS score FROM t JOIN w USING (id, term) GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, place) AS k FROM c)
+SELECT id, place, sentence, score FROM r JOIN e USING (id, place) WHERE k <= 5""")
 def _(spark, d):
     return retrieval.top_sentences(table(spark, d, "documents"))
 
 
-_PLAN = [("q1", "N01", []), ("q1", "N02", ["N01"]), ("q1", "N03", ["N01", "N02"]), ("q2", "N01", ["N02"]), ("q2", "N02", ["N02"]), ("q2", "X3", ["N09"]), ("q2", "N01", [])]
-_PLAN_SQL = "p(query_id, id, dependencies) AS (VALUES " + ", ".join(f"('{q}', '{i}', [{', '.join(repr(x) for x in deps)}]::VARCHAR[])" for q, i, deps in _PLAN) + ")"
+@query("q_route", """WITH q AS (SELECT c_custkey AS query_id FROM customer), c AS (SELECT o_custkey AS query_id, max(o_orderkey)::VARCHAR AS answer FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
+s AS (SELECT o_custkey AS query_id, max(o_orderpriority) AS answer, max(o_totalprice) AS score FROM orders GROUP BY 1), n AS (SELECT o_custkey AS query_id, min(o_orderpriority) AS answer FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1),
+w AS (SELECT query_id, c.answer AS c, s.answer AS s, n.answer AS n, CASE WHEN c.answer IS NOT NULL THEN 'cache' WHEN score >= 400000 THEN 'sparse' WHEN n.answer IS NOT NULL THEN 'dense' ELSE 'online' END AS way FROM q LEFT JOIN c USING (query_id) LEFT JOIN s USING (query_id) LEFT JOIN n USING (query_id))
+SELECT query_id, way, CASE way WHEN 'cache' THEN c WHEN 'sparse' THEN s WHEN 'dense' THEN n END AS answer FROM w""")
+def _(spark, d):
+    orders = table(spark, d, "orders").withColumnRenamed("o_custkey", "query_id")
+    cache = orders.where("o_orderstatus = 'P'").groupBy("query_id").agg(F.max("o_orderkey").cast("string").alias("answer"))
+    sparse = orders.groupBy("query_id").agg(F.max("o_orderpriority").alias("answer"), F.max("o_totalprice").alias("score"))
+    dense = orders.where("o_orderkey % 2 = 0").groupBy("query_id").agg(F.min("o_orderpriority").alias("answer"))
+    return retrieval.route(table(spark, d, "customer").select(F.col("c_custkey").alias("query_id")), cache, sparse, dense, 400_000.0)
+
+
+@query("q_brief", """WITH e AS (SELECT o_custkey AS query_id, o_orderstatus AS source, o_orderkey::VARCHAR AS sentence, o_totalprice AS score FROM orders), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, source, sentence) AS k FROM e)
+SELECT query_id, string_agg('[' || k || '] ' || sentence || ' (' || source || ')', chr(10) ORDER BY k) AS brief, round(avg(score), 6) AS confidence FROM r WHERE k <= 5 GROUP BY query_id""")
+def _(spark, d):
+    return retrieval.brief(table(spark, d, "orders").select(F.col("o_custkey").alias("query_id"), F.col("o_orderstatus").alias("source"), F.col("o_orderkey").cast("string").alias("sentence"), F.col("o_totalprice").alias("score")))
+
+
+@query("q_grounded", r"""WITH c AS (SELECT msg_id AS claim_id, example_id AS query_id, list_distinct(list_filter(regexp_split_to_array(lower(coalesce(content, '')), '[^a-z0-9]+'), lambda x: x <> '')) AS t FROM train WHERE lower(role) IN ('gpt', 'assistant')),
+e AS (SELECT example_id AS query_id, list_filter(regexp_split_to_array(lower(coalesce(content, '')), '[^a-z0-9]+'), lambda x: x <> '') AS e FROM train WHERE lower(role) IN ('human', 'user')),
+b AS (SELECT claim_id, round(max(len(list_intersect(t, e))::DOUBLE / greatest(len(t), 1)), 6) AS support FROM c JOIN e USING (query_id) GROUP BY 1)
+SELECT claim_id, coalesce(support, 0)::DOUBLE AS support, coalesce(support, 0) >= 0.5 AS grounded FROM c LEFT JOIN b USING (claim_id)""")
+def _(spark, d):
+    t, role = table(spark, d, "train"), F.lower("role")
+    claims = t.where(role.isin(*records.MODEL)).select(F.col("msg_id").alias("claim_id"), F.col("example_id").alias("query_id"), F.col("content").alias("claim"))
+    return retrieval.grounded(claims, t.where(role.isin(*records.HUMAN)).select(F.col("example_id").alias("query_id"), F.col("content").alias("sentence")))
+
+
+@query("q_answer_document", """SELECT o_orderkey, '{"query_id":"' || o_custkey || '","answer":"' || o_orderpriority || '","sources":["' || o_orderstatus || '"],"confidence":' || o_orderkey % 100 || '}' AS answer FROM orders""")
+def _(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", retrieval.answer_document(F.col("o_custkey").cast("string"), F.col("o_orderpriority"), F.array("o_orderstatus"), F.pmod("o_orderkey", F.lit(100))).alias("answer"))
+
 
+#: Plans out of lineitem: an order is a plan, a line a node that depends on the line before; some nodes are misnamed or doubled.
+_NODES_SQL = """p AS (SELECT l_orderkey AS query_id, CASE WHEN l_partkey % 97 = 0 THEN 'X1' ELSE 'N' || lpad((l_linenumber + l_partkey % 2)::VARCHAR, 2, '0') END AS id, ['N' || lpad(l_linenumber::VARCHAR, 2, '0')] AS dependencies FROM lineitem)"""
 
-@query("q_dag_invalid", f"""WITH {_PLAN_SQL}, e AS (SELECT query_id, id, unnest(list_distinct(dependencies)) AS dep FROM p), i AS (SELECT DISTINCT query_id, id FROM p)
+
+@query("q_dag_invalid", f"""WITH {_NODES_SQL}, e AS (SELECT query_id, id, unnest(list_distinct(dependencies)) AS dep FROM p), i AS (SELECT DISTINCT query_id, id FROM p)
 SELECT query_id, id, 'bad_id' AS error FROM p WHERE NOT regexp_matches(id, '^N[0-9][0-9]$') UNION ALL SELECT query_id, id, 'duplicate_id' FROM p GROUP BY ALL HAVING count(*) > 1
-UNION ALL SELECT query_id, id, 'self_dependency' FROM e WHERE dep = id UNION ALL SELECT query_id, id, 'missing_dependency' FROM e WHERE (query_id, dep) NOT IN (SELECT (query_id, id) FROM i)
-UNION ALL SELECT DISTINCT query_id, id, 'forward_dependency' FROM e WHERE dep > id AND (query_id, dep) IN (SELECT (query_id, id) FROM i)""")
+UNION ALL SELECT query_id, id, 'self_dependency' FROM e WHERE dep = id UNION ALL SELECT query_id, id, 'missing_dependency' FROM e WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.query_id = e.query_id AND i.id = e.dep)
+UNION ALL SELECT DISTINCT query_id, id, 'forward_dependency' FROM e WHERE dep > id AND EXISTS (SELECT 1 FROM i WHERE i.query_id = e.query_id AND i.id = e.dep)
+UNION ALL SELECT query_id, NULL, 'too_many_nodes' FROM p GROUP BY query_id HAVING count(*) > 24""")
+def _(spark, d):
+    line = lambda c: F.concat(F.lit("N"), F.lpad(c.cast("string"), 2, "0"))
+    n = F.col("l_linenumber")
+    node = F.when(F.pmod("l_partkey", F.lit(97)) == 0, "X1").otherwise(line(n + F.pmod("l_partkey", F.lit(2))))
+    return dag.plan_errors(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("query_id"), node.alias("id"), F.array(line(n)).alias("dependencies")))
+
+
+@query("q_ready_nodes", """WITH n AS (SELECT l_orderkey AS query_id, 'N' || lpad(l_linenumber::VARCHAR, 2, '0') AS id, l_linenumber AS k, CASE max(l_returnflag) WHEN 'R' THEN 'DONE' WHEN 'A' THEN 'RUNNING' ELSE NULL END AS status FROM lineitem GROUP BY l_orderkey, l_linenumber)
+SELECT a.query_id, a.id FROM n a LEFT JOIN n b ON b.query_id = a.query_id AND b.k = a.k - 1 WHERE a.status IS NULL AND (a.k = 1 OR b.status = 'DONE')""")
+def _(spark, d):
+    lines = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("query_id"), F.col("l_linenumber").alias("k")).agg(F.max("l_returnflag").alias("l_returnflag"))
+    line = lambda c: F.concat(F.lit("N"), F.lpad(c.cast("string"), 2, "0"))
+    nodes = lines.select("query_id", line(F.col("k")).alias("id"), F.when(F.col("k") > 1, F.array(line(F.col("k") - 1))).otherwise(F.array().cast("array<string>")).alias("dependencies"))
+    state = lines.where("l_returnflag <> 'N'").select("query_id", line(F.col("k")).alias("node_id"), F.when(F.col("l_returnflag") == "R", "DONE").otherwise("RUNNING").alias("status"))
+    return dag.ready_nodes(nodes, state)
+
+
+@query("q_explosions", """WITH s AS (SELECT o_custkey AS query_id, o_orderkey % 5 AS depth, o_orderkey % 3 AS children FROM orders), g AS (SELECT query_id, (count(*) + sum(children))::BIGINT AS nodes, max(depth) AS depth, max(children) AS children, count(*) FILTER (children > 0) AS splits FROM s GROUP BY 1)
+SELECT *, 'PLAN_EXPLOSION' AS verdict FROM g WHERE nodes > 24 OR depth > 3 OR children > 2 OR splits > 5""")
+def _(spark, d):
+    return dag.explosions(table(spark, d, "orders").select(F.col("o_custkey").alias("query_id"), F.col("o_orderkey").alias("node_id"), F.pmod("o_orderkey", F.lit(5)).alias("depth"), F.pmod("o_orderkey", F.lit(3)).alias("children")))
+
+
+_STATE_EVENTS = "['node.ready', 'node.attempt.start', 'sandbox.start', 'sandbox.timeout', 'node.test.failed', 'node.failed', 'node.done', 'no.such.event'][event_id % 8 + 1]"
+
+
+def _node_events(spark, d):
+    kinds = F.array(*map(F.lit, ("node.ready", "node.attempt.start", "sandbox.start", "sandbox.timeout", "node.test.failed", "node.failed", "node.done", "no.such.event")))
+    return table(spark, d, "events").select("event_id", F.col("user_id").alias("query_id"), F.col("event_type").alias("node_id"), F.element_at(kinds, (F.pmod("event_id", F.lit(8)) + 1).cast("int")).alias("event_type"), F.col("ts").alias("created_at"))
+
+
+@query("q_node_states", f"""WITH e AS (SELECT event_id, user_id AS query_id, event_type AS node_id, {_STATE_EVENTS} AS k, ts FROM events), m AS (SELECT *, CASE k WHEN 'node.ready' THEN 'READY' WHEN 'node.attempt.start' THEN 'RUNNING' WHEN 'sandbox.timeout' THEN 'TIMEOUT' WHEN 'node.test.failed' THEN 'TEST_FAILED' WHEN 'node.failed' THEN 'FAILED' WHEN 'node.done' THEN 'DONE' END AS s FROM e)
+SELECT query_id, node_id, coalesce(arg_max(s, (ts, event_id)) FILTER (s IS NOT NULL), 'PENDING') AS status, count(*) FILTER (k = 'node.attempt.start') AS attempt FROM m GROUP BY 1, 2""")
 def _(spark, d):
-    return dag.plan_errors(spark.createDataFrame(_PLAN, "query_id STRING, id STRING, dependencies ARRAY<STRING>"))
+    return dag.node_states(_node_events(spark, d))
 
 
-@query("q_ready_nodes", "SELECT 'q1' AS query_id, 'N02' AS id")
+@query("q_unknown_events", f"SELECT {_STATE_EVENTS} AS event_type, count(*) AS n FROM events WHERE event_id % 8 = 7 GROUP BY 1")
 def _(spark, d):
-    nodes = spark.createDataFrame([r for r in _PLAN if r[0] == "q1"], "query_id STRING, id STRING, dependencies ARRAY<STRING>")
-    return dag.ready_nodes(nodes, spark.createDataFrame([("q1", "N01", "DONE")], "query_id STRING, node_id STRING, status STRING"))
+    return dag.unknown_events(_node_events(spark, d))
 
 
 @query("q_retry_decisions", """SELECT user_id::VARCHAR AS query_id, event_type AS node_id, count(*) FILTER (value < 20) AS attempts,
@@ -599,6 +795,19 @@ def _(spark, d):
     return dag.event_metrics(table(spark, d, "events").select(F.col("user_id").alias("query_id"), "event_type"))
 
 
+_SECTIONED = "['policy', 'node', 'topology', 'brief', 'contracts', 'summaries', 'error_tail'][o_orderkey % 7 + 1]"
+
+
+@query("q_compiled_context", f"""WITH s AS (SELECT o_custkey AS query_id, {_SECTIONED} AS section, o_orderkey AS age, floor(o_totalprice / 1000)::BIGINT AS tokens, [180, 350, 250, 350, 600, 650, 250][o_orderkey % 7 + 1] AS most FROM orders),
+c AS (SELECT *, greatest(0, least(tokens, most - (sum(tokens) OVER (PARTITION BY query_id, section ORDER BY age ROWS UNBOUNDED PRECEDING) - tokens)))::BIGINT AS cut, CASE section WHEN 'summaries' THEN 3 WHEN 'brief' THEN 2 WHEN 'topology' THEN 1 ELSE 0 END AS rank FROM s),
+u AS (SELECT *, sum(cut) OVER (PARTITION BY query_id ORDER BY rank, age, section ROWS UNBOUNDED PRECEDING) AS upto FROM c WHERE cut > 0 OR rank = 0)
+SELECT query_id, section, age, tokens, cut FROM u WHERE rank = 0 OR upto <= 1500 - 442""")
+def _(spark, d):
+    kinds = F.array(*map(F.lit, dag.SECTIONS))
+    s = table(spark, d, "orders").select(F.col("o_custkey").alias("query_id"), F.element_at(kinds, (F.pmod("o_orderkey", F.lit(7)) + 1).cast("int")).alias("section"), F.col("o_orderkey").alias("age"), F.floor(F.col("o_totalprice") / 1000).alias("tokens"))
+    return dag.compiled_context(s, 1500)
+
+
 @query("q_fit_context", """WITH s AS (SELECT o_custkey::VARCHAR AS query_id, o_orderkey::VARCHAR AS section, o_orderkey AS priority, floor(o_totalprice / 100)::BIGINT AS tokens FROM orders),
 w AS (SELECT *, sum(tokens) OVER (PARTITION BY query_id ORDER BY priority, section ROWS UNBOUNDED PRECEDING)::BIGINT AS upto FROM s) SELECT * FROM w WHERE upto <= 3072""")
 def _(spark, d):

@@ -8,7 +8,8 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from granary.operators.infer import WorkerSpec
+from granary.operators.infer import WorkerSpec, run_to_folder
+from granary.sources.files import write_metrics
 
 # Shares and sizes of the sizing rule.
 VRAM_SHARE, RAM_SHARE = 0.85, 0.7
@@ -46,12 +47,38 @@ class Resources:
     disk_free_mb: int = 0
 
 
-def probe() -> Resources:
-    """This machine, without a GPU backend."""
+GPU_FIELDS = {"memory.total": "gpu_vram_total_mb", "memory.free": "gpu_vram_free_mb", "memory.used": "gpu_vram_used_mb", "utilization.gpu": "gpu_util_pct", "power.draw": "gpu_power_w", "temperature.gpu": "gpu_temp_c"}
+
+
+def gpu_numbers(ask: Callable[[list[str]], str] | None = None) -> dict[str, float | None]:
+    """Figures of the first GPU by the vendor's command, {} where it can't be asked; a figure that it can't tell is None."""
+
+    def run(command: list[str]) -> str:
+        import subprocess
+
+        return subprocess.run(command, capture_output=True, text=True, timeout=5, check=True).stdout
+
+    try:
+        line = (ask or run)(["nvidia-smi", f"--query-gpu={','.join(GPU_FIELDS)}", "--format=csv,noheader,nounits"]).strip().splitlines()[0]
+    except Exception:
+        return {}
+
+    def number(x: str) -> float | None:
+        try:
+            return float(x)
+        except ValueError:
+            return None
+
+    return dict(zip(GPU_FIELDS.values(), (number(x.strip()) for x in line.split(","))))
+
+
+def probe(ask: Callable[[list[str]], str] | None = None, backend: bool = False) -> Resources:
+    """This machine; ``backend`` tells whether a GPU backend is installed."""
     import psutil
 
-    memory = psutil.virtual_memory()
-    return Resources(Cpu(psutil.cpu_count() or 1, psutil.cpu_count(logical=False) or 1), Ram(memory.total >> 20, memory.available >> 20), Gpu(), psutil.disk_usage("/").free >> 20)
+    memory, seen = psutil.virtual_memory(), gpu_numbers(ask)
+    gpu = Gpu(bool(seen), bool(seen) and backend, int(seen.get("gpu_vram_total_mb") or 0), int(seen.get("gpu_vram_free_mb") or 0))
+    return Resources(Cpu(psutil.cpu_count() or 1, psutil.cpu_count(logical=False) or 1), Ram(memory.total >> 20, memory.available >> 20), gpu, psutil.disk_usage("/").free >> 20)
 
 
 def weights_mib(model_path: str) -> float:
@@ -108,10 +135,10 @@ def calibrate(machine: Resources, model_path: str, rate: Callable[[list[WorkerSp
 
 
 class Monitor:
-    """Samples of this machine's load once an ``interval``, as rows of the metrics table."""
+    """Samples of this machine's load once an ``interval``, as rows of the metrics table; written as CSV to ``path`` at the end."""
 
-    def __init__(self, interval: float = 1.0) -> None:
-        self.interval, self.rows, self._stop = interval, [], threading.Event()
+    def __init__(self, interval: float = 1.0, path: str | None = None) -> None:
+        self.interval, self.path, self.rows, self._stop = interval, path, [], threading.Event()
         self._thread: threading.Thread | None = None
 
     def _run(self) -> None:
@@ -120,7 +147,7 @@ class Monitor:
         began = time.monotonic()
         while not self._stop.wait(self.interval):
             m = psutil.virtual_memory()
-            self.rows.append((time.monotonic() - began, psutil.cpu_percent(), psutil.cpu_count(), m.used >> 20, m.available >> 20, None, None, None, None, None))
+            self.rows.append({"t": round(time.monotonic() - began, 3), "cpu_pct": psutil.cpu_percent(), "cpu_logical": psutil.cpu_count(), "ram_used_mb": m.used >> 20, "ram_avail_mb": m.available >> 20} | gpu_numbers())
 
     def __enter__(self) -> Monitor:
         self._thread = threading.Thread(target=self._run, daemon=True)
@@ -130,3 +157,18 @@ class Monitor:
     def __exit__(self, *_) -> None:
         self._stop.set()
         self._thread.join()
+        if self.path:
+            write_metrics(self.rows, self.path)
+
+
+def compare_mixes(spark, jobs, mixes: dict[str, WorkerSpec], folder: str, backend) -> list[dict]:
+    """Run the same jobs once for each mix of workers: name, jobs, ok_pct, elapsed_s, jobs_per_s, in order of the rate."""
+    rows = [{"name": name, **run_to_folder(spark, jobs, f"{folder}/{name}", backend, spec, max(1, spec.n_threads))} for name, spec in mixes.items()]
+    return sorted(rows, key=lambda r: -r["jobs_per_s"])
+
+
+if __name__ == "__main__":
+    import json
+    from dataclasses import asdict
+
+    print(json.dumps(asdict(probe()), indent=2))

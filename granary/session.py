@@ -62,17 +62,38 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Remove the files of a table made by :func:`materialize`, once nothing reads it any more."""
-    _remove(df.sparkSession, df._granary_path)
+    remove(df.sparkSession, df._granary_path)
 
 
 def clean(spark: SparkSession) -> None:
     """Remove all tables that this application has left in the shared folder."""
-    _remove(spark, f"{shared_dir(spark)}/granary/{spark.sparkContext.applicationId}")
+    remove(spark, f"{shared_dir(spark)}/granary/{spark.sparkContext.applicationId}")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def _fs(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file, over an old one, on whatever file system ``path`` names."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
 
 
 def input_bytes(df: DataFrame) -> int:

@@ -4,40 +4,31 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.functions import text as X
+from granary import session
 from granary.operators.records import RECORD
-
-MOST_BYTES = 10 << 30  # a JSON lines input larger than this is refused unless the caller raises it
-
+from granary.session import exists, write_text
 
 class EmptyInput(ValueError):
     pass
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
 def total_bytes(spark: SparkSession, path: str) -> int:
-    fs, p = _fs(spark, path)
+    fs, p = session._fs(spark, path)
     return int(fs.getContentSummary(p).getLength())
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = RECORD, most_bytes: int | None = MOST_BYTES) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = RECORD, most_bytes: int | None = None) -> DataFrame:
     """Rows of JSON lines; blank lines are skipped.
 
-    A missing path gives no rows, an empty one raises :class:`EmptyInput`, one beyond ``most_bytes`` ValueError;
+    A missing path gives no rows, an empty one raises :class:`EmptyInput`, one beyond ``most_bytes`` (where given) ValueError;
     a malformed line fails the query that reads it (:func:`bad_lines` names them).
     """
     if not exists(spark, path):
@@ -69,11 +60,9 @@ def write_layers(rows: DataFrame, path: str, layer: str = "layer") -> None:
 
 
 def write_stats(row: DataFrame, path: str) -> dict:
-    """The one row of statistics as an indented JSON file at a local ``path``."""
+    """The one row of statistics as an indented JSON file."""
     stats = json.loads(row.select(F.to_json(F.struct("*")).alias("j")).first()["j"])
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(stats, f, indent=2, ensure_ascii=False)
+    write_text(row.sparkSession, path, json.dumps(stats, indent=2, ensure_ascii=False))
     return stats
 
 
@@ -85,24 +74,47 @@ def finished(spark: SparkSession, path: str, least: int, fmt: str = "json") -> b
     return getattr(reader, fmt)(path).limit(least).count() >= least
 
 
-def all_finished(spark: SparkSession, paths: list[str]) -> bool:
-    return all(exists(spark, p) for p in paths)
-
-
-def read_tree(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """Files below ``root``: path (relative), length, text (malformed bytes replaced), n_lines."""
+def list_tree(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """Files below ``root``: path (relative), length, and where each lies (``_file``). No content is read."""
     base = root.rstrip("/") + "/"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
     local = F.regexp_replace("path", r"^file:/*", "/")
+    return files.select(F.substring(local, len(base if base.startswith("/") else base.replace("file://", "")) + 1, 1 << 20).alias("path"), "length", F.col("path").alias("_file"))
+
+
+def read_tree(spark: SparkSession, root: str, glob: str = "*", keep: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Files below ``root``, in order of path: path (relative), length, text (malformed bytes replaced), n_lines.
+
+    ``keep`` tells from the path whether a file is wanted; the others' content is never opened: each wanted file is read
+    by the task that gets its place in the listing.
+    """
+    listed = list_tree(spark, root, glob)
+    wanted = listed if keep is None else listed.where(keep(F.col("path")))
+
+    def read(batches):
+        from urllib.parse import unquote, urlparse
+
+        for batch in batches:
+            data = []
+            for uri in batch.column(2).to_pylist():
+                with open(unquote(urlparse(uri).path), "rb") as f:
+                    data.append(f.read())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(data, pa.binary())], names=["path", "length", "content"])
+
+    if root.startswith("/") or root.startswith("file:"):
+        files = wanted.mapInArrow(read, "path STRING, length BIGINT, content BINARY")
+    else:  # other file systems: Spark's own reader opens the files, after the filter on their paths
+        content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
+        files = wanted.join(content.select(F.col("path").alias("_file"), "content"), "_file").drop("_file")
     text = X.decode_text(F.col("content"))
-    return files.select(F.substring(local, len(base if base.startswith("/") else base.replace("file://", "")) + 1, 1 << 20).alias("path"), "length", text.alias("text"), X.file_lines(text).alias("n_lines"))
+    return files.select("path", "length", text.alias("text"), X.file_lines(text).alias("n_lines")).orderBy("path")
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` as a stream of files; a table of one file is met in its folder."""
     path = f"{sf_dir}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    fs, p = _fs(spark, path)
+    fs, p = session._fs(spark, path)
     if fs.getFileStatus(p).isDirectory():
         return spark.readStream.schema(schema).parquet(path)
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
@@ -113,6 +125,17 @@ METRICS = T.StructType(
 )
 
 
+def write_metrics(rows: list[dict], path: str) -> None:
+    """A monitor's rows as CSV at a local ``path``: all columns of ``METRICS``, blank where a value is missing."""
+    import csv
+
+    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        out = csv.DictWriter(f, METRICS.names, restval="", extrasaction="ignore")
+        out.writeheader()
+        out.writerows({k: "" if v is None else v for k, v in r.items()} for r in rows)
+
+
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """A monitor's CSV; blank cells are null."""
     return spark.read.schema(METRICS).option("header", "true").csv(path)

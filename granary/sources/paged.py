@@ -22,20 +22,22 @@ class TooManyRequests(Exception):
     pass
 
 
+class LostPage(RuntimeError):
+    pass
+
+
 def fetch_page(get: Callable[[int, int], list], offset: int, length: int, sleep: Callable[[float], None] = time.sleep) -> list:
-    """Rows of a page; after ``ATTEMPTS`` failures none. Anything but a list counts as a failure."""
+    """Rows of a page; :class:`LostPage` after ``ATTEMPTS`` failures. Anything but a list counts as a failure."""
     for k in range(1, ATTEMPTS + 1):
         try:
             rows = get(offset, length)
             if not isinstance(rows, list):
                 raise ValueError("a page is a list of rows")
             return rows
-        except TooManyRequests:
-            if k < ATTEMPTS:
-                sleep(5.0 * k)
-        except Exception:
-            if k < ATTEMPTS:
-                sleep(2.0 * k)
+        except Exception as e:
+            if k == ATTEMPTS:
+                raise LostPage(f"rows {offset} to {offset + length} after {ATTEMPTS} attempts: {e!r}") from e
+            sleep((5.0 if isinstance(e, TooManyRequests) else 2.0) * k)
     return []
 
 
@@ -48,8 +50,9 @@ class _Page(InputPartition):
 class PagedSource(DataSource):
     """Python data source 'pages': one task per page of a module's function ``get(offset, length)``.
 
-    Options: ``module`` and ``function`` (importable on the workers), ``rows`` (how many there are).
-    Yields row_idx and the row as JSON text.
+    Options: ``module`` and ``function`` (importable on the workers), ``rows`` (how many there are), ``most`` (rows to
+    read at most, 0 for all), ``lost`` ('fail', or 'rows': a page that can't be had gives one row of its offset whose text is
+    null, so that it can be asked for again). Yields row_idx and the row as JSON text.
     """
 
     @classmethod
@@ -65,7 +68,10 @@ class PagedSource(DataSource):
 
 class _PageReader(DataSourceReader):
     def __init__(self, options) -> None:
-        self.module, self.function, self.rows = options["module"], options["function"], int(options["rows"])
+        self.module, self.function = options["module"], options["function"]
+        most = int(options.get("most", "0"))
+        self.rows = min(int(options["rows"]), most) if most else int(options["rows"])
+        self.lost = options.get("lost", "fail")
 
     def partitions(self):
         return [_Page(o, min(PAGE, self.rows - o)) for o in range(0, self.rows, PAGE)]
@@ -75,7 +81,14 @@ class _PageReader(DataSourceReader):
         import json
 
         get = getattr(importlib.import_module(self.module), self.function)
-        for k, row in enumerate(fetch_page(get, partition.offset, partition.length)):
+        try:
+            rows = fetch_page(get, partition.offset, partition.length)
+        except LostPage:
+            if self.lost != "rows":
+                raise
+            yield (partition.offset, None)
+            return
+        for k, row in enumerate(rows[: partition.length]):
             if isinstance(row, dict) and "row" in row:
                 yield (int(row.get("row_idx", partition.offset + k)), json.dumps(row["row"]))
 
@@ -96,7 +109,45 @@ def source_rows(rows: DataFrame, mapped: Callable[[DataFrame], DataFrame], order
 def uncached(addresses: DataFrame, cache: DataFrame) -> DataFrame:
     """Addresses (url) whose page isn't in ``cache`` (name, html), by the file name of the address."""
     named = addresses.withColumn("name", X.safe_filename(F.col("url")))
-    return named.join(cache.where(F.col("html").rlike("(?i)<html|<!doctype|<body|<article|<main")).select("name"), "name", "left_anti")
+    return named.join(cache.where(F.col("html").rlike(HTML_RE)).select("name"), "name", "left_anti")
+
+
+HTML_RE = r"(?i)<html|<!doctype|<body|<article|<main"
+
+
+def fetch_into(addresses: list[str], cache_dir: str, get: Callable[[str], str], sleep: Callable[[float], None] = time.sleep, pause: float = 0.5) -> tuple[int, list[str]]:
+    """Fetch the pages of ``addresses`` that a local ``cache_dir`` lacks, with a pause between them: (fetched, addresses given up).
+
+    A page is kept under the safe name of its address if it looks like HTML; one that doesn't, or fails, is given up.
+    """
+    import os
+    import re
+
+    os.makedirs(cache_dir, exist_ok=True)
+    fetched, failed = 0, []
+    for url in dict.fromkeys(addresses):
+        path = os.path.join(cache_dir, X.safe_filename_of(url) + ".html")
+        if os.path.exists(path):
+            continue
+        if fetched or failed:
+            sleep(pause)
+        try:
+            html = get(url)
+            if not re.search(HTML_RE, html):
+                raise ValueError("no HTML")
+            with open(path, "w", encoding="utf-8") as f:
+                f.write(html)
+            fetched += 1
+        except Exception:
+            failed.append(url)
+    return fetched, failed
+
+
+def http_get(url: str, timeout: float = 30.0) -> str:
+    from urllib.request import Request, urlopen
+
+    with urlopen(Request(url, headers={"User-Agent": "granary"}), timeout=timeout) as r:
+        return r.read().decode(r.headers.get_content_charset() or "utf-8", "replace")
 
 
 def cached_pages(addresses: DataFrame, cache: DataFrame) -> DataFrame:
@@ -111,3 +162,8 @@ def register(spark: SparkSession) -> None:
 def sample_page(offset: int, length: int) -> list:
     """Offline pages for tests: rows of their own number."""
     return [{"row_idx": i, "row": {"n": i}} for i in range(offset, offset + length)]
+
+
+def sample_instructions(offset: int, length: int) -> list:
+    """Offline pages of instruction rows, for tests."""
+    return [{"row_idx": i, "row": {"instruction": f"Say the number {i} in words, and nothing else", "output": f"The number is {i}, which is {i % 10} more than {i - i % 10}."}} for i in range(offset, offset + length)]

@@ -30,10 +30,13 @@ def sessions(events: DataFrame, gap: str = "1 hour", late: str = "2 hours", key:
     return e.groupBy(key, F.session_window("ts", gap).alias("s")).agg(F.count("*").alias("n_events"), F.max("ts").alias("session_end")).select(key, F.col("s.start").alias("session_start"), "session_end", "n_events")
 
 
-def arrivals_once(rows: DataFrame, text: str, time: str | None = None, within: str = "1 day") -> DataFrame:
-    """Rows of a stream whose text hasn't come before (within a time, where ``time`` is given, so state stays bounded)."""
-    marked = rows.withColumn("_d", X.digest(X.text_or_empty(F.col(text))))
-    if rows.isStreaming and time:
+def arrivals_once(rows: DataFrame, text: str, time: str, within: str = "1 day") -> DataFrame:
+    """Rows whose text hasn't come before; in a stream, hasn't come within ``within`` of event ``time``, so that state stays bounded.
+
+    Null texts count as ''. Rows of a stream without a time are kept, each as it comes.
+    """
+    marked = event_time(rows, time).withColumn("_d", X.digest(X.text_or_empty(F.col(text))))
+    if rows.isStreaming:
         return marked.withWatermark(time, within).dropDuplicatesWithinWatermark(["_d"]).drop("_d")
     return marked.dropDuplicates(["_d"]).drop("_d")
 

@@ -4,6 +4,7 @@ import hashlib
 import json
 import math
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from granary.functions import text as X
-from granary.operators import chunking, dag, dedup, infer, mix, pages, quality, records, retrieval, validate
+from granary.operators import backends, chunking, dag, dedup, infer, mix, pages, quality, records, retrieval, validate
 from granary.plans import resources
 
 
@@ -71,6 +72,13 @@ def test_first_wins_with_a_hot_key(spark):
     assert got == want
 
 
+@pytest.fixture(params=[200_000, 40])
+def few(request, monkeypatch):
+    """All rows at once in one task a group, and rounds over ranges until few remain."""
+    monkeypatch.setattr(mix, "FEW_ROWS", request.param)
+    monkeypatch.setattr(mix, "RANGE_ROWS", 20)
+
+
 def replay_fill(rows, budget):
     taken, left = [], budget
     for o, i, t in sorted(rows):
@@ -80,7 +88,7 @@ def replay_fill(rows, budget):
     return sorted(taken)
 
 
-def test_greedy_fill_equals_replay(spark):
+def test_greedy_fill_equals_replay(spark, few):
     rng = random.Random(4)
     rows = [(g, i, rng.choice([1, 5, 40, 300, 900])) for i, g in enumerate(rng.choice("ab") for _ in range(300))]
     df = spark.createDataFrame(rows, "g STRING, i BIGINT, t BIGINT")
@@ -90,51 +98,45 @@ def test_greedy_fill_equals_replay(spark):
         assert sorted(r["id"] for r in got if r["g"] == g) == replay_fill(mine, 2000)
 
 
-def test_greedy_fill_of_nothing(spark):
-    assert mix.greedy_budget(spark.createDataFrame([], "g STRING, i BIGINT, t BIGINT"), 10, "g", "i", "t").count() == 0
+def test_greedy_fill_of_odd_rows(spark, few):
+    rows = [(None, i, 7) for i in range(90)] + [("a", 100 + i, None if i % 2 else -1) for i in range(9)] + [("b", 200 + i, 10) for i in range(60)] + [("c", 300, 5000)]
+    got = mix.greedy_budget(spark.createDataFrame(rows, "g STRING, i BIGINT, t BIGINT"), 100, "g", "i", "t").collect()
+    assert {g: sum(r["t"] for r in got if r["g"] == g) for g in {r["g"] for r in got}} == {None: 98, "b": 100}
 
 
-def replay_yaml(text):
-    chunks, cur = [], []
-
-    def flush():
-        nonlocal cur
-        while len(cur) >= 200:
-            chunks.append(cur[:200])
-            cur = cur[200:]
-        if cur:
-            chunks.append(cur)
-        cur = []
-
-    import re
-
-    for line in text.splitlines():
-        s = line.rstrip()
-        if s and not s.startswith(("#", "---")) and line[:1].strip() and re.match(r"^[A-Za-z0-9_.][A-Za-z0-9_.\-]*:\s*(.*)$", s):
-            flush()
-        cur.append(line)
-    flush()
-    merged, pending = [], []
-    for c in chunks:
-        if len(c) < 3:
-            pending += c
-        else:
-            merged.append("\n".join(pending + c))
-            pending = []
-    return merged + (["\n".join(pending)] if pending else [])
+def test_greedy_fill_of_nothing(spark):
+    assert mix.greedy_budget(spark.createDataFrame([], "g STRING, i BIGINT, t BIGINT"), 10, "g", "i", "t").count() == 0
 
 
-def test_yaml_chunks_equal_replay(spark):
-    rng = random.Random(2)
-    lines = ["a: 1", "b:", "  c: 2", "# note", "---", "", "- x", "key.with-dots: v", "\tt: 1"]
-    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randint(0, 40))) + rng.choice(["", "\n", "\n\n"]) for _ in range(60)]
-    texts += ["big:\n" + "  - row\n" * 450, "", "one: line"]
-    df = spark.createDataFrame(list(enumerate(texts)), "i INT, t STRING")
+YAML_CASES = [
+    ("", []),
+    ("one: line", ["one: line"]),
+    ("a: 1\nb: 2\nc: 3\n", ["a: 1\nb: 2\nc: 3"]),
+    ("a:\n  x: 1\n  y: 2\nb: 1\nc:\n  - p\n  - q", ["a:\n  x: 1\n  y: 2", "b: 1\nc:\n  - p\n  - q"]),
+    ("a: 1\nb:\n  - p\n  - q\nz: 9", ["a: 1\nb:\n  - p\n  - q", "z: 9"]),
+    ("# note\n---\nkey.with-dots: v\n  k: 1\n  l: 2", ["# note\n---\nkey.with-dots: v\n  k: 1\n  l: 2"]),
+    ("a:\n  b: 1\n  c: 2\n---\nd:\n  e: 1\n  f: 2", ["a:\n  b: 1\n  c: 2\n---", "d:\n  e: 1\n  f: 2"]),
+    ("\tt: 1\n x: 2\nplain", ["\tt: 1\n x: 2\nplain"]),
+    ("a: 1\r\nb:\r\n  c: 1\r\n  d: 2\r\n", ["a: 1\nb:\n  c: 1\n  d: 2"]),
+    ("\n\n", ["\n"]),
+    ("big:\n" + "  - row\n" * 450, ["big:" + "\n  - row" * 199, "\n".join(["  - row"] * 200), "\n".join(["  - row"] * 51)]),
+    ("big:\n" + "  - row\n" * 200 + "k: 1\n", ["big:" + "\n  - row" * 199, "  - row\nk: 1"]),
+]
+
+
+def test_yaml_chunks(spark):
+    df = spark.createDataFrame([(i, t, "x") for i, (t, _) in enumerate(YAML_CASES)] + [(99, None, "x")], "i INT, t STRING, text STRING")
     got = {}
     for r in chunking.yaml_chunks(df, "i", "t").orderBy("i", "chunk").collect():
         got.setdefault(r["i"], []).append(r["text"])
-    for i, t in enumerate(texts):
-        assert got.get(i, []) == replay_yaml(t), repr(t)
+        assert r["n_lines"] == r["text"].count("\n") + 1 and r["chunk"] == len(got[r["i"]]) - 1
+    for i, (_, want) in enumerate(YAML_CASES):
+        assert got.get(i, []) == want, i
+
+
+def test_yaml_chunks_of_repeated_ids(spark):
+    df = spark.createDataFrame([(1, "a:\n  b: 1\n  c: 2"), (1, "x:\n  y: 1\n  z: 2")], "i INT, t STRING")
+    assert sorted(r["text"] for r in chunking.yaml_chunks(df, "i", "t").collect()) == ["a:\n  b: 1\n  c: 2", "x:\n  y: 1\n  z: 2"]
 
 
 @settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
@@ -201,16 +203,16 @@ def test_mapping_drops_blank_rows(spark):
 
 def test_source_spans():
     py = "import os\n\n@deco\ndef f(a):\n    x = 1\n    return x\n\nclass A:\n    def g(self):\n        a = 1\n        return a\n"
-    assert chunking.python_spans(py) == [("decorated", 3, 6), ("func", 4, 6), ("class", 8, 11), ("func", 9, 11)]
+    assert [x[:3] for x in chunking.python_spans(py)] == [("decorated", 3, 6), ("func", 4, 6), ("class", 8, 11), ("func", 9, 11)]
     assert chunking.python_spans("def (") == []
     c = '#define X {\nstatic int f(int a)\n{\n  char *s = "}";\n  /* } */ return a;\n}\nstruct p {\n  int a;\n};\nint g(void);\n'
-    assert chunking.c_spans(c) == [("func", 2, 6), ("decl", 7, 9), ("decl", 10, 10)]
+    assert [x[:3] for x in chunking.c_spans(c)] == [("func", 2, 6), ("decl", 7, 9), ("decl", 10, 10)]
     js = "class A {\n  m(x) {\n    return `}`;\n  }\n}\nfunction f() {\n  g((y) => {\n    h(y);\n  });\n}\n"
-    assert chunking.javascript_spans(js) == [("class", 1, 5), ("method", 2, 4), ("func", 6, 10), ("arrow", 7, 9)]
+    assert [x[:3] for x in chunking.javascript_spans(js)] == [("class", 1, 5), ("method", 2, 4), ("func", 6, 10), ("arrow", 7, 9)]
     css = ".a {\n  color: red;\n}\n@media (x) {\n  .b {\n    top: 0;\n  }\n}\n@font-face { a: b }\n"
-    assert chunking.css_spans(css) == [("rule", 1, 3), ("media", 4, 8), ("rule", 5, 7)]
+    assert [x[:3] for x in chunking.css_spans(css)] == [("rule", 1, 3), ("media", 4, 8), ("rule", 5, 7)]
     html = "<main>\n<p>x\n<section>\n<b>y</b>\n</section>\n</main>\n<nav>"
-    assert chunking.html_spans(html) == [("semantic", 1, 6), ("semantic", 3, 5)]
+    assert [x[:3] for x in chunking.html_spans(html)] == [("semantic", 1, 6), ("semantic", 3, 5)]
 
 
 def test_source_chunks_bounds(spark):
@@ -339,6 +341,135 @@ def test_stats_and_budget(spark):
     assert mix.mean_tokens(df).first()[0] == 55 and mix.mean_tokens(df.limit(0)).first()[0] == 0
 
 
+def test_sampler_is_reproducible():
+    b = backends.NgramBackend()
+    r = lambda p, **k: {"prompt": p, "max_tokens": 40, "temperature": 0.9, "top_p": 0.95, "stop": [], "seed": 3} | k
+    one, two, none = b.complete([r("alpha"), r("beta"), r("")])
+    assert b.complete([r("beta")]) == [two] and one != two and none is None
+    assert len(backends.pieces(one)) <= 41 and b.complete([r("alpha", seed=4)]) != [one]
+    assert b.complete([r("x", temperature=0.0), r("x", temperature=0.0, seed=9)])[0] == b.complete([r("x", temperature=0.0)])[0]
+    assert "".join(backends.pieces("a  b, c_d\n e'f  ")) == "a  b, c_d\n e'f  "
+
+
+def test_prompts_are_fitted_by_tokens():
+    text = " ".join(f"w{i}" for i in range(1000))
+    fitted = infer.fit_prompt(text, 200, 84, backends.pieces)
+    assert len(backends.pieces(fitted)) == 100 and text.endswith(fitted)
+    assert infer.fit_prompt("short", 200, 84, backends.pieces) == "short"
+
+
+def test_a_server_completes():
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            if "FAIL" in body["prompt"]:
+                self.send_error(500)
+                return
+            out = json.dumps({"choices": [{"text": f"{body['prompt']}:{body['max_tokens']}"}]}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(out)
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    b = backends.HttpBackend(f"http://127.0.0.1:{server.server_port}/")
+    r = lambda p: {"prompt": p, "max_tokens": 5, "temperature": 0.1, "top_p": 0.9, "stop": []}
+    assert b.complete([r("a"), r("FAIL"), r("b")]) == ["a:5", None, "b:5"]
+    server.shutdown()
+
+
+def test_three_prompts_in_one_batch(spark):
+    jobs = spark.createDataFrame([(i, f"Say what {n} does.", 20, 0.2, None, ["\n"]) for i, n in enumerate(("add", "sub", "mul"))], records.JOB).coalesce(1)
+    got = infer.run_completions(jobs, backends.NgramBackend, infer.WorkerSpec("cpu", "cpu0", n_parallel=3)).orderBy("_idx").collect()
+    assert [r["_idx"] for r in got] == [0, 1, 2] and all(r["_text"] and "\n" not in r["_text"] and r["_len"] == len(r["_text"]) for r in got)
+
+
+def test_a_process_builds_its_backend_once(spark):
+    class Counted(backends.EchoBackend):
+        def __init__(self):
+            import os
+            import uuid
+
+            self.name = f"{os.getpid()}-{uuid.uuid4().hex}"
+
+    jobs = spark.range(40).select(F.col("id").alias("_idx"), F.lit("p").alias("prompt"), F.lit(5).alias("max_tokens"), F.lit(0.1).alias("temperature"), F.lit(None).cast("double").alias("top_p"), F.lit(None).cast("array<string>").alias("stop"))
+    workers = [r["_worker"] for r in infer.run_completions(jobs, Counted, partitions=20).collect()]
+    assert len(set(workers)) == len({w.split("-")[0] for w in workers})
+
+
+def test_runs_resume_from_log_and_output(spark, tmp_path):
+    jobs = spark.createDataFrame([(i, f"p{i}", 4, 0.1, None, []) for i in range(6)], records.JOB)
+    old = lambda i, t, w="old": (i, 4, 0.1, None, w, t, len(t or ""))
+    spark.createDataFrame([old(0, "from log"), old(1, "log too"), old(9, "no job"), old(-1, "no job"), old(5, "x", "lost")], infer.RESULT).write.parquet(str(tmp_path / "partial"))
+    spark.createDataFrame([old(1, "from output"), old(2, None)], infer.RESULT).write.parquet(str(tmp_path / "results"))
+    stats = infer.run_to_folder(spark, jobs, str(tmp_path))
+    got = {r["_idx"]: r["_text"] for r in spark.read.parquet(str(tmp_path / "results")).collect()}
+    assert sorted(got) == list(range(6)) and got[0] == "from log" and got[1] == "from output" and got[2] is None and got[5].startswith("Write code")
+    assert stats["jobs"] == 6 and stats["resumed"] == 3 and stats["failed"] == 1 and not (tmp_path / "partial").exists()
+    again = infer.run_to_folder(spark, jobs, str(tmp_path))
+    assert again["resumed"] == 6 and again["plan"][0]["kind"] == "cpu"
+
+
+def test_expansion_goes_on_until_its_target(spark):
+    args = (spark, ["p1", "p2"], ["c", "css"], {"p1": "hint"})
+    echo = infer.expand_in_rounds(*args, 100).collect()  # the same answers again: it stops after a round without progress
+    assert len(echo) == 4
+    sampled = infer.expand_in_rounds(*args, 11, backends.NgramBackend).collect()
+    assert len(sampled) == 11 and len({r["good"] for r in sampled}) == 11 and max(r["pos"] for r in sampled) >= 8
+    known = spark.createDataFrame([(r["good"],) for r in echo[:2]], "good STRING")
+    assert len(infer.expand_in_rounds(*args, 100, known=known).collect()) == 2
+
+
+def test_mixes_of_workers_are_compared(spark, tmp_path):
+    jobs = spark.createDataFrame([(i, f"p{i}", 4, 0.1, None, []) for i in range(4)], records.JOB)
+    got = resources.compare_mixes(spark, jobs, {"one": infer.WorkerSpec("cpu", "a"), "two": infer.WorkerSpec("cpu", "b", n_threads=2)}, str(tmp_path), backends.EchoBackend)
+    assert {r["name"] for r in got} == {"one", "two"} and all(r["jobs"] == 4 and r["ok_pct"] == 100.0 for r in got)
+
+
+def test_contexts_and_states(spark):
+    pieces = [("q", "node", 0, 400), ("q", "summaries", 0, 300), ("q", "summaries", 1, 300), ("q", "summaries", 2, 300), ("q", "brief", 0, 200), ("q", "topology", 0, 100), ("q", "odd", 0, 50)]
+    df = spark.createDataFrame(pieces, "query_id STRING, section STRING, age INT, tokens INT")
+    got = {(r["section"], r["age"]): r["cut"] for r in dag.compiled_context(df).collect()}
+    assert got == {("node", 0): 350, ("summaries", 0): 300, ("summaries", 1): 300, ("summaries", 2): 50, ("brief", 0): 200, ("topology", 0): 100}
+    tight = {(r["section"], r["age"]) for r in dag.compiled_context(df, 1100).collect()}
+    assert tight == {("node", 0), ("topology", 0), ("brief", 0)}
+    assert sum(dag.SECTIONS.values()) + 442 == dag.CONTEXT_TOKENS and len(dag.EVENT_TYPES) == 22 and len(dag.METRICS) == 15
+    ev = [(1, "q", "N01", "node.ready", "a"), (2, "q", "N01", "node.attempt.start", "b"), (3, "q", "N01", "sandbox.exit", "c"), (4, "q", "N02", "sandbox.start", "a"), (5, "q", "N02", "nope", "b")]
+    events = spark.createDataFrame(ev, "event_id BIGINT, query_id STRING, node_id STRING, event_type STRING, created_at STRING")
+    assert {r["node_id"]: (r["status"], r["attempt"]) for r in dag.node_states(events).collect()} == {"N01": ("RUNNING", 1), "N02": ("PENDING", 0)}
+    assert [tuple(r) for r in dag.unknown_events(events).collect()] == [("nope", 1)]
+    assert {*dag.TRANSITIONS} <= {*dag.EVENT_TYPES} and {*dag.TRANSITIONS.values()} <= {*dag.STATES}
+
+
+def test_sentences(spark):
+    text = "Alpha beta. Gamma alpha! Delta?\n\n  \nEpsilon zeta eta"
+    df = spark.createDataFrame([(1, text), (2, "alpha alpha"), (3, None), (4, "  ")], "doc_id BIGINT, text STRING")
+    got = [tuple(r)[:3] for r in retrieval.top_sentences(df, 2).orderBy("id", "place").collect()]
+    assert [r for r in got if r[0] == 2] == [(2, 0, "alpha alpha")] and len([r for r in got if r[0] == 1]) == 2 and {r[0] for r in got} == {1, 2}
+
+
+def test_sentences_beyond_the_broadcast_bound(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"the w{i % 5} of w{i}. And the w{i % 3}.") for i in range(60)], "doc_id BIGINT, text STRING")
+    whole = sorted(map(tuple, retrieval.top_sentences(df).collect()))
+    monkeypatch.setattr(retrieval, "BROADCAST_TERMS", 0)
+    assert sorted(map(tuple, retrieval.top_sentences(df).collect())) == whole
+
+
+def test_the_report_carries_no_text(spark):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "200")
+    rows = spark.createDataFrame([(1, "a", "Write a thing", "o" * 50)], "pos BIGINT, layer STRING, instruction STRING, output STRING").repartition(2)
+    plan = quality.drop_report(quality.waterfall(rows))._jdf.queryExecution().optimizedPlan().toString()
+    met = next(x for x in plan[plan.index("Join") :].split("\n") if "Project [" in x)
+    assert "_said#" in met and not re.search(r"(?:\[|, )(?:instruction|output)#\d+L?(?:,|\])", met)
+
+
 def test_alignment_expansion(spark):
     combos = mix.combinations(spark, ["p1", "p2"], ["c", "css"], 10)
     got = infer.expand_alignment(combos, {"p1": "hint"}, target=3).collect()
