@@ -39,7 +39,6 @@ ASKED = {
 }
 _ASK = {k: re.compile(rf"\b(?:in|en|auf|into|to|al|vers)\s+(?:{v})\b|\b(?:{v})\s+(?:sentences?|requests?|words?|text|answers?|task|description)\b", re.I) for k, v in ASKED.items()}
 
-_FENCED = re.compile(r"```.*?(?:```|\Z)", re.S)
 _TICKED = re.compile(r"`[^`\n]*`")
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"`[^`\n]*`|\w+|[^\w\s]")
@@ -50,27 +49,31 @@ _FINAL = re.compile(r"[.!?…。:;)\]}>][\"'”’*`_)\]]*$")
 
 
 def prose(text: str) -> str:
-    """``text`` without code blocks and inline code."""
-    return _TICKED.sub(" ", _FENCED.sub(" ", text)) if "`" in text else text
+    """``text`` without code blocks and inline code; a block that isn't closed reaches to the end."""
+    if "`" not in text:
+        return text
+    text = " ".join(text.split("```")[::2])
+    return _TICKED.sub(" ", text) if "`" in text else text
 
 
-_NAME = re.compile(r"(?<!\S)\S*(?:[_\d/\\@=<>{}]|\w\.\w)\S*")
+_PLAIN = re.compile(r"(?<!\S)[^\s_\d/\\@=<>{}]++(?!\S)")
+_DOTTED = re.compile(r"\w\.\w")
 
 
 def plain(text: str) -> list[str]:
     """Words of prose in lower case, without names, numbers and paths."""
-    return _WORD.findall(_NAME.sub(" ", text).lower())
+    kept = [t for t in _PLAIN.findall(text) if "." not in t or not _DOTTED.search(t)]
+    return _WORD.findall(" ".join(kept).lower())
 
 
-_CODE_LINE = re.compile(r"\s+\S|[<.@#/*})\]]|.*[;{}>]\s*$|\s*(?:async |static |export )*(?:def|class|function|return|import|from|const|let|var|struct)\b.*[(:={;]")
+_CODE_LINES = re.compile(r"^(?:[^\S\n]+\S|[<.@#/*})\]]|.*[;{}>][^\S\n]*$|[^\S\n]*(?:async |static |export )*(?:def|class|function|return|import|from|const|let|var|struct)\b.*[(:={;]).*\n?", re.M)
 
 
 def asking(question: str) -> str:
     """The prose of a question: without code blocks, and without lines that look like code outside of them."""
     text = prose(question)
-    lines = text.split("\n")
-    kept = [x for x in lines if not _CODE_LINE.match(x)]
-    return "\n".join(kept) if any(x.strip() for x in kept) else text
+    kept = _CODE_LINES.sub("", text)
+    return text if kept.isspace() or not kept else kept
 
 
 class LanguageModel:
@@ -197,7 +200,7 @@ class EndingModel:
 
 def sentences(text: str):
     """Token lists of the complete sentences and list items of ``text``; the last one only if a mark ends it."""
-    lines = [x for x in _FENCED.sub("\n", text).split("\n") if x.strip()]
+    lines = [x for x in "\n".join(text.split("```")[::2]).split("\n") if x.strip()]
     for k, line in enumerate(lines):
         item = _BULLET.match(line)
         parts = _SENTENCE_END.split(line[item.end() :] if item else line)
