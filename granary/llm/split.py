@@ -102,12 +102,12 @@ def with_limits(items: DataFrame, limits: DataFrame, key: str = "language") -> D
     return joined.withColumn("max_chars", pick("_max", star and star["max_chars"])).withColumn("overlap_chars", pick("_overlap", star and star["overlap_chars"])).drop("_key", "_max", "_overlap", "_own")
 
 
-def split_oversized(items: DataFrame, limits: DataFrame, id_col: str = "chunk_id", text_col: str = "code", key: str = "language") -> DataFrame:
+def split_oversized(items: DataFrame, limits: DataFrame, id_col: str = "chunk_id", text_col: str = "code", key: str = "language", texts: bool = True) -> DataFrame:
     """Pieces of every text longer than its limit.
 
     Columns: ``id_col``, piece_no (from 0), start_char, end_char (code points; end exclusive),
     boundary (see :func:`cuts`), longest_line, cut_kind ('forced' if the text has a run of more than
-    the limit without a line feed, else 'natural'), piece. Null, empty and short texts and rows
+    the limit without a line feed, else 'natural'), piece (null unless ``texts``). Null, empty and short texts and rows
     without a limit give no row; a repeated row gives its pieces again. No shuffle: texts within their
     limit never leave the scan.
     """
@@ -120,7 +120,7 @@ def split_oversized(items: DataFrame, limits: DataFrame, id_col: str = "chunk_id
             for rid, t, most, over in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 longest = max(map(len, t.split("\n")))
                 for k, (a, b, kind) in enumerate(cuts(t, most, over)):
-                    for column, v in zip(out, (rid, k, a, b, kind, longest, "forced" if longest > most else "natural", t[a:b])):
+                    for column, v in zip(out, (rid, k, a, b, kind, longest, "forced" if longest > most else "natural", t[a:b] if texts else None)):
                         column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.field(0).type), pa.array(out[1], pa.int32()), *(pa.array(c, pa.int64()) for c in out[2:4]), pa.array(out[4], pa.string()), pa.array(out[5], pa.int64()), *(pa.array(c, pa.string()) for c in out[6:])], names=[id_col, "piece_no", "start_char", "end_char", "boundary", "longest_line", "cut_kind", "piece"])
 
@@ -133,7 +133,8 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p3_pieces(spark, sf_dir).where("piece_no = 0").select("chunk_id", "cut_kind")
+    pieces = split_oversized(table(spark, sf_dir, "code_chunks_raw"), table(spark, sf_dir, "chunk_limits"), texts=False)
+    return pieces.where("piece_no = 0").select("chunk_id", "cut_kind")
 
 
 P3_FOUND_SQL = """
