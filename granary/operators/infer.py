@@ -87,6 +87,14 @@ def complete_with_retries(backend, requests: list[dict], attempts: int, n_parall
     return texts
 
 
+def requests(jobs: DataFrame, spec: WorkerSpec) -> DataFrame:
+    """What is asked for each job (_idx, prompt, max_tokens, temperature, top_p, stop): its own settings, else the spec's.
+
+    ``top_p`` and ``stop`` stay as the job has them, null included, because results repeat them; the spec's hold when asking.
+    """
+    return jobs.select("_idx", "prompt", F.coalesce("max_tokens", F.lit(spec.max_tokens)).alias("max_tokens"), F.coalesce("temperature", F.lit(spec.temperature)).alias("temperature"), "top_p", "stop")
+
+
 def run_completions(jobs: DataFrame, backend: Callable[[], object] = EchoBackend, spec: WorkerSpec | None = None, done: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
     """Results (``RESULT``) of the jobs that ``done`` lacks.
 
@@ -96,8 +104,7 @@ def run_completions(jobs: DataFrame, backend: Callable[[], object] = EchoBackend
     spec = spec or WorkerSpec("cpu", "cpu0")
     packed = cloudpickle.dumps(backend)
     key = hashlib.sha256(packed).hexdigest()
-    todo = pending(jobs, done) if done is not None else jobs
-    todo = todo.select("_idx", "prompt", F.coalesce("max_tokens", F.lit(spec.max_tokens)).alias("max_tokens"), F.coalesce("temperature", F.lit(spec.temperature)).alias("temperature"), "top_p", "stop")
+    todo = requests(pending(jobs, done) if done is not None else jobs, spec)
     if partitions:
         todo = todo.repartition(partitions, "_idx")
 
@@ -106,16 +113,16 @@ def run_completions(jobs: DataFrame, backend: Callable[[], object] = EchoBackend
         name = getattr(worker, "name", spec.name)
         context, tokens = getattr(worker, "context", spec.ctx_per_seq), getattr(worker, "tokens", None)
         for batch in batches:
-            requests = batch.to_pylist()
-            for r in requests:
+            asked = batch.to_pylist()
+            for r in asked:
                 r["prompt"] = r["prompt"] or ""
                 if context is not None:
                     r["prompt"] = fit_prompt(r["prompt"], context, r["max_tokens"], tokens)
                 r["stop"] = r["stop"] or spec.stop
                 r["seed"] = spec.seed + (r["_idx"] or 0)
                 r["top_p"] = spec.top_p if r["top_p"] is None else r["top_p"]
-            texts = complete_with_retries(worker, requests, spec.attempts, max(1, spec.n_parallel))
-            texts = [t if t is None else cut_at_stop(t, r["stop"]) for t, r in zip(texts, requests)]
+            texts = complete_with_retries(worker, asked, spec.attempts, max(1, spec.n_parallel))
+            texts = [t if t is None else cut_at_stop(t, r["stop"]) for t, r in zip(texts, asked)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), batch.column(3), batch.column(4), pa.array([name] * len(texts), pa.string()), pa.array(texts, pa.string()), pa.array([len(t or "") for t in texts], pa.int64())],
                 names=["_idx", "max_tokens", "temperature", "top_p", "_worker", "_text", "_len"],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from granary.functions import text as X
 from granary.operators.dedup import mark_first
@@ -47,6 +48,11 @@ def drop_report(judged: DataFrame) -> DataFrame:
     return judged.groupBy("layer", "reason").agg(F.count("*").alias("n"), F.sum("token_count").alias("tokens"))
 
 
+def ranked_report(report: DataFrame) -> DataFrame:
+    """A drop report with the ``rank`` of each reason within its layer, the most frequent first."""
+    return report.withColumn("rank", F.row_number().over(Window.partitionBy("layer").orderBy(F.desc("n"), "reason")))  # over one row a reason
+
+
 def echo_overlap(instruction: Column, code: Column) -> tuple[Column, Column]:
     """(words in common, different words) of the first 20 words of the code and those of the instruction."""
     head = F.array_distinct(F.slice(X.words(F.lower(code)), 1, ECHO_WORDS))

@@ -71,6 +71,11 @@ def _(spark, d):
     return quality.waterfall(_pairs(spark, d)).select("pos", "layer", "token_count", "reason")
 
 
+@query("q_reasons_by_count", f"WITH {JUDGED}, r AS (SELECT layer, reason, count(*) AS n, sum(token_count)::BIGINT AS tokens FROM judged GROUP BY ALL) SELECT *, row_number() OVER (PARTITION BY layer ORDER BY n DESC, reason)::INT AS rank FROM r")
+def _(spark, d):
+    return quality.ranked_report(quality.drop_report(quality.waterfall(_pairs(spark, d))))
+
+
 @query("q_token_count", "SELECT doc_id, greatest(1, length(coalesce(text, '')) // 4)::BIGINT AS token_count FROM documents")
 def _(spark, d):
     return table(spark, d, "documents").select("doc_id", X.token_estimate(X.text_or_empty(F.col("text"))).alias("token_count"))
@@ -376,6 +381,18 @@ def _(spark, d):
     return rows.where(quality.config_file_ok(F.col("path"), F.col("n"), [".yaml", ".yml"])).select("doc_id")
 
 
+@query("q_squeeze", f"""SELECT doc_id, {_strip(f"regexp_replace(coalesce(text, ''), '{SPACE}+', ' ', 'g')")} AS text FROM documents""")
+def _(spark, d):
+    return table(spark, d, "documents").select("doc_id", X.squeeze(X.text_or_empty(F.col("text"))).alias("text"))
+
+
+@query("q_decode", "SELECT doc_id, text || chr(65533) || '!' AS text FROM documents WHERE text IS NOT NULL")
+def _(spark, d):
+    """Texts as bytes with a malformed one before the end, decoded."""
+    content = F.concat(F.col("text").cast("binary"), F.unhex(F.lit("FF21")))
+    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", X.decode_text(content).alias("text"))
+
+
 @query("q_duration", "WITH s AS (SELECT result_id, greatest(coalesce(_len, 0), 0) * 37 AS s FROM job_results) SELECT result_id, CASE WHEN s >= 3600 THEN (s // 3600)::VARCHAR || 'h ' || lpad((s % 3600 // 60)::VARCHAR, 2, '0') || 'm' WHEN s >= 60 THEN (s // 60)::VARCHAR || 'm ' || lpad((s % 60)::VARCHAR, 2, '0') || 's' ELSE s::VARCHAR || 's' END AS eta FROM s")
 def _(spark, d):
     return table(spark, d, "job_results").select("result_id", X.duration(F.coalesce("_len", F.lit(0)) * 37).alias("eta"))
@@ -497,6 +514,20 @@ def _(spark, d):
     return infer.run_completions(table(spark, d, "jobs"), done=table(spark, d, "job_results").where("_len > 0"))
 
 
+@query("q_requests", "SELECT _idx, prompt, coalesce(max_tokens, 128)::INT AS max_tokens, coalesce(temperature, 0.7)::DOUBLE AS temperature, top_p, stop FROM jobs")
+def _(spark, d):
+    return infer.requests(table(spark, d, "jobs"), infer.WorkerSpec("cpu", "cpu0"))
+
+
+@query("q_completion_stream", f"WITH {_COMPLETED} SELECT * FROM done")
+def _(spark, d):
+    """Jobs that come as files, completed batch by batch into folders of their own."""
+    jobs, out = table(spark, d, "jobs"), fresh_path(spark, "stream")
+    jobs.write.parquet(f"{out}/jobs")
+    streams.resumable_results(spark, f"{out}/jobs", jobs.schema, f"{out}/results", f"{out}/checkpoint", infer.run_completions).awaitTermination()
+    return spark.read.parquet(f"{out}/results").drop("batch")
+
+
 @query("q_completion_run", f"WITH {_COMPLETED} SELECT * FROM done ORDER BY _idx")
 def _(spark, d):
     """A run that is interrupted halfway and goes on: its output, in the order of the jobs."""
@@ -543,6 +574,18 @@ def _(spark, d):
     return infer.expand_alignment(mix.combinations(spark, list(seeds.PRINCIPLES), list(seeds.LANGUAGES), 200), seeds.PRINCIPLES)
 
 
+@query("q_alignment_target", f"WITH {_EXPANDED} SELECT * FROM x ORDER BY md5('42:' || pos), pos LIMIT 12")
+def _(spark, d):
+    return infer.expand_alignment(mix.combinations(spark, list(seeds.PRINCIPLES), list(seeds.LANGUAGES), 200), seeds.PRINCIPLES, target=12)
+
+
+@query("q_alignment_layer", f"WITH {_EXPANDED} SELECT 'seed' AS source, {len(seeds._ALIGNMENT)}::BIGINT AS n UNION ALL SELECT 'expansion', count(DISTINCT good) FROM x")
+def _(spark, d):
+    made = infer.expand_alignment(mix.combinations(spark, list(seeds.PRINCIPLES), list(seeds.LANGUAGES), 200), seeds.PRINCIPLES)
+    both = mix.union_layers(seeds.alignment_seeds(spark), made.select(*records.seed_record(F.col("language"), F.col("principle"), F.col("bad"), F.col("principle"), F.col("good"), "expansion")))
+    return both.groupBy("metadata.source").agg(F.count("*").alias("n"))
+
+
 @query("q_alignment_rounds", f"WITH {_EXPANDED} SELECT * FROM x WHERE good NOT IN (SELECT text FROM documents WHERE text IS NOT NULL) ORDER BY pos LIMIT 20")
 def _(spark, d):
     known = table(spark, d, "documents").where("text IS NOT NULL").select(F.col("text").alias("good"))
@@ -609,6 +652,53 @@ def _(spark, d):
     return files.read_jsonl(spark, path, docs.schema)
 
 
+@query("q_jsonl_append", "SELECT doc_id, text FROM documents")
+def _(spark, d):
+    docs, path = table(spark, d, "documents").select("doc_id", "text"), fresh_path(spark, "append")
+    files.write_jsonl(docs.where("doc_id % 2 = 0"), path)
+    files.write_jsonl(docs.where("doc_id % 2 <> 0"), path, "append")
+    return files.read_jsonl(spark, path, docs.schema)
+
+
+@query("q_blank_lines", "SELECT doc_id FROM documents")
+def _(spark, d):
+    docs, path = table(spark, d, "documents").select("doc_id"), fresh_path(spark, "blank")
+    docs.select(F.explode(F.array(F.to_json(F.struct("doc_id")), F.lit(""))).alias("value")).write.text(path)
+    return files.read_jsonl(spark, path, docs.schema)
+
+
+@query("q_bad_lines", "SELECT '{bad ' || doc_id AS line FROM documents WHERE doc_id % 10 = 3")
+def _(spark, d):
+    path = fresh_path(spark, "bad")
+    line = F.when(F.pmod("doc_id", F.lit(10)) == 3, F.concat(F.lit("{bad "), "doc_id")).otherwise(F.to_json(F.struct("doc_id", "text")))
+    table(spark, d, "documents").select(line.alias("value")).write.text(path)
+    return files.bad_lines(spark, path).select("line")
+
+
+@query("q_metrics_csv", "SELECT coalesce(round_even(avg(CASE WHEN event_type = 'click' THEN value END), 1), 0) AS avg_gpu, coalesce(round_even(avg(value), 1), 0) AS avg_cpu FROM events")
+def _(spark, d):
+    """A monitor's CSV, blank where there is no GPU, read back."""
+    path = fresh_path(spark, "metrics")
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in files.METRICS}
+    rows = blank | {"t": F.col("event_id").cast("double"), "cpu_pct": F.col("value"), "gpu_util_pct": F.when(F.col("event_type") == "click", F.col("value"))}
+    table(spark, d, "events").select(*(c.alias(k) for k, c in rows.items())).write.option("header", "true").csv(path)
+    return files.metric_averages(files.read_metrics(spark, path))
+
+
+@query("q_pipeline", f"""WITH {PAIRS}, placed AS (SELECT layer, instruction, output, row_number() OVER (ORDER BY sha256(layer || chr(31) || instruction || chr(31) || output)) AS pos FROM pairs WHERE layer IN ('code', 'doc', 'alignment', 'devops')),
+sized AS (SELECT *, greatest(1, length(instruction || ' ' || output) // 4) AS token_count FROM placed), ranked AS (SELECT *, row_number() OVER (PARTITION BY layer, sha256(output), token_count BETWEEN 8 AND 2048 ORDER BY pos) AS rn FROM sized)
+SELECT layer, instruction, output, token_count FROM ranked WHERE token_count BETWEEN 8 AND 2048 AND rn = 1 AND length(instruction) >= 5 AND strlen(instruction) = length(instruction)""")
+def _(spark, d):
+    """Layers as files through the phases filter, mix and validate: the set they end in."""
+    from granary.plans import pipeline
+
+    data, rows = fresh_path(spark, "data"), _pairs(spark, d)
+    for layer in mix.LAYERS:
+        files.write_jsonl(rows.where(F.col("layer") == layer).select(*records.record(F.col("instruction"), F.col("output"), layer=layer)), f"{data}/layers/{layer}")
+    pipeline.run_phases(spark, ["filter", "mix", "validate"], data, pipeline.parse(["--data", data]))
+    return files.read_jsonl(spark, f"{data}/train").select("metadata.layer", "instruction", "output", "token_count")
+
+
 @query("q_layer_files", f"WITH {SIZED} SELECT pos, token_count FROM sized WHERE layer = 'devops'")
 def _(spark, d):
     path = fresh_path(spark, "layers")
@@ -624,6 +714,12 @@ def _(spark, d):
     return spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "max_value")
 
 
+@query("q_stream_progress", "SELECT count(*) AS n FROM events")
+def _(spark, d):
+    batches = streams.drain(streams.tumbling(files.stream_table(spark, d, "events")), fresh_path(spark, "windows"), fresh_path(spark, "progress"))
+    return spark.createDataFrame(batches, "batch BIGINT, n BIGINT").agg(F.sum("n").alias("n"))
+
+
 @query("q_stream_once", "SELECT sha256(coalesce(content, '')) AS digest FROM train WHERE added_at IS NOT NULL GROUP BY 1")
 def _(spark, d):
     out = fresh_path(spark, "once")

@@ -179,7 +179,7 @@ def phase_filter(spark: SparkSession, data: str, options) -> None:
     order = F.struct("_k", X.digest(F.concat_ws("\x1f", "layer", "instruction", "output")).alias("d"))
     judged = quality.waterfall(infer.numbered(whole.withColumn("_o", order), "_o").drop("_o", "_k"))
     files.write_layers(judged.where(F.col("reason") == quality.KEPT), f"{data}/filtered")
-    for r in quality.drop_report(judged).orderBy("layer", F.desc("n")).collect():
+    for r in quality.ranked_report(quality.drop_report(judged)).orderBy("layer", "rank").collect():
         log.info("%s %s: %d rows, %d tokens", r["layer"], r["reason"], r["n"], r["tokens"])
 
 
@@ -199,8 +199,7 @@ def phase_validate(spark: SparkSession, data: str, options) -> bool:
 PHASES: dict[str, Callable] = {"clone": phase_clone, "chunk": phase_chunk, "instruct": phase_instruct, "docs": phase_docs, "hub": phase_hub, "align": phase_align, "align-code": phase_align_code, "devops": phase_devops, "filter": phase_filter, "mix": phase_mix, "validate": phase_validate}
 
 
-def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    """Run phases in the order given; 1 for an unknown one. A failed validation is logged and doesn't change the code."""
+def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="granary")
     p.add_argument("--data", required=True)
     p.add_argument("--phase", default="all")
@@ -213,7 +212,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--align", type=int, default=0, help="refactoring pairs to ask for besides the seeds")
     p.add_argument("--hub", action="append", metavar="LAYER=MODULE:FUNCTION:ROWS", help="a paged source of instruction rows")
     p.add_argument("--monitor", help="CSV file for this machine's load while the phases run")
-    options = p.parse_args(argv)
+    return p.parse_args(argv)
+
+
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
+    """Run phases in the order given; 1 for an unknown one. A failed validation is logged and doesn't change the code."""
+    options = parse(argv)
     names = [x for x in PHASES if x != "align-code"] if options.phase == "all" else [x.strip() for x in options.phase.split(",") if x.strip()]
     unknown = [x for x in names if x not in PHASES]
     if unknown:
@@ -222,13 +226,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName("granary").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     data = options.data.rstrip("/")
     with resources.Monitor(path=options.monitor) if options.monitor else contextlib.nullcontext():
-        _run(spark, names, data, options)
+        run_phases(spark, names, data, options)
     session.clean(spark)
     return 0
 
 
-def _run(spark: SparkSession, names: list[str], data: str, options) -> None:
+def run_phases(spark: SparkSession, names: list[str], data: str, options) -> None:
     for x in names:
+        if options.resume and x == "filter" and files.all_finished(spark, [f"{data}/filtered/layer={layer}" for layer in mix.LAYERS]):
+            log.info("all filtered layers are there already")
+            continue
         if options.resume and x in LEAST and files.finished(spark, f"{data}/{LEAST[x][0]}", LEAST[x][1]):
             log.info("%s is there already", x)
             continue

@@ -74,6 +74,11 @@ def finished(spark: SparkSession, path: str, least: int, fmt: str = "json") -> b
     return getattr(reader, fmt)(path).limit(least).count() >= least
 
 
+def all_finished(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether all outputs of a phase are there; of none, it isn't finished."""
+    return bool(paths) and all(exists(spark, p) for p in paths)
+
+
 def list_tree(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Files below ``root``: path (relative), length, and where each lies (``_file``). No content is read."""
     base = root.rstrip("/") + "/"

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from granary.functions import text as X
 
+log = logging.getLogger("granary")
+
 
 def event_time(events: DataFrame, column: str = "ts") -> DataFrame:
     """The same with ``column`` as a timestamp with zone (watermarks need one)."""
@@ -54,9 +58,19 @@ def resumable_results(spark: SparkSession, jobs_dir: str, jobs_schema, out_dir:
     return jobs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def drain(stream: DataFrame, out_dir: str, checkpoint: str, mode: str = "append") -> None:
-    """Write all that a stream has now as Parquet and return when it is done."""
-    stream.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
+def drain(stream: DataFrame, out_dir: str, checkpoint: str, mode: str = "append") -> list[tuple[int, int]]:
+    """Write all that a stream has now as Parquet and return when it is done: (batch, rows in) of each batch.
+
+    While it runs, :class:`Progress` logs each batch.
+    """
+    seen = Progress()
+    stream.sparkSession.streams.addListener(seen)
+    try:
+        query = stream.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        stream.sparkSession.streams.removeListener(seen)
+    return sorted({(int(p["batchId"]), int(p["numInputRows"])) for p in query.recentProgress})
 
 
 class Progress(StreamingQueryListener):
@@ -71,6 +85,7 @@ class Progress(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         self.batches.append((str(p.id), int(p.numInputRows), float(p.processedRowsPerSecond)))
+        log.info("batch %d: %d rows, %.1f a second", p.batchId, p.numInputRows, p.processedRowsPerSecond)
 
     def onQueryTerminated(self, event) -> None:
         pass
