@@ -18,9 +18,8 @@ from granary.llm.sampling import hash_sample
 from granary.llm.shingles import portions
 from granary.session import materialize, table
 
-FIT_ROWS = 400  # tokenized rows per language that the regression is fitted on, chosen by a hash of the id
-HOLDOUT_ROWS = 400  # further rows per language that correct its bias
-TEST_ROWS = 400  # and further ones that only measure its error
+SAMPLE_ROWS = 1200  # tokenized rows per language, chosen by a hash of the id; every third one only measures the error
+RIDGES = (1e-4, 1e-3, 1e-2, 1e-1)  # how strongly a language is held to the regression of all; what predicts best is taken
 LEAST_ROWS = 40  # a language with fewer rows to fit on has no regression of its own
 SHARED = "(all)"  # name of the regression that other languages share
 BROADCAST_SLICES = 200_000  # slices (repo, language) that are broadcast to their chunks, about 100 bytes each
@@ -73,41 +72,53 @@ def language_name(language: Column) -> Column:
     return F.when(low.isNull() | (low == ""), "unknown").otherwise(F.coalesce(F.try_element_at(table_, low), low))
 
 
+def ridge(x: np.ndarray, y: np.ndarray, strength: float, towards: np.ndarray | None = None) -> np.ndarray:
+    """Weights of least squares, errors of long texts counting less than in proportion, held near ``towards`` (or 0)."""
+    weight = 1 / np.sqrt(np.maximum(y, 16))
+    scale = np.maximum(x.max(axis=0, initial=0), 1)
+    a = x / scale * weight[:, None]
+    start = np.zeros(x.shape[1]) if towards is None else towards
+    return start + np.linalg.solve(a.T @ a + strength * np.eye(a.shape[1]), a.T @ ((y - x @ start) * weight)) / scale
+
+
 class TokenModel:
     """Ridge regressions by language, ``SHARED`` for all others, each with the correction of its bias.
 
-    ``sample``: (language, rank in its language from 1, tokens, features). Ranks to ``FIT_ROWS`` fit, the next
-    ``HOLDOUT_ROWS`` correct, the rest measure: ``errors`` has, by language, tested rows, their tokens, the
-    estimate, and the sum of the rows' absolute errors.
+    ``sample``: (language, rank in its language from 1, tokens, features). Two thirds of a language's rows are two halves:
+    each is predicted by a regression on the other, which tells how strongly to hold the language to the shared
+    regression, and the bias to correct; the final one is fitted on both. The last third only measures: ``errors``
+    has, by language, its rows, their tokens, the estimate, and the sum of the rows' absolute errors.
     """
 
     def __init__(self, sample: list[tuple[str, int, int, list[float]]]) -> None:
         self.weights: dict[str, np.ndarray] = {}
         self.errors: dict[str, tuple[int, int, int, int]] = {}
-        groups: dict[str, list] = {SHARED: sample}
-        for row in sample:
-            groups.setdefault(row[0], []).append(row)
-        for language, rows in groups.items():
-            fit = [r for r in rows if r[1] <= FIT_ROWS]
-            if language != SHARED and len(fit) < LEAST_ROWS:
-                continue
-            x, y = np.array([r[3] for r in fit], float), np.array([r[2] for r in fit], float)
-            if not len(x):
-                x, y = np.zeros((1, len(FEATURES))), np.zeros(1)
-            weight = 1 / np.sqrt(np.maximum(y, 16))  # errors of long texts count less than in proportion
-            scale = np.maximum(x.max(axis=0), 1)
-            a = x / scale * weight[:, None]
-            beta = np.linalg.solve(a.T @ a + 1e-4 * np.eye(a.shape[1]), a.T @ (y * weight)) / scale
-            held = [r for r in rows if FIT_ROWS < r[1] <= FIT_ROWS + HOLDOUT_ROWS] or rows
-            guess = np.maximum(np.array([r[3] for r in held], float).reshape(-1, len(FEATURES)) @ beta, 0)
-            true = float(sum(r[2] for r in held))
-            self.weights[language] = beta * (true / guess.sum() if guess.sum() > 0 and true > 0 else 1.0)
-        for language, rows in groups.items():
-            tested = [r for r in rows if r[1] > FIT_ROWS + HOLDOUT_ROWS]
-            if language != SHARED and tested:
-                guess = self.estimate([language] * len(tested), np.array([r[3] for r in tested], float))
-                true_n = np.array([r[2] for r in tested])
-                self.errors[language] = (len(tested), int(true_n.sum()), int(guess.sum()), int(np.abs(guess - true_n).sum()))
+        rank = np.array([r[1] for r in sample], int) % 3
+        y = np.array([r[2] for r in sample], float)
+        x = np.array([r[3] for r in sample], float).reshape(-1, len(FEATURES))
+        language = np.array([r[0] for r in sample], object)
+        halves = rank != 0
+        self._fit(SHARED, x[halves], y[halves], rank[halves], None, RIDGES[:1])
+        start = self.weights[SHARED]
+        for name in sorted(set(language)):
+            mine = halves & (language == name)
+            if mine.sum() >= LEAST_ROWS:
+                self._fit(name, x[mine], y[mine], rank[mine], start, RIDGES)
+            tested = (language == name) & ~halves
+            if tested.any():
+                guess = self.estimate([name] * int(tested.sum()), x[tested])
+                self.errors[name] = (int(tested.sum()), int(y[tested].sum()), int(guess.sum()), int(np.abs(guess - y[tested]).sum()))
+
+    def _fit(self, name: str, x: np.ndarray, y: np.ndarray, rank: np.ndarray, towards: np.ndarray | None, strengths: tuple[float, ...]) -> None:
+        best = None
+        for strength in strengths:
+            held = np.zeros(len(y))
+            for half in (1, 2):
+                held[rank == half] = np.maximum(x[rank == half] @ ridge(x[rank != half], y[rank != half], strength, towards), 0)
+            error = np.abs(held - y).sum()
+            if best is None or error < best[0]:
+                best = error, strength, y.sum() / held.sum() if held.sum() > 0 and y.sum() > 0 else 1.0
+        self.weights[name] = ridge(x, y, best[1], towards) * best[2]
 
     def name(self, language: str) -> str:
         return language if language in self.weights else SHARED
@@ -119,13 +130,13 @@ class TokenModel:
 
 
 def fit(items: DataFrame, id_col: str, text_col: str, tokenizer: str | None = None) -> TokenModel:
-    """Fit on at most ``FIT_ROWS`` + ``HOLDOUT_ROWS`` + ``TEST_ROWS`` rows a language of ``items`` (with column ``_language``).
+    """Fit on at most ``SAMPLE_ROWS`` rows a language of ``items`` (with column ``_language``).
 
     Two reads: one counts the languages, the other passes on the sample, whole texts with it.
     """
     path = tokenizer or bpe.ranks_path()
     light = items.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), "_language", F.col(text_col).alias("_text"))
-    chosen = hash_sample(light, "_id", FIT_ROWS + HOLDOUT_ROWS + TEST_ROWS, "_language").select("_language", "_k", "_text")
+    chosen = hash_sample(light, "_id", SAMPLE_ROWS, "_language").select("_language", "_k", "_text")
 
     def tokenize(batches):
         coder = bpe.Encoder(bpe.load_ranks(path))

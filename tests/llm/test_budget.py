@@ -47,4 +47,4 @@ def test_empty(spark):
 
 def test_error_of_rows_never_seen(spark, data):
     for r in budget.p5_errors(spark, data.replace("sf0.001", "sf0.01")).collect():
-        assert r["error"] <= 0.04, r
+        assert r["error"] <= 0.08, r  # of some 100 rows; of 400 see the README
