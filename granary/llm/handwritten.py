@@ -241,14 +241,27 @@ def repo_name(repo: Column) -> Column:
     return F.when(last != "", last)
 
 
+def own_name(repo: Column, path: Column) -> Column:
+    """The repository that a file belongs to: as ``repo`` names it, else the first folder of its path."""
+    return F.coalesce(repo, F.lower(F.element_at(F.split(path, "/"), 1)))
+
+
+def vendored_folders(path: Column) -> Column:
+    """Names of the folders of ``path`` that lie in a folder for vendored projects."""
+    parts = F.split(F.lower(path), "/")
+    inner = F.greatest(F.size(parts) - 2, F.lit(0))
+    inside = F.filter(F.arrays_zip(F.slice(parts, 1, inner).alias("dir"), F.slice(parts, 2, inner).alias("sub")), lambda x: x["dir"].isin(*VENDOR_DIRS))
+    return F.filter(F.transform(inside, lambda x: x["sub"]), lambda s: s.isNotNull())
+
+
 def copied_files(chunks: DataFrame, files: DataFrame) -> DataFrame:
     """Paths in vendored folders of which another repository has ``COPIED_SHARE`` of the code outside of such folders.
 
     Code is met by its hash, each hash once a file and once for all that have it, so no group of copies grows.
     """
-    placed = chunks.where(F.col("chars") >= COPIED_CHARS).join(files.select("path", "own", "vendor_folder"), "path")
-    theirs = placed.where(~F.col("vendor_folder")).groupBy("same").agg(F.min("own").alias("first"), F.max("own").alias("last"))
-    mine = placed.where("vendor_folder").groupBy("path", "own", "same").agg(F.sum("chars").alias("chars"))
+    placed = chunks.where(F.col("chars") >= COPIED_CHARS).select("path", "same", "chars", own_name(F.col("repo"), F.col("path")).alias("own"), (F.size(vendored_folders(F.col("path"))) > 0).alias("inside"))
+    theirs = placed.where("NOT inside").groupBy("same").agg(F.min("own").alias("first"), F.max("own").alias("last"))
+    mine = placed.where("inside").groupBy("path", "same").agg(F.sum("chars").alias("chars"), F.min("own").alias("own"))
     met = mine.join(theirs, "same").where((F.col("first") != F.col("own")) | (F.col("last") != F.col("own"))).groupBy("path").agg(F.sum("chars").alias("copied"), F.count("*").alias("n"))
     return met.join(files.select("path", F.col("chars").alias("whole")), "path").where((F.col("copied") >= COPIED_SHARE * F.col("whole")) & (F.col("n") >= COPIED_CHUNKS)).select("path", F.lit(True).alias("copied"))
 
@@ -269,11 +282,8 @@ def file_verdicts(chunks: DataFrame, repos: DataFrame | None = None, path_col: s
     """
     e = materialize(chunk_evidence(chunks, path_col, code_col, repo_col), "evidence")
     together = lambda c: F.array_distinct(F.flatten(F.collect_set(c))).alias(c)
-    parts = F.split(F.lower("path"), "/")
-    inner = F.greatest(F.size(parts) - 2, F.lit(0))
-    inside = F.transform(F.filter(F.arrays_zip(F.slice(parts, 1, inner).alias("dir"), F.slice(parts, 2, inner).alias("sub")), lambda x: x["dir"].isin(*VENDOR_DIRS)), lambda x: x["sub"])
     files = e.groupBy("path").agg(F.min("repo").alias("repo"), F.max("notice").alias("notice"), together("owners"), together("named"), *(F.sum(c).alias(c) for c in COUNTS))
-    files = files.withColumn("own", F.coalesce("repo", F.lower(F.element_at(F.split("path", "/"), 1)))).withColumn("subs", F.filter(inside, lambda s: s.isNotNull())).withColumn("vendor_folder", F.size("subs") > 0)
+    files = files.withColumn("own", own_name(F.col("repo"), F.col("path"))).withColumn("subs", vendored_folders(F.col("path")))
     files = materialize(files, "files")
     known = files.select(F.explode("owners").alias("name"))
     if repos is not None:
