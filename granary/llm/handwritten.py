@@ -66,6 +66,7 @@ MINIFIED_PATH = r"(?i)[.-]min\.[a-z0-9]+$"
 LOCK_PATH = r"(?i)(^|/)([^/]+\.lock|package-lock\.json|npm-shrinkwrap\.json|pnpm-lock\.yaml|packages\.lock\.json|conda-lock\.yml|gradle\.lockfile|deno\.lock|\.terraform\.lock\.hcl|package\.resolved|cartfile\.resolved|go\.sum)$"
 #: Folders that hold other projects, each in a folder of its name.
 VENDOR_DIRS = ("third_party", "third-party", "thirdparty", "3rdparty", "vendor", "vendors", "vendored", "bundled", "extern", "external", "externals", "deps", "ext", "node_modules", "bower_components", "jspm_packages", "pods", "carthage")
+VENDOR_PATH = rf"(?:^|/)(?:{'|'.join(VENDOR_DIRS)})/[^/]*/"  # such a folder, a project's folder in it, and a file below that
 #: What may follow a project's name in a folder's: a version, or a short mark after '_'.
 FOLDER_SUFFIX = r"([-_.@]v?\d[\w.+-]*|_[0-9a-z]{1,4})$"
 
@@ -216,7 +217,7 @@ def measure(texts: list[str]) -> np.ndarray:
 
 
 def chunk_evidence(chunks: DataFrame, path_col: str, code_col: str, repo_col: str) -> DataFrame:
-    """Per chunk: its file, its repository's name, what its header says, the counts of its code and a hash of its tokens."""
+    """Per chunk: its file, its repository's name, what its header says, the counts of its code and a hash of it (line ends made equal)."""
 
     def run(batches):
         for batch in batches:
@@ -231,7 +232,7 @@ def chunk_evidence(chunks: DataFrame, path_col: str, code_col: str, repo_col: st
 
     name = repo_name(F.col(repo_col))
     code = F.col(code_col)
-    few = chunks.select(F.col(path_col).alias("path"), code.alias("code"), name.alias("repo"), F.xxhash64(F.regexp_replace(code, r"\s+", "")).alias("same")).where(F.col("path").isNotNull())
+    few = chunks.select(F.col(path_col).alias("path"), code.alias("code"), name.alias("repo"), F.xxhash64(F.trim(F.replace(code, F.lit("\r"), F.lit("")))).alias("same")).where(F.col("path").isNotNull())
     return few.mapInArrow(run, "path STRING, repo STRING, notice BOOLEAN, owners ARRAY<STRING>, named ARRAY<STRING>, " + ", ".join(f"{c} BIGINT" for c in COUNTS) + ", same BIGINT")
 
 
@@ -259,7 +260,8 @@ def copied_files(chunks: DataFrame, files: DataFrame) -> DataFrame:
 
     Code is met by its hash, each hash once a file and once for all that have it, so no group of copies grows.
     """
-    placed = chunks.where(F.col("chars") >= COPIED_CHARS).select("path", "same", "chars", own_name(F.col("repo"), F.col("path")).alias("own"), (F.size(vendored_folders(F.col("path"))) > 0).alias("inside"))
+    inside = F.lower("path").rlike(VENDOR_PATH)
+    placed = chunks.where(F.col("chars") >= COPIED_CHARS).select("path", "same", "chars", F.xxhash64(own_name(F.col("repo"), F.col("path"))).alias("own"), inside.alias("inside"))
     theirs = placed.where("NOT inside").groupBy("same").agg(F.min("own").alias("first"), F.max("own").alias("last"))
     mine = placed.where("inside").groupBy("path", "same").agg(F.sum("chars").alias("chars"), F.min("own").alias("own"))
     met = mine.join(theirs, "same").where((F.col("first") != F.col("own")) | (F.col("last") != F.col("own"))).groupBy("path").agg(F.sum("chars").alias("copied"), F.count("*").alias("n"))
