@@ -8,6 +8,8 @@ the models are applied to every pair.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import math
 import re
 from collections import Counter, defaultdict
@@ -140,6 +142,7 @@ class LanguageModel:
         return None
 
 
+@functools.lru_cache(maxsize=1 << 16)
 def kind(token: str) -> str:
     """A token as the ending model sees it: names and numbers as classes of their own."""
     if token[0] == "`":
@@ -164,14 +167,17 @@ class EndingModel:
         seen: Counter = Counter()
         ends: Counter = Counter()
         words: Counter = Counter()
+        star = itertools.repeat("*")
         for text in texts:
             for tokens in sentences(text):
-                for i in range(1, len(tokens) + 1):
-                    for chain in contexts(tokens[max(0, i - 4) : i]):
-                        seen.update(chain)
-                        if i == len(tokens):
-                            ends.update(chain)
-                words.update(map(kind, tokens))
+                d = [kind(t) for t in tokens]
+                before = ["", "", "", *d]  # the words before each, as contexts() pads them
+                x, y, z = before, before[1:], before[2:]
+                for grams in (zip(d), zip(z, d), zip(y, z, d), zip(x, y, z, d), zip(z[: len(d)], star), zip(y[: len(d)], z, star), zip(x[: len(d)], y, z, star)):
+                    seen.update(grams)
+                for chain in contexts(tokens):
+                    ends.update(chain)
+                words.update(d)
         self.prior = (sum(ends.values()) + 1) / (sum(seen.values()) + 10)
         self.table = {c: (ends.get(c, 0), n) for c, n in seen.items() if n > 1}
         self.words = {w for w, n in words.items() if n > 2}
