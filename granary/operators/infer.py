@@ -160,11 +160,11 @@ def merged_results(partial: DataFrame, final: DataFrame, total: int) -> DataFram
     return first.select(*(F.col("_idx") if c == "_idx" else F.col(f"r.{c}") for c in final.columns)).orderBy("_idx")
 
 
-def run_to_folder(spark: SparkSession, jobs: DataFrame, folder: str, backend: Callable[[], object] = EchoBackend, spec: WorkerSpec | None = None, partitions: int | None = None) -> dict:
+def run_to_folder(spark: SparkSession, jobs: DataFrame, folder: str, backend: Callable[[], object] = EchoBackend, spec: WorkerSpec | None = None, partitions: int | None = None, plan: list[WorkerSpec] | None = None) -> dict:
     """Complete ``jobs`` (``_idx`` from 0 on) into ``folder``: results in order of ``_idx``, and plan.json with the run's figures.
 
     New results go to a log (``partial``) first. A run that was interrupted goes on from its log and its output: only jobs
-    that neither has are completed. Returns the figures.
+    that neither has are completed. ``plan``: the workers to report, where there is more than ``spec``. Returns the figures.
     """
     spec = spec or WorkerSpec("cpu", "cpu0")
     log, out = f"{folder}/partial", f"{folder}/results"
@@ -177,7 +177,7 @@ def run_to_folder(spark: SparkSession, jobs: DataFrame, folder: str, backend: Ca
     whole = materialize(merged_results(old(log), old(out), total), "results")
     whole.orderBy("_idx").write.mode("overwrite").parquet(out)
     stats = run_stats(jobs, whole, round(time.time() - began, 3), known).first().asDict()
-    stats |= {"workers": {r["_worker"]: r["n"] for r in whole.groupBy("_worker").agg(F.count("*").alias("n")).collect()}, "plan": [spec.as_dict()]}
+    stats |= {"workers": {r["_worker"]: r["n"] for r in whole.groupBy("_worker").agg(F.count("*").alias("n")).collect()}, "plan": [w.as_dict() for w in plan or [spec]]}
     remove(spark, log)
     discard(whole)
     write_text(spark, f"{folder}/plan.json", json.dumps(stats, indent=2, default=str))

@@ -167,6 +167,21 @@ def compare_mixes(spark, jobs, mixes: dict[str, WorkerSpec], folder: str, backen
     return sorted(rows, key=lambda r: -r["jobs_per_s"])
 
 
+def run_planned(spark, jobs, folder: str, backend, model_path: str = "", machine: Resources | None = None, sample: int = 60) -> dict:
+    """Look at the machine, choose among its plans by the rate of the first ``sample`` jobs, and run all jobs by the best one.
+
+    A worker of the plan is a partition that runs at a time. Without a plan (no memory, no threads) one worker runs.
+    """
+    first = jobs.where(jobs["_idx"] < sample)
+
+    def rate(plan: list[WorkerSpec]) -> float:
+        name = "-".join(w.name for w in plan)
+        return float(run_to_folder(spark, first, f"{folder}/calibration/{name}", backend, plan[0], len(plan))["jobs_per_s"])
+
+    plan = calibrate(machine or probe(), model_path, rate, bool(first.limit(1).count())) or [WorkerSpec("cpu", "cpu0")]
+    return run_to_folder(spark, jobs, folder, backend, plan[0], len(plan), plan)
+
+
 if __name__ == "__main__":
     import json
     from dataclasses import asdict

@@ -433,6 +433,26 @@ def test_mixes_of_workers_are_compared(spark, tmp_path):
     assert {r["name"] for r in got} == {"one", "two"} and all(r["jobs"] == 4 and r["ok_pct"] == 100.0 for r in got)
 
 
+def test_a_planned_run(spark, tmp_path):
+    jobs = spark.createDataFrame([(i, f"p{i}", 4, 0.1, None, []) for i in range(5)], records.JOB)
+    machine = resources.Resources(resources.Cpu(8, 4), resources.Ram(16_000, 12_000))
+    stats = resources.run_planned(spark, jobs, str(tmp_path), backends.EchoBackend, machine=machine, sample=2)
+    assert stats["jobs"] == stats["ok"] == 5 and 1 <= len(stats["plan"]) <= 2 and (tmp_path / "plan.json").exists()
+    none = resources.run_planned(spark, jobs.limit(0), str(tmp_path / "none"), backends.EchoBackend, machine=resources.Resources())
+    assert none["jobs"] == 0 and len(none["plan"]) == 1
+
+
+def test_empty_tables(spark):
+    none = lambda schema: spark.createDataFrame([], schema)
+    assert retrieval.top_sentences(none("doc_id BIGINT, text STRING")).count() == 0
+    assert infer.merged_results(none(infer.RESULT), none(infer.RESULT), 5).count() == 0
+    assert dag.compiled_context(none("query_id STRING, section STRING, age INT, tokens INT")).count() == 0
+    assert dag.node_states(none("event_id BIGINT, query_id STRING, node_id STRING, event_type STRING, created_at STRING")).count() == 0
+    assert validate.enough_files(none("repo STRING, path STRING")).count() == 0
+    assert chunking.yaml_chunks(none("i INT, t STRING"), "i", "t").count() == 0
+    assert quality.ranked_report(none("layer STRING, reason STRING, n BIGINT, tokens BIGINT")).count() == 0
+
+
 def test_contexts_and_states(spark):
     pieces = [("q", "node", 0, 400), ("q", "summaries", 0, 300), ("q", "summaries", 1, 300), ("q", "summaries", 2, 300), ("q", "brief", 0, 200), ("q", "topology", 0, 100), ("q", "odd", 0, 50)]
     df = spark.createDataFrame(pieces, "query_id STRING, section STRING, age INT, tokens INT")
