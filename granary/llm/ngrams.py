@@ -44,6 +44,24 @@ class NgramModel:
         out._settle()
         return out
 
+    @classmethod
+    def counted(cls, three: dict[tuple[str, str, str], int]) -> NgramModel:
+        """The model of sentences whose trigrams, begun by "<" twice, are counted."""
+        out = cls()
+        out.three.update(three)
+        for (_, b, c), n in three.items():
+            out.two[b, c] += n
+            out.one[c] += n
+        out._settle()
+        return out
+
+    def less(self, part: NgramModel) -> NgramModel:
+        """The model of all sentences but those of ``part``."""
+        out = NgramModel()
+        out.one, out.two, out.three = self.one - part.one, self.two - part.two, self.three - part.three
+        out._settle()
+        return out
+
     def surprisal(self, a: str, b: str, c: str) -> float:
         """Bits of word c after words a, b."""
         p = (self.one.get(c, 0) + self.kinds / (self.kinds + UNSEEN)) / (self.total + self.kinds)

@@ -2,14 +2,13 @@
 
 Languages come from a naive Bayes model of character n-grams, fitted on labelled documents; whether a
 text breaks off comes from an interpolated n-gram model of how sentences end, and whether it declines from
-n-gram models of refusals and answers, both fitted on answers. Samples are bounded and chosen by a hash of the id;
-the models are applied to every pair.
+n-gram models of refusals and answers, both fitted on answers. All are fitted on every labelled document and every
+answer, by counts that tasks make and Spark adds up, and applied to every pair.
 """
 
 from __future__ import annotations
 
 import functools
-import itertools
 import math
 import re
 from collections import Counter, defaultdict
@@ -20,12 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.llm.counts import collected, tally
 from granary.llm.refusals import RefusalModel
-from granary.llm.sampling import hash_sample
-from granary.session import table
+from granary.session import discard, materialize, table
 
-LANGUAGE_SAMPLE = 300  # documents per language that the language model is fitted on
-ANSWER_SAMPLE = 10_000  # answers that the models of sentence ends and of refusals are fitted on
+LANGUAGE_DOCS = 5  # documents that a language must have to be known
 GRAM = 4  # longest character n-gram
 LEAST_LETTERS = 25  # prose of fewer letters is never called another language
 LANGUAGE_MARGIN = 3.0  # log posterior odds by which another language must win
@@ -86,9 +84,35 @@ class LanguageModel:
     def __init__(self, labelled) -> None:
         counts: dict[str, Counter] = defaultdict(Counter)
         for lang, text in labelled:
-            for w, n in Counter(plain(prose(text))).items():
-                for g in self.grams(w):
-                    counts[lang][g] += n
+            self.count(text, counts[lang])
+        self._settle(counts)
+
+    @classmethod
+    def of(cls, labelled: DataFrame) -> LanguageModel:
+        """The model of every row of ``labelled`` (lang, of two letters, and text)."""
+
+        def add(counters, langs, texts):
+            counts: dict[str, Counter] = defaultdict(Counter)
+            for lang, text in zip(langs, texts):
+                counts[lang].update(plain(prose(text)))
+            for lang, words in counts.items():
+                for w, n in words.items():
+                    for g in cls.grams(w):
+                        counters[0][lang + g] += n
+
+        self = cls.__new__(cls)
+        found: dict[str, Counter] = defaultdict(Counter)
+        for key, n in collected(tally(labelled.select("lang", "text"), add)):
+            found[key[:2]][key[2:]] = n
+        self._settle(found)
+        return self
+
+    def count(self, text: str, counts: Counter) -> None:
+        for w, n in Counter(plain(prose(text))).items():
+            for g in self.grams(w):
+                counts[g] += n
+
+    def _settle(self, counts: dict[str, Counter]) -> None:
         self.languages = sorted(counts)
         vocabulary = set().union(*counts.values()) if counts else set()
         totals = {x: sum(c.values()) + 0.5 * len(vocabulary) + 1 for x, c in counts.items()}
@@ -164,23 +188,46 @@ class EndingModel:
     """How likely a text is complete where it ends, by interpolating n-gram contexts of growing length."""
 
     def __init__(self, texts) -> None:
-        seen: Counter = Counter()
-        ends: Counter = Counter()
-        words: Counter = Counter()
-        star = itertools.repeat("*")
+        seen, ends = Counter(), Counter()
+        self.count((seen, ends), texts)
+        seen, ends = self.spread(seen), self.spread(ends)
+        self._settle(((c, n, ends.get(c, 0)) for c, n in seen.items()), sum(seen.values()), sum(ends.values()))
+
+    @classmethod
+    def of(cls, answers: DataFrame) -> EndingModel:
+        """The model of every row of ``answers`` (text). Contexts met once don't leave the executors."""
+        self = cls.__new__(cls)
+        sums = materialize(tally(answers.select("text"), cls.count, 2, " ".join, cls.spread), "endings")
+        seen, ends = sums.agg(F.sum("n0"), F.sum("n1")).first()
+        self._settle(((tuple(k.split(" ")), n, e) for k, n, e in collected(sums.where("n0 > 1"))), seen or 0, ends or 0)
+        discard(sums)
+        return self
+
+    @staticmethod
+    def count(counters, texts) -> None:
+        """Add to ``counters`` how often four words (empty before a sentence) of ``texts`` are seen, and how often at an end."""
+        seen, ends = counters
         for text in texts:
             for tokens in sentences(text):
                 d = [kind(t) for t in tokens]
-                before = ["", "", "", *d]  # the words before each, as contexts() pads them
-                x, y, z = before, before[1:], before[2:]
-                for grams in (zip(d), zip(z, d), zip(y, z, d), zip(x, y, z, d), zip(z[: len(d)], star), zip(y[: len(d)], z, star), zip(x[: len(d)], y, z, star)):
-                    seen.update(grams)
-                for chain in contexts(tokens):
-                    ends.update(chain)
-                words.update(d)
-        self.prior = (sum(ends.values()) + 1) / (sum(seen.values()) + 10)
-        self.table = {c: (ends.get(c, 0), n) for c, n in seen.items() if n > 1}
-        self.words = {w for w, n in words.items() if n > 2}
+                x = ["", "", "", *d]
+                seen.update(zip(x, x[1:], x[2:], d))
+                ends[tuple(x[-4:])] += 1
+
+    @staticmethod
+    def spread(fours: Counter) -> Counter:
+        """All contexts (:func:`contexts`) within four words, with their counts."""
+        out: Counter = Counter()
+        for (x, y, z, d), n in fours.items():
+            for c in ((d,), (z, d), (y, z, d), (x, y, z, d), (z, "*"), (y, z, "*"), (x, y, z, "*")):
+                out[c] += n
+        return out
+
+    def _settle(self, rows, seen: int, ends: int) -> None:
+        """From (context, seen, at an end) of the contexts and both sums over all."""
+        self.prior = (ends + 1) / (seen + 10)
+        self.table = {c: (e, n) for c, n, e in rows if n > 1}
+        self.words = {c[0] for c, (_, n) in self.table.items() if len(c) == 1 and n > 2}
 
     def likelihood(self, tokens: list[str]) -> float:
         """The lower of two estimates: from the last words, and from the words before the last.
@@ -300,27 +347,27 @@ def defect(question: str | None, answer: str | None, models: Models, asked_in: s
 
 
 def fit(documents: DataFrame, answers: DataFrame) -> Models:
-    """Models from ``documents`` (doc_id, text, lang) and ``answers`` (id, text).
+    """Models from ``documents`` (text, lang) and ``answers`` (text), fitted on every row of both.
 
-    Of documents, at most ``LANGUAGE_SAMPLE`` a language, of answers ``ANSWER_SAMPLE``, in the order of a
-    hash of the id. Labels are brought to two letters; a language of fewer than five documents is left out.
+    Labels are brought to two letters; a language of fewer than ``LANGUAGE_DOCS`` documents is left out. What comes to the driver
+    are counts of n-grams, so it grows with their variety, not with the texts.
     """
     lang = F.regexp_extract(F.lower(F.trim("lang")), r"^([a-z]{2})(?:[-_].*)?$", 1)
-    labelled = documents.select("doc_id", "text", lang.alias("lang")).where("lang <> '' AND char_length(text) BETWEEN 200 AND 20000")
-    rows = hash_sample(labelled, "doc_id", LANGUAGE_SAMPLE, "lang").select("lang", "text").collect()
-    many = Counter(r["lang"] for r in rows)
-    languages = LanguageModel((r["lang"], r["text"]) for r in sorted(rows) if many[r["lang"]] >= 5)
-    texts = [r["text"] for r in hash_sample(answers.where("text IS NOT NULL AND char_length(text) BETWEEN 20 AND 20000"), "id", ANSWER_SAMPLE).orderBy("id", "text").collect()]
-    return Models(languages, EndingModel(texts), RefusalModel(map(prose, texts)))
+    labelled = documents.select(lang.alias("lang"), "text").where("lang <> '' AND text IS NOT NULL")
+    known = [r["lang"] for r in labelled.groupBy("lang").count().where(F.col("count") >= LANGUAGE_DOCS).collect()]
+    texts = answers.select("text").where("text IS NOT NULL")
+    return Models(LanguageModel.of(labelled.where(F.col("lang").isin(known))), EndingModel.of(texts), RefusalModel.of(texts, prose))
 
 
 def judge(pairs: DataFrame, models: Models) -> DataFrame:
     """``src``, ``answer_id``, ``defect`` and its ``evidence`` of the defective rows of ``pairs`` (src, answer_id, question, answer).
 
-    A null question counts as empty. No shuffle.
+    A null question counts as empty. No shuffle. A worker reads the models once, however many tasks it runs.
     """
+    shared = pairs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
+        models = shared.value
         for batch in batches:
             src, ids, q, a = (batch.column(i) for i in range(4))
             found = [judged(x, y, models) for x, y in zip(q.to_pylist(), a.to_pylist())]

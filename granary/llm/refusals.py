@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from granary.llm.counts import collected, tally, trigram_model
 from granary.llm.ngrams import NgramModel, NgramModels
+from granary.session import discard, materialize
 
-ROUNDS = 3  # of labelling the sample anew by the models fitted on it
+ROUNDS = 3  # of labelling the answers anew by the models fitted on it
 CLAUSE_PRIOR = 4.0  # bits by which a clause speaks for an answer before it is read
 LEAST, MOST = -6.0, 10.0  # bits that one clause can speak for an answer and for a refusal
 TELLING = 6  # times as often a word must stand in refusals for a text with it to be read at all
@@ -51,39 +58,81 @@ def clauses(text: str) -> list[list[str]]:
     return out
 
 
+def _every(text) -> bool:
+    return True
+
+
 class RefusalModel:
-    """Fitted on ``REFUSALS``, ``ANSWERS`` and a sample of answers that it labels itself.
+    """Fitted on ``REFUSALS``, ``ANSWERS`` and answers that it labels itself.
 
-    Answers with a run of three words that only ``REFUSALS`` have are left aside at first; then the models label the
-    whole sample, and are fitted anew, ``ROUNDS`` times. Words met fewer than ``KNOWN`` times are one word.
+    Answers with a run of three words that only ``REFUSALS`` have are left aside at first; then the models label all
+    answers, and are fitted anew, ``ROUNDS`` times. Words met fewer than ``KNOWN`` times are one word.
     """
 
     def __init__(self, texts) -> None:
-        sample = [c for c in map(clauses, texts) if c]
+        cut = [c for c in map(clauses, texts) if c]
+        self._know(Counter(w for text in cut for c in text for w in c))
+        read = [[*map(self._read, text)] for text in cut]
+        self._label(lambda picked: NgramModel(c for t in read if picked(t) for c in t))
+
+    @classmethod
+    def of(cls, answers: DataFrame, prose: Callable[[str], str]) -> RefusalModel:
+        """The model fitted on every row of ``answers`` (text): what tasks count is added up, no text comes to the driver."""
+
+        def cut(batches):
+            for batch in batches:
+                texts = [clauses(prose(t)) if t else [] for t in batch.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(["\n".join(map(" ".join, t)) for t in texts if t], pa.string())], names=["clauses"])
+
+        def words(counters, column):
+            for t in column:
+                counters[0].update(t.split())
+
+        self = cls.__new__(cls)
+        rows = materialize(answers.select("text").mapInArrow(cut, "clauses STRING"), "clauses")
+        seen = tally(rows, words)
+        own = {w for c in (*clauses(REFUSALS), *clauses(ANSWERS)) for w in c}
+        self._know(Counter(dict(collected(seen.where((F.col("n0") >= KNOWN) | F.col("key").isin(*own))))))
+
+        def total(picked):
+            def sentences(t):
+                read = [self._read(c.split(" ")) for c in t.split("\n")]
+                return read if picked(read) else ()
+
+            return trigram_model(rows, sentences)
+
+        self._label(total)
+        discard(rows)
+        return self
+
+    def _know(self, seen: Counter) -> None:
         yes, no = clauses(REFUSALS), clauses(ANSWERS)
-        seen = Counter(w for text in sample for c in text for w in c)
         seen.update(w for c in (*yes, *no) for w in c)
         own = {w for c in yes for w in c}
         self.known = {w for w, n in seen.items() if n >= KNOWN or w in own}
-        yes, no = [*map(self._read, yes)], [*map(self._read, no)]
-        sample = [[*map(self._read, text)] for text in sample]
-        runs = lambda cs: {r for c in cs for r in zip(c, c[1:], c[2:])}
-        telling = runs(yes) - runs(no)
-        self._fit(yes, no, [(t, None if runs(t) & telling else False) for t in sample])
-        for _ in range(ROUNDS):
-            self._fit(yes, no, [(t, self._tells(t) and self._bits(t) > 0) for t in sample])
 
     def _read(self, words: list[str]) -> list[str]:
         return [w if w in self.known else "?" for w in words]
 
-    def _fit(self, yes, no, labelled) -> None:
-        yes = yes + [c for t, refusal in labelled if refusal for c in t]
-        no = no + [c for t, refusal in labelled if refusal is False for c in t]
-        self.models = NgramModels([NgramModel(no), NgramModel(yes)])
-        a, r = self.models.models
+    def _label(self, total: Callable) -> None:
+        """Fit the models; ``total`` gives the counts over the answers that a condition picks."""
+        yes, no = ([*map(self._read, clauses(x))] for x in (REFUSALS, ANSWERS))
+        runs = lambda cs: {r for c in cs for r in zip(c, c[1:], c[2:])}
+        telling = runs(yes) - runs(no)
+        whole, yes, no = total(_every), NgramModel(yes), NgramModel(no)
+        self._fit(NgramModel.of([no, whole.less(total(lambda t: not telling.isdisjoint(runs(t))))]), yes)
+        for _ in range(ROUNDS):
+            found = total(self._refuses)
+            self._fit(NgramModel.of([no, whole.less(found)]), NgramModel.of([yes, found]))
+
+    def _fit(self, a: NgramModel, r: NgramModel) -> None:
+        self.models = NgramModels([a, r])
         # '?' and numbers tell nothing by themselves
         self.telling = {w for w, n in r.one.items() if w not in ("?", "9", "_") and n / max(1, r.total) >= TELLING * (a.one.get(w, 0) + 0.5) / max(1, a.total)}
 
+    def _refuses(self, text: list[list[str]]) -> bool:
+        return self._tells(text) and self._bits(text) > 0
+
     def _tells(self, text: list[list[str]]) -> bool:
         return not all(self.telling.isdisjoint(words) for words in text)
 
