@@ -9,9 +9,10 @@ compared by a 128-bit sketch of further projections, then verified on their whol
 Texts of equal token sequence are one class from the start: only its representative is
 fingerprinted into buckets, so a group of copies of any size weighs as one text.
 
-Keys grow with the number n of texts (:func:`layout_for`): two segments (24 bits) below ``LONG_KEYS``
-texts, three (36 bits) beyond. A text travels BANDS * FIRST_KEYS = 28 times, in records of 44 or 56
-bytes, so 1.2 to 1.5 kB a text whatever n is; comparisons are 2.1e-4 n^2 or 3.3e-6 n^2.
+Keys have two segments (24 bits) whatever the number n of texts (:func:`same_keys`), so whether a pair is found depends
+on its two texts alone. A text travels BANDS * FIRST_KEYS = 28 times, in records of 44 bytes, so 1.2 kB a
+text, until buckets are split; comparisons are 2.1e-4 n^2. Three segments (36 bits, records of 56 bytes, 3.3e-6 n^2)
+find fewer pairs and are taken only where the caller asks for them (:func:`layout_for`).
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ BANDS, FIRST_KEYS, MORE_KEYS = 7, 4, 8
 FEATURES, SKETCH_BITS = 4096, 128
 #: Sketch bits in which texts at SIMILARITY may differ: of 128, 24.7 on average, standard deviation 4.5.
 SKETCH_ERRORS = 45
-LONG_KEYS = 1 << 23  # texts from which keys have three segments
+LONG_KEYS = 1 << 23  # texts from which layout_for() gives keys of three segments
 BUCKET_ROWS = 1_000_000  # mean rows of a bucket beyond which buckets are split by their texts' second keys
 SHARD_BYTES = 6 << 20
 HOT_BUCKET = 40_000  # rows of a bucket that are cut into blocks, if they are also HOT_TIMES the mean
@@ -68,11 +69,16 @@ class Layout:
 
 
 def layout_for(texts: int) -> Layout:
-    """Keys for so many texts. The mean bucket has 4 n / 4,096 rows; beyond ``BUCKET_ROWS`` it is split, and a text goes to at most ``MORE_KEYS`` parts of it."""
+    """Cheap keys for so many texts: they cost less beyond ``LONG_KEYS``, and lose some of the pairs that :func:`same_keys` finds. The mean bucket has 4 n / 4,096 rows; beyond ``BUCKET_ROWS`` it is split, and a text goes to at most ``MORE_KEYS`` parts of it."""
     rows = texts * FIRST_KEYS / 4096
     return Layout(1 if texts < LONG_KEYS else 2, min(12, max(0, math.ceil(math.log2(rows / BUCKET_ROWS)))) if rows > 0 else 0)
 
 
+def same_keys(texts: int) -> Layout:
+    """Keys that find the same pairs however many texts there are: only the split, which parts work and not pairs, follows from their number."""
+    return Layout(1, layout_for(texts).split)
+
+
 def pack(keys: np.ndarray) -> np.ndarray:
     """Numbers below 4,096 in the last axis (even length), two in three bytes."""
     both = keys[..., 0::2].astype("<u4") | keys[..., 1::2].astype("<u4") << np.uint32(12)
@@ -192,9 +198,12 @@ def compare(records: np.ndarray, layout: Layout, errors: int, similarity: float,
     """Pairs (k, 2) of ids that share the codewords of all segments of a band and are close by size and sketch.
 
     ``blocks``: where given, only pairs of different blocks are compared (rows of one block are compared elsewhere).
-    Keys with their rows are sorted as single numbers, at most about ``ENTRIES`` at once.
+    Keys with their rows are sorted as single numbers, at most about ``ENTRIES`` at once. Rows are taken by size, so a row
+    is done with a key at the first text that is too long for it.
     """
     n = len(records)
+    order = np.argsort(records["n"], kind="stable")
+    records, blocks = records[order], None if blocks is None else blocks[order]
     _, bucket = np.unique(records["place"], return_inverse=True)
     keys = unpack(records["more"])
     second = keys[:, :MORE_KEYS]
@@ -220,10 +229,11 @@ def compare(records: np.ndarray, layout: Layout, errors: int, similarity: float,
             left = left[left + step < len(key)]
             left = left[key[left] == key[left + step]]
             a, b = row[left], row[left + step]
-            near = np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b])
+            near = size[a] >= similarity * size[b]
+            left, a, b = left[near], a[near], b[near]
             if blocks is not None:
-                near &= blocks[a] != blocks[b]
-            a, b = a[near], b[near]
+                apart = blocks[a] != blocks[b]
+                a, b = a[apart], b[apart]
             close = np.bitwise_count(s0[a] ^ s0[b]) + np.bitwise_count(s1[a] ^ s1[b]) <= errors
             if close.any():
                 a, b = ids[a[close]], ids[b[close]]
@@ -367,10 +377,10 @@ def near_duplicates(items: DataFrame, id_col: str = "chunk_id", text_col: str =
     members: ``id``, ``rep`` (the least id of its class) and ``n`` (rows of the class), one row per text of at least
     ``least_tokens`` tokens. links: ``a`` < ``b`` (representatives) and ``similarity``. Null, empty and short
     texts and null ids take no part. Ids must be unique; extra columns play no role. An empty table
-    gives two empty results. ``layout`` follows from the number of texts unless it is given. Both results are
+    gives two empty results. ``layout``: :func:`same_keys` of the number of texts unless it is given. Both results are
     written tables; what led to them is removed.
     """
-    layout = layout or layout_for(_live(items, id_col, text_col, least_tokens).count())
+    layout = layout or same_keys(_live(items, id_col, text_col, least_tokens).count())
     rows = materialize(signatures(items, id_col, text_col, width, least_tokens, layout), "signatures")
     reps = materialize(rows.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("print").alias("print")), "classes")
     shared = reps.where("n > 1").select("h1", "h2", "rep", "n")
